@@ -82,11 +82,11 @@ def pr_curve(scored: DataFrame, by: list[str] | None = None, target: str = fixed
     """Precision and recall at every distinct score used as a cut."""
     by = by or []
     group = Window.partitionBy(*by)
-    rungs = climb(score_ladder(scored, by, target), by).withColumn("P", F.sum("pos").over(group))
+    rungs = climb(score_ladder(scored, by, target), by).withColumn("all_pos", F.sum("pos").over(group))
     return rungs.select(
         *by, F.col("p").alias("threshold"),
         F.round(ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")), 6).alias("precision"),
-        F.round(ratio(F.col("cum_pos"), F.col("P"), 1.0), 6).alias("recall"),
+        F.round(ratio(F.col("cum_pos"), F.col("all_pos"), 1.0), 6).alias("recall"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from intentspark import fixed
@@ -18,8 +19,13 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deduplicated customers with their stable identity and the nested split."""
-    return nested_split(profile_row_id(deduplicate(customers(spark, sf_dir), COLUMNS, keep="profile_id")))
+    """Deduplicated customers with their stable identity and the nested split.
+
+    Fits read this frame several times and it ends a chain of joins and groupings, so it is kept;
+    blocks that do not fit in memory go to disk and lost ones are recomputed.
+    """
+    clean = nested_split(profile_row_id(deduplicate(customers(spark, sf_dir), COLUMNS, keep="profile_id")))
+    return clean.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

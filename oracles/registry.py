@@ -1,5 +1,5 @@
-from oracles import audit
+from oracles import audit, decisions, metrics
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**audit.SQL}
+    return {**audit.SQL, **metrics.SQL, **decisions.SQL}
