@@ -71,10 +71,13 @@ def exact_quantiles(
     wanted: dict[str, list[float]],
     direct_distinct: int = DIRECT_DISTINCT,
     accuracy: int = SKETCH_ACCURACY,
+    distinct: dict[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolation quantiles of each column, exactly; NULL and NaN are ignored.
 
     Returns one number per (column, probability): driver scalars whose count does not grow with data.
+    A dict passed as ``distinct`` receives each column's number of distinct values (exact up to
+    ``direct_distinct``, an estimate above it).
     """
     columns = list(wanted)
     numeric = df.select([
@@ -93,6 +96,8 @@ def exact_quantiles(
                 "rank_lo": math.floor(h), "rank_hi": math.ceil(h), "frac": h - math.floor(h),
                 "lo": p["min"], "hi": p["max"], "below": 0, "inside": p["n"], "distinct": p["distinct"],
             }
+    if distinct is not None:
+        distinct.update({c: profile[c]["distinct"] for c in columns})
     for _ in range(8):
         wide = {s: b for s, b in brackets.items() if b["distinct"] > direct_distinct and b["lo"] < b["hi"]}
         if not wide:
@@ -133,7 +138,12 @@ def exact_quantiles(
                     F.min(F.when((F.col("g") == g) & (F.col("upto") > rank), F.col("x"))).alias(
                         f"{columns.index(slot[0])}_{slot[1]}_{end}")
                 )
+    whole = [
+        (g, c) for g, ((c, lo, hi), _) in enumerate(keyed) if lo == profile[c]["min"] and hi == profile[c]["max"]]
+    picks += [F.count_if(F.col("g") == g).alias(f"distinct_{g}") for g, _ in whole]
     row = ranked.agg(*picks).first()
+    if distinct is not None:
+        distinct.update({c: row[f"distinct_{g}"] for g, c in whole})
     result: dict[str, list[float | None]] = {c: [None] * len(wanted[c]) for c in columns}
     for (c, i), b in brackets.items():
         low = row[f"{columns.index(c)}_{i}_rank_lo"]
@@ -142,31 +152,27 @@ def exact_quantiles(
     return result
 
 
-def quantile_edges(df: DataFrame, columns: list[str], count: int = 4) -> dict[str, list[float] | None]:
-    """Distinct quantile edges per column, lowest to highest; None for fewer than two distinct values.
+def quantile_edges(
+    df: DataFrame, columns: list[str], count: int = 4, also: dict[str, list[float]] | None = None,
+) -> tuple[dict[str, list[float] | None], dict[str, list[float | None]]]:
+    """(distinct quantile edges per column, other quantiles asked for in ``also``) from one search.
 
-    The number of quantiles is capped by the number of distinct values, ties collapse edges.
+    Edges run lowest to highest and are None for fewer than two distinct values. The number of quantiles
+    is capped by the number of distinct values, which is known only afterwards, so the few alternatives
+    are looked up together; ties collapse edges.
     """
-    row = df.agg(*[
-        F.approx_count_distinct(F.col(c)).alias(c) for c in columns
-    ]).first()
-    few = [c for c in columns if row[c] <= 50 * count]
-    exact = {}
-    if few:
-        # a handful of values per column: the exact distinct count stays tiny
-        counted = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in few]).first()
-        exact = {c: counted[c] for c in few}
-    wanted = {}
-    for c in columns:
-        k = min(count, exact.get(c, count))
-        if k >= 2:
-            wanted[c] = [i / k for i in range(k + 1)]
-    values = exact_quantiles(df, wanted) if wanted else {}
+    also = also or {}
+    ladders = {k: [i / k for i in range(k + 1)] for k in range(2, count + 1)}
+    probs = sorted({p for ladder in ladders.values() for p in ladder})
+    wanted = {c: probs + also.get(c, []) for c in columns}
+    distinct: dict[str, int] = {}
+    values = exact_quantiles(df, wanted, distinct=distinct)
     edges: dict[str, list[float] | None] = {}
     for c in columns:
-        unique = sorted(set(values[c])) if c in values else []
-        edges[c] = unique if len(unique) >= 2 else None
-    return edges
+        at = dict(zip(probs, values[c]))
+        k = min(count, distinct.get(c, 0))
+        edges[c] = sorted({at[p] for p in ladders[k]}) if k >= 2 else None
+    return edges, {c: values[c][len(probs):] for c in also}
 
 
 def band_index(value: Column, edges: list[float]) -> Column:

@@ -47,12 +47,9 @@ class FeatureBuilder(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         require_columns(df, DEFAULT_ROLES.base_inputs)
         columns = [c for _, c, _ in BUCKETS]
         numeric = df.select([lenient_double(c).alias(c) for c in columns])
-        q = exact_quantiles(numeric, {"TimeSpentOnWebsite": [0.75], "NumberOfPurchases": [0.25]})
+        edges, cuts = quantile_edges(numeric, columns, also={"TimeSpentOnWebsite": [0.75], "NumberOfPurchases": [0.25]})
         return FeatureModel()._keep({
-            "edges": quantile_edges(numeric, columns),
-            "high_time": q["TimeSpentOnWebsite"][0],
-            "low_history": q["NumberOfPurchases"][0],
-        })
+            "edges": edges, "high_time": cuts["TimeSpentOnWebsite"][0], "low_history": cuts["NumberOfPurchases"][0]})
 
 
 class FeatureModel(Model, _Fitted, DefaultParamsReadable, DefaultParamsWritable):

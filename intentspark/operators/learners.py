@@ -137,16 +137,28 @@ def keep(df: DataFrame) -> DataFrame:
 
 
 def matrix(train: DataFrame, branch: str) -> tuple[PipelineModel, DataFrame]:
-    """Fitted feature pipeline and the kept training matrix."""
-    prepared = matrix_pipeline(branch).fit(train)
-    extra = [c for c in ("weight", "fold") if c in train.columns]
-    return prepared, keep(prepared.transform(train).select("features", LABEL, *extra))
+    """Fitted feature pipeline and the kept training matrix.
+
+    The feature fits read the training columns several times, so these are kept until the matrix, which
+    replaces them, has been filled.
+    """
+    extra = [c for c in ("row_id", "weight", "fold") if c in train.columns]
+    inputs = keep(train.select(*DEFAULT_ROLES.base_inputs, LABEL, *extra))
+    prepared = matrix_pipeline(branch).fit(inputs)
+    vectors = keep(prepared.transform(inputs).select("features", LABEL, *extra))
+    vectors.count()
+    inputs.unpersist()
+    return prepared, vectors
 
 
 def fit(train: DataFrame, branch: str, estimator: Estimator) -> ModelScorer:
     prepared, vectors = matrix(train, branch)
     model = estimator.fit(vectors)
     vectors.unpersist()
+    return joined(prepared, model)
+
+
+def joined(prepared: PipelineModel, model) -> ModelScorer:
     return ModelScorer(PipelineModel(stages=[*prepared.stages, model]))
 
 

@@ -51,7 +51,7 @@ def lookup_rate(rates: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def with_bands(df: DataFrame, columns: list[str], count: int = 4) -> tuple[DataFrame, dict]:
     """Adds ``<column>_band`` (0-based, NULL for NULL); columns with one value get band 0 everywhere."""
-    edges = quantile_edges(df, columns, count)
+    edges, _ = quantile_edges(df, columns, count)
     for c in columns:
         e = edges[c]
         df = df.withColumn(f"{c}_band", F.lit(0) if e is None else band_index(lenient_double(c), e))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from intentspark.operators.policy import decide, policy_band_summary
 from intentspark.operators.scorers import Scorecard
-from intentspark.plans import audit_queries, decision_queries, metric_queries
+from intentspark.plans import audit_queries, decision_queries, metric_queries, model_queries
 from intentspark.plans.frames import clean_customers
 
 
@@ -18,4 +18,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**audit_queries.QUERIES, **metric_queries.QUERIES, **decision_queries.QUERIES}
+    return {**audit_queries.QUERIES, **metric_queries.QUERIES, **decision_queries.QUERIES, **model_queries.QUERIES}
