@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from intentspark import fixed
 from intentspark.errors import ContractError
-from intentspark.functions.quantiles import exact_quantiles
 from intentspark.functions.scalars import ratio
 
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", "balanced_accuracy", "brier_score")
@@ -35,24 +34,22 @@ def climb(ladder: DataFrame, by: list[str]) -> DataFrame:
     return ladder.withColumn("cum_pos", F.sum("pos").over(down)).withColumn("cum_neg", F.sum("neg").over(down))
 
 
-def evaluate(scored: DataFrame, by: list[str] | None = None, target: str = fixed.TARGET,
-             slices: bool = False) -> DataFrame:
-    """One row per group: confusion cells and all metrics, rounded to 6 decimals.
-
-    ``slices`` switches the undefined cases to the slice rules: NULL specificity and balanced accuracy
-    when a group has no negatives.
-    """
-    by = by or []
+def _curve_sums() -> list[Column]:
+    """Additive parts of all metrics over the rungs of a climbed ladder."""
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     cum_pos, cum_neg = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
-    sums = climb(score_ladder(scored, by, target), by).groupBy(*by).agg(
+    return [
         F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.sum("tp").alias("tp"), F.sum("fp").alias("fp"),
         F.sum(neg * (cum_pos - pos / 2)).alias("auc_sum"),
         F.sum(pos * cum_pos / (cum_pos + cum_neg)).alias("ap_sum"),
         F.sum(pos * (F.lit(1.0) - F.col("p")) * (F.lit(1.0) - F.col("p")) + neg * F.col("p") * F.col("p")).alias("sq"),
-    )
+    ]
+
+
+def _metrics(sums: DataFrame, by: list[str], slices: bool = False, extra: list[str] | None = None) -> DataFrame:
+    """All metrics from the additive parts, rounded to 6 decimals."""
     cells = sums.select(
-        *by, (F.col("P") + F.col("N")).alias("row_count"), "P", "N",
+        *by, *(extra or []), (F.col("P") + F.col("N")).alias("row_count"), "P", "N",
         (F.col("N") - F.col("fp")).alias("tn"), "fp", (F.col("P") - F.col("tp")).alias("fn"), "tp",
         "auc_sum", "ap_sum", "sq")
     both = (F.col("P") > 0) & (F.col("N") > 0)
@@ -74,10 +71,22 @@ def evaluate(scored: DataFrame, by: list[str] | None = None, target: str = fixed
         r6(F.when(both, F.col("ap_sum") / F.col("P"))).alias("pr_auc"),
         r6(balanced).alias("balanced_accuracy"),
         r6(F.col("sq") / F.col("row_count")).alias("brier_score"),
-        "tn", "fp", "fn", "tp",
+        "tn", "fp", "fn", "tp", *(extra or []),
     )
 
 
+def evaluate(scored: DataFrame, by: list[str] | None = None, target: str = fixed.TARGET,
+             slices: bool = False) -> DataFrame:
+    """One row per group: confusion cells and all metrics, rounded to 6 decimals.
+
+    ``slices`` switches the undefined cases to the slice rules: NULL specificity and balanced accuracy
+    when a group has no negatives.
+    """
+    by = by or []
+    sums = climb(score_ladder(scored, by, target), by).groupBy(*by).agg(*_curve_sums())
+    return _metrics(sums, by, slices)
+
+
 def pr_curve(scored: DataFrame, by: list[str] | None = None, target: str = fixed.TARGET) -> DataFrame:
     """Precision and recall at every distinct score used as a cut."""
     by = by or []
@@ -90,31 +99,72 @@ def pr_curve(scored: DataFrame, by: list[str] | None = None, target: str = fixed
     )
 
 
-def calibration_curve(scored: DataFrame, bins: int = fixed.CALIBRATION_BINS, target: str = fixed.TARGET) -> DataFrame:
-    """Observed rate against mean score in quantile bins of the score; empty bins do not appear."""
-    edges = exact_quantiles(scored, {"p": [i / bins for i in range(1, bins)]})["p"]
+def _binned(ladder: DataFrame, by: list[str], bins: int) -> DataFrame:
+    """Adds ``bin_index`` to every rung: how many interior quantile edges of the score lie below it.
+
+    The ladder is a sufficient statistic for the score's quantiles: edges are looked up in its running
+    counts, within the same window pass, so rows are read once and no join is needed.
+    """
+    count = F.col("pos") + F.col("neg")
+    up = Window.partitionBy(*by).orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*by)
+    ranked = ladder.withColumn("upto", F.sum(count).over(up)).withColumn("n", F.sum(count).over(whole))
     index = F.lit(0)
-    for edge in edges:
-        if edge is not None:
-            index = index + F.when(F.col("p") > F.lit(edge), 1).otherwise(0)
-    return scored.groupBy(index.alias("bin_index")).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.round(F.avg(F.col(target).cast("double")), 6).alias("true_rate"),
-        F.round(F.avg("p"), 6).alias("mean_probability"),
-    )
+    for i in range(1, bins):
+        h = (F.col("n") - 1) * i / bins
+        low = F.min(F.when(F.col("upto") > F.floor(h), F.col("p"))).over(whole)
+        high = F.min(F.when(F.col("upto") > F.ceil(h), F.col("p"))).over(whole)
+        edge = F.when(high == low, low).otherwise(low + (h - F.floor(h)) * (high - low))
+        index = index + F.when(F.col("p") > edge, 1).otherwise(0)
+    return ranked.withColumn("bin_index", index)
+
+
+def _bin_rates() -> tuple[Column, Column]:
+    count = F.col("pos") + F.col("neg")
+    total = F.sum(count).cast("double")
+    return F.round(F.sum("pos") / total, 6), F.round(F.sum(F.col("p") * count) / total, 6)
+
+
+def calibration_curve(scored: DataFrame, bins: int = fixed.CALIBRATION_BINS, target: str = fixed.TARGET,
+                      by: list[str] | None = None) -> DataFrame:
+    """Observed rate against mean score in quantile bins of the score; empty bins do not appear."""
+    by = by or []
+    observed, predicted = _bin_rates()
+    return _binned(score_ladder(scored, by, target), by, bins).groupBy(*by, "bin_index").agg(
+        F.sum(F.col("pos") + F.col("neg")).alias("row_count"), observed.alias("true_rate"), predicted.alias("mean_probability"))
+
+
+def evaluate_models(scored: DataFrame, target: str = fixed.TARGET, bins: int = fixed.CALIBRATION_BINS) -> DataFrame:
+    """Metric rows with calibration gap of all models in a frame (model_name, family, p, yhat, label).
+
+    One chain: ladder, running totals, sums per calibration bin, sums per model.
+    """
+    by = ["model_name", "family"]
+    rungs = _binned(climb(score_ladder(scored, by, target), by), by, bins)
+    observed, predicted = _bin_rates()
+    per_bin = rungs.groupBy(*by, "bin_index").agg(*_curve_sums(), F.abs(observed - predicted).alias("bin_gap"))
+    sums = per_bin.groupBy(*by).agg(
+        *[F.sum(c).alias(c) for c in ("P", "N", "tp", "fp", "auc_sum", "ap_sum", "sq")],
+        F.round(F.avg("bin_gap"), 6).alias("calibration_gap"))
+    return _metrics(sums, by, extra=["calibration_gap"])
+
+
+def score_with_all(df: DataFrame, scorers: list[tuple[str, str, object]], target: str = fixed.TARGET) -> DataFrame:
+    """Rows scored by several scorers in one scan: (model_name, family, p, yhat, label)."""
+    columns, entries = df.columns, []
+    for i, (name, family, scorer) in enumerate(scorers):
+        entry = F.struct(F.lit(name).alias("model_name"), F.lit(family).alias("family"), "p", "yhat")
+        df = scorer.score(df).withColumn(f"_s{i}", entry).select(*columns, *[f"_s{j}" for j in range(i + 1)])
+        entries.append(f"_s{i}")
+    return df.select(target, F.explode(F.array(*entries)).alias("s")).select(target, "s.*")
 
 
-def calibration_gap(scored: DataFrame, bins: int = fixed.CALIBRATION_BINS, target: str = fixed.TARGET) -> DataFrame:
-    gap = F.avg(F.abs(F.col("true_rate") - F.col("mean_probability")))
-    return calibration_curve(scored, bins, target).agg(F.round(gap, 6).alias("calibration_gap"))
+def named(scored: DataFrame, model: str, family: str, target: str = fixed.TARGET) -> DataFrame:
+    return scored.select(F.lit(model).alias("model_name"), F.lit(family).alias("family"), "p", "yhat", target)
 
 
 def evaluate_model(scored: DataFrame, model: str, family: str, target: str = fixed.TARGET) -> DataFrame:
-    """Metric row of one model, calibration gap included (the two one-row results travel as scalars)."""
-    gap = calibration_gap(scored, target=target)
-    return evaluate(scored, target=target).select(
-        F.lit(model).alias("model_name"), F.lit(family).alias("family"), "*",
-        gap.scalar().alias("calibration_gap"))
+    return evaluate_models(named(scored, model, family, target), target)
 
 
 def _cell_metrics(df: DataFrame) -> DataFrame:

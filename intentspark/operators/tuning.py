@@ -35,8 +35,11 @@ class FamilyOutcome:
 
 
 def measured(scorer: Scorer, frame: DataFrame, name: str, family: str) -> dict:
-    """Metric row of a scorer on a frame as driver scalars."""
-    return evaluate_model(scorer.score(frame), name, family).first().asDict()
+    """Metric row of a scorer on a frame as driver scalars; the rows are scored once."""
+    scored = learners.keep(scorer.score(frame).select("p", "yhat", fixed.TARGET))
+    row = evaluate_model(scored, name, family).first().asDict()
+    scored.unpersist()
+    return row
 
 
 def metric_table(spark, rows: list[dict]) -> DataFrame:

@@ -16,16 +16,13 @@ def candidates(spark, sf, name="test"):
     """Metric rows of the four deterministic scorers on one side of the split."""
     frame = lines(spark, sf)
     train, held = side(frame, "train"), side(frame, name)
-    rows = [
-        metrics.evaluate_model(PriorScorer.fit(train).score(held), "majority_baseline", "dummy"),
-        metrics.evaluate_model(RandomScorer.fit(train).score(held), "random_baseline", "dummy"),
-        metrics.evaluate_model(RuleScorer.fit(train).score(held), "rule_based_baseline", "heuristic"),
-        metrics.evaluate_model(Scorecard().score(held), "scorecard", "heuristic"),
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    prior = PriorScorer.fit(train)
+    return metrics.evaluate_models(metrics.score_with_all(held, [
+        ("majority_baseline", "dummy", prior),
+        ("random_baseline", "dummy", RandomScorer(prior.prior)),
+        ("rule_based_baseline", "heuristic", RuleScorer.fit(train)),
+        ("scorecard", "heuristic", Scorecard()),
+    ]))
 
 
 def as_candidates(spark, sf, names: dict[str, str]):

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from intentspark import fixed
 from intentspark.operators import explain, learners, resampling, tuning
-from intentspark.operators.metrics import evaluate_model
 from intentspark.plans.frames import lines, side
 from intentspark.roles import DEFAULT_ROLES
 
@@ -26,7 +25,7 @@ def outer(spark, sf):
 def holdout(name, family, build):
     def run(spark, sf):
         train, test = outer(spark, sf)
-        return evaluate_model(build(train).score(test), name, family)
+        return tuning.metric_table(spark, [tuning.measured(build(train), test, name, family)])
 
     return run
 
