@@ -86,5 +86,14 @@ def total(columns: list[Column]) -> Column:
 
 
 def flag_list(*conditions: tuple[Column, str]) -> Column:
-    """Array of the labels whose condition holds, in the given order."""
-    return F.array_compact(F.array(*[F.when(cond, F.lit(label)) for cond, label in conditions]))
+    """Array of the labels whose condition holds, in the given order.
+
+    Concatenation stays inside generated code, which a lambda over an array would leave.
+    """
+    return labels(*[F.when(cond, F.lit(label)) for cond, label in conditions])
+
+
+def labels(*values: Column) -> Column:
+    """Array of the non-NULL strings, in the given order."""
+    none = F.array().cast("array<string>")
+    return F.concat(*[F.when(v.isNotNull(), F.array(v)).otherwise(none) for v in values])

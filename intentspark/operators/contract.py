@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from intentspark import fixed
 from intentspark.errors import ContractError
-from intentspark.functions.scalars import ceil_step, floor_step, lenient_double, round_step
+from intentspark.functions.scalars import ceil_step, floor_step, labels, lenient_double, round_step
 from intentspark.operators.policy import decide
 from intentspark.operators.scorers import Scorer
 from intentspark.roles import DEFAULT_ROLES, RoleSpec
@@ -105,13 +105,21 @@ def _violation(df: DataFrame, rule: Rule) -> Column:
     data_type = df.schema[name].dataType
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
         return F.when(F.col(name).isNull(), label("blank")).otherwise(label("not_scalar"))
-    text = F.trim(F.col(name).cast("string"))
-    number = text.try_cast("double")
-    chain = (
-        F.when(text.isNull() | (text == ""), label("blank"))
-        .when(number.isNull() | F.isnan(number), label("not_numeric"))
-        .when(F.abs(number) == float("inf"), label("not_finite"))
-    )
+    if isinstance(data_type, T.NumericType):
+        # already a number: no detour over text
+        number = F.col(name).cast("double")
+        chain = F.when(number.isNull(), label("blank"))
+        if isinstance(data_type, (T.DoubleType, T.FloatType)):
+            chain = chain.when(F.isnan(number), label("not_numeric")).when(
+                F.abs(number) == float("inf"), label("not_finite"))
+    else:
+        text = F.trim(F.col(name).cast("string"))
+        number = text.try_cast("double")
+        chain = (
+            F.when(text.isNull() | (text == ""), label("blank"))
+            .when(number.isNull() | F.isnan(number), label("not_numeric"))
+            .when(F.abs(number) == float("inf"), label("not_finite"))
+        )
     if rule.kind in ("categorical_integer", "integer_range"):
         chain = chain.when(number != F.floor(number), label("not_integer"))
     if rule.kind == "categorical_integer":
@@ -119,28 +127,36 @@ def _violation(df: DataFrame, rule: Rule) -> Column:
     return chain.when((number < rule.low) | (number > rule.high), label("out_of_range"))
 
 
+def _reasons(df: DataFrame, rules: list[Rule], passthrough: tuple[str, ...]) -> list[Column]:
+    known = {r.column for r in rules} | set(passthrough)
+    return [F.lit(f"{c}:unexpected") for c in df.columns if c not in known] + [_violation(df, r) for r in rules]
+
+
 def check_rows(df: DataFrame, rules: list[Rule], passthrough: tuple[str, ...] = ()) -> DataFrame:
     """Adds ``violations``: one reason per failing column of each row, in rule order."""
-    known = {r.column for r in rules} | set(passthrough)
-    reasons = [F.lit(f"{c}:unexpected") for c in df.columns if c not in known]
-    reasons += [_violation(df, r) for r in rules]
-    return df.withColumn("violations", F.array_compact(F.array(*reasons)))
+    return df.withColumn("violations", labels(*_reasons(df, rules, passthrough)))
 
 
 def normalise(checked: DataFrame, rules: list[Rule]) -> DataFrame:
     """Contract types for rows that passed: whole numbers as int, fractions at 6 decimals."""
     for r in rules:
-        number = F.trim(F.col(r.column).cast("string")).try_cast("double")
+        number = F.col(r.column)
+        if not isinstance(checked.schema[r.column].dataType, T.NumericType):
+            number = F.trim(number.cast("string")).try_cast("double")
         checked = checked.withColumn(
-            r.column, F.round(number, 6) if r.kind == "float_range" else number.cast("int"))
+            r.column, F.round(number.cast("double"), 6) if r.kind == "float_range" else number.cast("int"))
     return checked
 
 
 def split_valid(df: DataFrame, rules: list[Rule], passthrough: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """(valid normalised rows, rejects with their violations); nothing is dropped silently."""
-    checked = check_rows(df, rules, passthrough)
-    good = checked.where(F.size("violations") == 0).drop("violations")
-    return normalise(good, rules), checked.where(F.size("violations") > 0)
+    """(valid normalised rows, rejects with their violations); nothing is dropped silently.
+
+    The valid side only tests the reasons; the list of reasons is built for rejected rows alone.
+    """
+    clean = F.lit(True)
+    for reason in _reasons(df, rules, passthrough):
+        clean = clean & reason.isNull()
+    return normalise(df.where(clean), rules), check_rows(df.where(~clean), rules, passthrough)
 
 
 def contract_summary(df: DataFrame, rules: list[Rule], passthrough: tuple[str, ...] = ()) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from intentspark import fixed
 from intentspark.functions.scalars import ratio
-from intentspark.operators.metrics import evaluate, segments
+from intentspark.operators.metrics import evaluate, evaluate_segments
 
 GAP_METRICS = ("recall", "precision", "positive_prediction_rate", "false_positive_rate", "false_negative_rate")
 
@@ -22,7 +22,7 @@ def _with_rates(metrics: DataFrame) -> DataFrame:
 
 
 def fairness_metrics(scored: DataFrame, min_rows: int = fixed.MIN_SEGMENT_ROWS) -> DataFrame:
-    groups = evaluate(segments(scored, with_income=False), ["segment_name", "segment_value"], slices=True)
+    groups = evaluate_segments(scored, with_income=False)
     return _with_rates(groups).where(F.col("row_count") >= min_rows)
 
 
@@ -36,7 +36,7 @@ def fairness_gaps(scored: DataFrame, min_rows: int = fixed.MIN_SEGMENT_ROWS) ->
     Overall rates come from the groups themselves: every row has exactly one Gender value, so the cells
     of that segment add up to the whole table and no second pass over the rows is needed.
     """
-    groups = _with_rates(evaluate(segments(scored, with_income=False), ["segment_name", "segment_value"], slices=True))
+    groups = _with_rates(evaluate_segments(scored, with_income=False))
     cells = groups.where(F.col("segment_name") == "Gender").agg(
         *[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")])
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))

@@ -77,8 +77,9 @@ class FeatureModel(Model, _Fitted, DefaultParamsReadable, DefaultParamsWritable)
         rows = []
         for name, column, _ in BUCKETS:
             for i, edge in enumerate((self.learned()["edges"][column] or [])[1:-1], start=1):
-                rows.append((name, i, round(edge, 6)))
-        return spark.createDataFrame(rows, "bucket string, edge_index int, edge double")
+                rows.append((name, i, edge))
+        return spark.createDataFrame(rows, "bucket string, edge_index int, edge double").withColumn(
+            "edge", F.round("edge", 6))
 
 
 def bucket_label(value: Column, edges: list[float] | None, prefix: str) -> Column:

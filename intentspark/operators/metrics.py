@@ -290,40 +290,59 @@ def calibration_followup(metrics: DataFrame, models: tuple[str, ...]) -> DataFra
 
 
 def age_band(column: str = "Age") -> Column:
-    return _business_band(F.col(column).try_cast("double"), fixed.AGE_BANDS)
+    return _band_name(_business_band(F.col(column), fixed.AGE_BANDS), fixed.AGE_BANDS)
 
 
 def income_band(column: str = "AnnualIncome") -> Column:
-    return _business_band(F.col(column).try_cast("double"), fixed.INCOME_BANDS)
-
-
-def _business_band(x: Column, bands) -> Column:
-    """Right-closed bands; the very lowest edge belongs to the first band, anything else is unknown."""
-    label = F.when(x == bands[0][1], bands[0][0])
-    for name, low, high in bands:
-        inside = (x > low) if high is None else (x > low) & (x <= high)
-        label = label.when(inside, name)
-    return label.otherwise("unknown")
-
-
-def segments(df: DataFrame, with_income: bool = True) -> DataFrame:
-    """Each row once per segment it belongs to: (segment_name, segment_value)."""
-    coded = lambda name, column, prefix: F.struct(
-        F.lit(name).alias("segment_name"),
-        F.concat(F.lit(prefix), F.coalesce(F.col(column).cast("string"), F.lit("nan"))).alias("segment_value"))
-    banded = lambda name, value: F.struct(F.lit(name).alias("segment_name"), value.alias("segment_value"))
-    entries = [
-        coded("Gender", "Gender", "gender_"), coded("LoyaltyProgram", "LoyaltyProgram", "loyalty_"),
-        coded("ProductCategory", "ProductCategory", "category_"), banded("AgeBand", age_band())]
+    return _band_name(_business_band(F.col(column), fixed.INCOME_BANDS), fixed.INCOME_BANDS)
+
+
+def _business_band(value: Column, bands) -> Column:
+    """Position of the right-closed band; the very lowest edge belongs to the first one, NULL outside."""
+    x = value.try_cast("double")
+    code = F.when(x == bands[0][1], 0)
+    for i, (_, low, high) in enumerate(bands):
+        code = code.when((x > low) if high is None else (x > low) & (x <= high), i)
+    return code
+
+
+def _band_name(code: Column, bands) -> Column:
+    name = F.lit("unknown")
+    for i, (label, _, _) in enumerate(bands):
+        name = F.when(code == i, label).otherwise(name)
+    return name
+
+
+SEGMENTS = ("Gender", "LoyaltyProgram", "ProductCategory", "AgeBand", "IncomeBand")
+SEGMENT_PREFIX = {"Gender": "gender_", "LoyaltyProgram": "loyalty_", "ProductCategory": "category_"}
+
+
+def evaluate_segments(scored: DataFrame, with_income: bool = True) -> DataFrame:
+    """Slice metrics per (segment_name, segment_value), all segments in one pass.
+
+    Each row enters once per segment as two small integers, so the rows being grouped stay fixed-width;
+    names are attached to the few result rows.
+    """
+    codes = [F.col(c) for c in SEGMENT_PREFIX] + [_business_band(F.col("Age"), fixed.AGE_BANDS)]
     if with_income:
-        entries.append(banded("IncomeBand", income_band()))
-    return df.select("p", "yhat", fixed.TARGET, F.explode(F.array(*entries)).alias("s")).select(
-        "p", "yhat", fixed.TARGET, "s.segment_name", "s.segment_value")
+        codes.append(_business_band(F.col("AnnualIncome"), fixed.INCOME_BANDS))
+    entries = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("segment"), c.cast("int").alias("code")) for i, c in enumerate(codes)]))
+    rows = scored.select("p", "yhat", fixed.TARGET, entries.alias("s")).select("p", "yhat", fixed.TARGET, "s.segment", "s.code")
+    metrics = evaluate(rows, ["segment", "code"], slices=True)
+    value = F.when(F.col("segment") == 3, _band_name(F.col("code"), fixed.AGE_BANDS)).when(
+        F.col("segment") == 4, _band_name(F.col("code"), fixed.INCOME_BANDS))
+    name = F.lit(None).cast("string")
+    for i, segment in enumerate(SEGMENTS):
+        name = F.when(F.col("segment") == i, segment).otherwise(name)
+        if segment in SEGMENT_PREFIX:
+            value = value.when(F.col("segment") == i, F.concat(
+                F.lit(SEGMENT_PREFIX[segment]), F.coalesce(F.col("code").cast("string"), F.lit("nan"))))
+    return metrics.select(name.alias("segment_name"), value.alias("segment_value"), "*").drop("segment", "code")
 
 
 def segment_performance(scored: DataFrame, min_rows: int = fixed.MIN_SEGMENT_ROWS) -> DataFrame:
-    metrics = evaluate(segments(scored), ["segment_name", "segment_value"], slices=True)
-    return metrics.where(F.col("row_count") >= min_rows).drop("accuracy", "brier_score")
+    return evaluate_segments(scored).where(F.col("row_count") >= min_rows).drop("accuracy", "brier_score")
 
 
 def cv_summary(fold_metrics: DataFrame) -> DataFrame:

@@ -26,14 +26,11 @@ def validate_bands(bands: dict[str, float]) -> dict[str, float]:
 
 
 def score_band(bands: dict[str, float]) -> Column:
-    p = F.col("p")
-    names = [name for name, _ in fixed.BAND_ACTIONS]
-    return (
-        F.when(p < bands["low"], names[0])
-        .when(p < bands["binary"], names[1])
-        .when(p < bands["high"], names[2])
-        .when(p.isNotNull(), names[3])
-    )
+    return band_choice(bands, [band for band, _ in fixed.BAND_ACTIONS])
+
+
+def base_action(bands: dict[str, float]) -> Column:
+    return band_choice(bands, [action for _, action in fixed.BAND_ACTIONS])
 
 
 def split_bad_scores(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -43,13 +40,22 @@ def split_bad_scores(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def boundary_review(bands: dict[str, float]) -> Column:
-    """True near any band edge; distances are compared at 6 decimals, the precision of a score."""
+    """True near any band edge. Scores have 6 decimals; the slack only absorbs binary representation."""
     near = F.lit(False)
     for name, margin in fixed.REVIEW_MARGIN.items():
-        near = near | (F.round(F.abs(F.col("p") - F.lit(bands[name])), 6) <= margin)
+        near = near | (F.abs(F.col("p") - F.lit(bands[name])) <= F.lit(margin + 1e-9))
     return near
 
 
+def band_choice(bands: dict[str, float], values: list[str]) -> Column:
+    """One of four values by score band, lower edges included."""
+    p = F.col("p")
+    return (
+        F.when(p < bands["low"], values[0]).when(p < bands["binary"], values[1])
+        .when(p < bands["high"], values[2]).when(p.isNotNull(), values[3])
+    )
+
+
 def action_catalog(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(
         [(a, d, u, c, ch, list(b)) for a, d, u, c, ch, b in fixed.ACTION_CATALOG],
@@ -76,37 +82,39 @@ def proxy_value(p: Column, discount: Column, uplift: Column, cost: Column,
     }
 
 
-def decide(scored: DataFrame, bands: dict[str, float] | None = None, history: str = "DiscountsAvailed") -> DataFrame:
-    """Adds the policy columns to scored rows. Rows keep their order of columns and none is dropped.
+def recommend(scored: DataFrame, bands: dict[str, float] | None = None, history: str = "DiscountsAvailed") -> DataFrame:
+    """Adds band, base and recommended action, review mark and flags. Rows keep their columns, none is dropped.
 
-    The action's figures come from the five-row catalog, broadcast.
+    Guardrails are phrased on the score and the history, so the whole step is one projection.
     """
     bands = validate_bands(bands or fixed.DEFAULT_BANDS)
+    p = F.col("p")
     past = F.coalesce(lenient_double(history), F.lit(0.0)) if history in scored.columns else F.lit(0.0)
-    base = F.create_map(*[F.lit(x) for pair in fixed.BAND_ACTIONS for x in pair])
-    standard, light = fixed.BAND_ACTIONS[1][1], fixed.BAND_ACTIONS[2][1]
-    saturated = F.col("base_action").isin(standard, light) & (past >= fixed.DISCOUNT_CAP_HISTORY)
-    downgraded = ~saturated & (F.col("base_action") == standard) & (past >= fixed.DISCOUNT_DOWNGRADE_HISTORY)
-    staged = (
-        scored.withColumn("score_band", score_band(bands))
-        .withColumn("base_action", base[F.col("score_band")])
-        .withColumn(
-            "recommended_action",
-            F.when(saturated, "manual_review_discount_cap").when(downgraded, light).otherwise(F.col("base_action")))
-        .withColumn("_near", boundary_review(bands))
-        .withColumn("requires_manual_review", saturated | F.col("_near"))
-        .withColumn("guardrail_flags", flag_list((saturated, SATURATED), (downgraded, DOWNGRADED), (F.col("_near"), BOUNDARY)))
-    )
+    standard = (p >= bands["low"]) & (p < bands["binary"])
+    discounted = (p >= bands["low"]) & (p < bands["high"])
+    saturated = discounted & (past >= fixed.DISCOUNT_CAP_HISTORY)
+    downgraded = standard & (past >= fixed.DISCOUNT_DOWNGRADE_HISTORY) & (past < fixed.DISCOUNT_CAP_HISTORY)
+    near = boundary_review(bands)
+    return scored.select(
+        "*", score_band(bands).alias("score_band"), base_action(bands).alias("base_action"),
+        F.when(saturated, "manual_review_discount_cap").when(downgraded, fixed.BAND_ACTIONS[2][1])
+        .otherwise(base_action(bands)).alias("recommended_action"),
+        (saturated | near).alias("requires_manual_review"),
+        flag_list((saturated, SATURATED), (downgraded, DOWNGRADED), (near, BOUNDARY)).alias("guardrail_flags"))
+
+
+def decide(scored: DataFrame, bands: dict[str, float] | None = None, history: str = "DiscountsAvailed") -> DataFrame:
+    """``recommend`` plus discount, channel and proxy value from the five-row catalog, broadcast."""
     catalog = action_catalog(scored).select(
         F.col("action").alias("recommended_action"), F.col("discount_rate").alias("recommended_discount_rate"),
         F.col("expected_uplift").alias("_uplift"), F.col("contact_cost").alias("_cost"),
         F.col("channel").alias("primary_channel"))
-    joined = staged.join(F.broadcast(catalog), "recommended_action", "left")
+    joined = recommend(scored, bands, history).join(F.broadcast(catalog), "recommended_action", "left")
     value = proxy_value(F.col("p"), F.col("recommended_discount_rate"), F.col("_uplift"), F.col("_cost"))
     return (
         joined.withColumns(value)
         .withColumn("discount_offered", F.col("recommended_discount_rate") > 0)
-        .drop("_near", "_uplift", "_cost")
+        .drop("_uplift", "_cost")
     )
 
 
@@ -200,15 +208,14 @@ def scorecard_offer(scored: DataFrame, bands: dict[str, float] | None = None,
                     list_price: int = fixed.SCORECARD_LIST_PRICE) -> DataFrame:
     """Scorecard variant of the policy: a boundary review replaces the action, the score sets the discount."""
     bands = validate_bands(bands or fixed.DEFAULT_BANDS)
-    base = F.create_map(*[F.lit(x) for pair in fixed.BAND_ACTIONS for x in pair])
     distance = F.least(F.abs(F.col("p") - bands["binary"]), F.abs(F.col("p") - bands["high"]))
-    near = F.round(distance, 6) <= fixed.SCORECARD_REVIEW_DISTANCE
+    near = distance <= F.lit(fixed.SCORECARD_REVIEW_DISTANCE + 1e-9)
     rate = F.col("automatic_discount_rate")
     return (
         scored.withColumn("predicted_label", F.when(F.col("p") >= bands["binary"], 1).otherwise(0))
         .withColumn("risk_band", score_band(bands))
         .withColumn("requires_manual_review", near)
-        .withColumn("action", F.when(near, "manual_review_discount_cap").otherwise(base[F.col("risk_band")]))
+        .withColumn("action", F.when(near, "manual_review_discount_cap").otherwise(base_action(bands)))
         .withColumn("score_percent", purchase_percent(F.col("p")))
         .withColumn("automatic_discount_rate", score_discount(F.col("score_percent")))
         .withColumn("discounted_price", F.floor(F.lit(list_price) * (F.lit(1.0) - rate) + F.lit(0.5)).cast("bigint"))

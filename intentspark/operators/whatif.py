@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from intentspark import fixed
 from intentspark.functions.scalars import clip
 from intentspark.operators.contract import Rule
-from intentspark.operators.policy import decide
+from intentspark.operators.policy import recommend
 from intentspark.operators.scorers import Scorer
 
 
@@ -55,34 +55,50 @@ def sensitivity_variants(valid: DataFrame, rules: list[Rule], scorer: Scorer,
     are left out, and so is a change that repeats an earlier one of the same field.
     """
     features = [r.column for r in rules]
-    baseline = decide(scorer.score(valid.select(key, *features)), bands).select(
+    baseline = recommend(scorer.score(valid.select(key, *features)), bands).select(
         key, *features, F.col("p").alias("base_p"), F.col("score_band").alias("base_band"),
         F.col("recommended_action").alias("base_decision"), F.col("requires_manual_review").alias("base_review"))
-    entries, seen = [], {}
-    for variant, field, value in perturbations(rules):
-        fresh = value != F.col(field).cast("double")
-        for earlier in seen.get(field, []):
-            fresh = fresh & (value != earlier)
-        seen.setdefault(field, []).append(value)
-        entries.append(F.when(fresh, F.struct(
-            F.lit(variant).alias("variant_id"), F.lit(field).alias("field_name"), value.alias("new_value"))))
-    exploded = baseline.withColumn("v", F.explode(F.array_compact(F.array(*entries))))
+    changes = perturbations(rules)
+    pick = lambda values: _by_number([F.lit(v) if isinstance(v, str) else v for v in values])
+    fresh = []
+    for i, (_, field, value) in enumerate(changes):
+        new = value != F.col(field).cast("double")
+        for _, earlier_field, earlier in changes[:i]:
+            if earlier_field == field:
+                new = new & (value != earlier)
+        fresh.append(new)
+    # rows carry only the number of their variant; names are attached after scoring
+    numbered = baseline.withColumn("_v", F.explode(F.array(*[F.lit(i) for i in range(len(changes))]))).where(pick(fresh))
     types = dict(valid.dtypes)
-    changed = exploded.select(
-        key, "base_p", "base_band", "base_decision", "base_review",
-        F.col("v.variant_id").alias("variant_id"), F.col("v.field_name").alias("field_name"),
-        *[F.when(F.col("v.field_name") == c, F.col("v.new_value")).otherwise(F.col(c)).cast(types[c]).alias(c)
-          for c in features])
-    decided = decide(scorer.score(changed), bands)
+    moved = {c: [(i, value) for i, (_, field, value) in enumerate(changes) if field == c] for c in features}
+    changed = numbered.select(
+        key, "base_p", "base_band", "base_decision", "base_review", "_v",
+        *[_replaced(c, moved[c]).cast(types[c]).alias(c) if moved[c] else F.col(c) for c in features])
+    decided = recommend(scorer.score(changed), bands)
+    delta = F.abs(F.col("p") - F.col("base_p"))
     return decided.select(
-        key, "variant_id", "field_name", "base_p", "base_band", "base_decision", "p", "score_band",
-        "recommended_action", "requires_manual_review",
-        F.round(F.abs(F.col("p") - F.col("base_p")), 6).alias("probability_delta"),
+        key, pick([v for v, _, _ in changes]).alias("variant_id"), pick([f for _, f, _ in changes]).alias("field_name"),
+        "base_p", "base_band", "base_decision", "p", "score_band", "recommended_action", "requires_manual_review",
+        F.round(delta, 6).alias("probability_delta"), delta.alias("raw_delta"),
         (F.col("recommended_action") != F.col("base_decision")).alias("action_changed"),
         (F.col("score_band") != F.col("base_band")).alias("band_changed"),
         (F.col("requires_manual_review") != F.col("base_review")).alias("manual_review_changed"))
 
 
+def _by_number(values: list[Column]) -> Column:
+    out = F.when(F.col("_v") == 0, values[0])
+    for i, value in enumerate(values[1:], start=1):
+        out = out.when(F.col("_v") == i, value)
+    return out
+
+
+def _replaced(column: str, changes: list[tuple[int, Column]]) -> Column:
+    out = F.col(column).cast("double")
+    for i, value in changes:
+        out = F.when(F.col("_v") == i, value).otherwise(out)
+    return out
+
+
 def sensitivity_summary(variants: DataFrame, key: str = "row_id") -> DataFrame:
     """Largest change and change counts per base row. A row's variants sit in one task, so the
     map-side combine already reduces them to a single record before the exchange."""
@@ -90,7 +106,7 @@ def sensitivity_summary(variants: DataFrame, key: str = "row_id") -> DataFrame:
     return (
         variants.groupBy(key, "base_p", "base_band", "base_decision").agg(
             F.count(F.lit(1)).alias("variant_count"),
-            F.max("probability_delta").alias("max_probability_delta"),
+            F.round(F.max("raw_delta"), 6).alias("max_probability_delta"),
             F.count_if("action_changed").alias("action_change_count"),
             F.count_if("band_changed").alias("band_change_count"),
             F.count_if("manual_review_changed").alias("manual_review_change_count"))
@@ -101,8 +117,8 @@ def sensitivity_summary(variants: DataFrame, key: str = "row_id") -> DataFrame:
 def variant_effects(variants: DataFrame) -> DataFrame:
     return variants.groupBy("variant_id", "field_name").agg(
         F.count(F.lit(1)).alias("variant_count"),
-        F.round(F.avg("probability_delta"), 6).alias("mean_probability_delta"),
-        F.max("probability_delta").alias("max_probability_delta"),
+        F.round(F.avg("raw_delta"), 6).alias("mean_probability_delta"),
+        F.round(F.max("raw_delta"), 6).alias("max_probability_delta"),
         F.count_if("action_changed").alias("action_change_count"),
         F.count_if("band_changed").alias("band_change_count"),
         F.count_if("manual_review_changed").alias("manual_review_change_count"))
@@ -126,12 +142,12 @@ def rerun_consistency(frame: DataFrame, scorer: Scorer, bands: dict[str, float]
     A key that one side lacks counts as missing and breaks determinism.
     """
     def surface(df: DataFrame, prefix: str) -> DataFrame:
-        return decide(scorer.score(df), bands).select(
+        return recommend(scorer.score(df), bands).select(
             key, F.col("p").alias(f"{prefix}_p"), F.col("recommended_action").alias(f"{prefix}_action"),
             F.col("score_band").alias(f"{prefix}_band"), F.col("requires_manual_review").alias(f"{prefix}_review"))
 
     again = frame.withColumn("run_index", F.explode(F.sequence(F.lit(1), F.lit(reruns))))
-    rerun = decide(scorer.score(again.repartition(key)), bands).select(
+    rerun = recommend(scorer.score(again.repartition(key)), bands).select(
         key, "run_index", F.col("p").alias("again_p"), F.col("recommended_action").alias("again_action"),
         F.col("score_band").alias("again_band"), F.col("requires_manual_review").alias("again_review"))
     joined = surface(frame, "first").join(rerun, key, "full")

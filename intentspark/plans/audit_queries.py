@@ -49,6 +49,7 @@ def fixed_bands(spark, sf):
 
 
 QUERIES = {
+    "customer_profile": customers,
     "scan_profile": lambda s, d: scan_summary(scan_profile(s, d, reader=customers), COLUMNS),
     "schema_diff": lambda s, d: schema_diff(customers(s, d), fixed.PROFILE_COLUMNS),
     "coerce_numeric": lambda s, d: noisy_text(customers(s, d)).select(

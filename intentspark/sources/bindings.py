@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Deals rows out over the cores when the scan has fewer splits than there are cores.
+
+    A file with a single row group is read by one task, which would then do all the row work. A large
+    table brings more splits than cores and passes through untouched: no shuffle is added there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer plus planted exact duplicates.
 
@@ -67,7 +77,7 @@ def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item with a planted label; narrow, no shuffle."""
+    """One row per line item with a planted label; narrow."""
     key = F.md5(F.concat(
         F.col("l_orderkey"), F.lit(":"), F.col("l_linenumber"), F.lit(":"), F.col("l_partkey"), F.lit(":"),
         F.col("l_suppkey"), F.lit(":"), F.round(F.col("l_extendedprice") * 100).cast("bigint"),
@@ -80,7 +90,7 @@ def line_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         + F.lit(0.6) * (noise - F.lit(0.5))
     )
     return (
-        table(spark, sf_dir, "lineitem")
+        spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
         .select(
             key.alias("row_id"),
             (F.lit(18) + F.col("l_partkey") % 53).cast("int").alias("Age"),

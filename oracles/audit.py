@@ -61,6 +61,7 @@ FEATURES = CLEAN + FEATURE_EDGES + """,
 ft as (select *, coalesce(cast(ProductCategory as varchar),'nan')||'__'||income_bucket category_income_interaction from fx)"""
 
 SQL = {
+    "customer_profile": q(CUSTOMERS, "select * from cp"),
     "scan_profile": q(CUSTOMERS, "select count(*) row_count, cast(count(case when "
                       + " and ".join(f"{c} is not null" for c in NAMES) + " then 1 end) as bigint) complete_rows, "
                       + ", ".join(f"count({c}) non_null_{c}" for c in NAMES) + " from cp"),
