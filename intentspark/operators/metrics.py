@@ -249,7 +249,7 @@ def with_decision_bands(df: DataFrame, center: str = "threshold") -> DataFrame:
 def learn_bands(scored: DataFrame, target: str = fixed.TARGET) -> dict[str, float]:
     """Decision bands of a scored validation set as driver scalars."""
     row = with_decision_bands(optimal_threshold(scored, target=target)).first()
-    if row is None or row["threshold"] is None:
+    if row is None or row["tn"] + row["fp"] + row["fn"] + row["tp"] == 0:
         raise ContractError("a threshold cannot be chosen on an empty table")
     return {
         "low": row["low_action_threshold"], "binary": row["binary_decision_threshold"],
