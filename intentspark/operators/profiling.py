@@ -45,7 +45,7 @@ def rate_by_category(df: DataFrame, columns: list[str], target: str = fixed.TARG
 
 def lookup_rate(rates: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rate of each wanted (column_name, value); 0 where the value was never seen."""
-    return wanted.join(F.broadcast(rates), ["column_name", "value"], "left").select(
+    return wanted.join(rates, ["column_name", "value"], "left").select(
         "column_name", "value", F.coalesce("purchase_rate", F.lit(0.0)).alias("purchase_rate"))
 
 

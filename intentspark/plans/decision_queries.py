@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from intentspark import fixed
 from intentspark.operators import cases, contract, explain, fairness, gates, metrics, policy, whatif
 from intentspark.operators.scorers import RuleScorer, Scorecard
-from intentspark.operators.splits import sample_rows
 from intentspark.plans.frames import clean_customers, customers, lines, rule_scored_lines, scored_lines, side
 from intentspark.plans.metric_queries import candidates
 from intentspark.roles import DEFAULT_ROLES
@@ -191,12 +190,13 @@ def stages(spark, sf):
     audit = raw.groupBy(*fixed.PROFILE_COLUMNS).count().agg(
         F.lit("audit").alias("stage"), F.sum("count").alias("raw_rows"), F.count(F.lit(1)).alias("dedup_rows"),
         F.first(F.lit(None).cast("string")).alias("champion"))
-    counted = lambda name, df: df.agg(
+    stage = lambda name, df, rows: df.agg(
         F.lit(name).alias("stage"), F.lit(None).cast("bigint").alias("raw_rows"),
-        F.count(F.lit(1)).alias("dedup_rows")).withColumn("champion", names)
-    modelling = counted("modelling", clean.groupBy("split").count().withColumn("i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count")))))
-    decided = counted("policy", policy.decide(Scorecard().score(clean)))
-    identity = counted("identity", profile_row_id(raw).select("row_id").distinct())
+        rows.alias("dedup_rows")).withColumn("champion", names)
+    every = F.count(F.lit(1))
+    modelling = stage("modelling", clean.groupBy("split").count(), F.sum("count"))
+    decided = stage("policy", policy.decide(Scorecard().score(clean)), every)
+    identity = stage("identity", profile_row_id(raw).select("row_id").distinct(), every)
     return audit.unionByName(modelling).unionByName(decided).unionByName(identity)
 
 

@@ -1,11 +1,10 @@
-"""Session defaults and the one place that decides where checkpoints go."""
+"""Session defaults for local runs; a cluster brings its own session."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -33,15 +32,3 @@ def build_session(master: str = "local[8]", app: str = "intentspark", **conf: st
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names in spark.checkpoint.dir.
-
-    A folder of our own is set only where the session names none (local runs and tests).
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="intentspark-ckpt-"))
-    return df.checkpoint(eager=True)

@@ -20,6 +20,14 @@ def test_matches_sql(spark, con, sf, name):
     assert status == "ok", detail
 
 
+@pytest.mark.parametrize("name", ["customer_profile", "case_policy", "fairness_gaps", "guardrail_status", "stratified_split_exact",
+                                  "permutation_importance_scorecard", "shapley_scorecard", "sensitivity_summary", "classifier_metrics"])
+def test_plans_have_no_cross_joins(spark, sf, name):
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    spark.catalog.clearCache()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
