@@ -9,7 +9,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from intentspark.operators import features, learners  # noqa: E402
+from intentspark.operators import learners  # noqa: E402
 from intentspark.operators.contract import batch_score, learn_rules  # noqa: E402
 from intentspark.operators.policy import decide  # noqa: E402
 from intentspark.operators.scorers import Scorecard  # noqa: E402

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from intentspark import fixed
 from intentspark.errors import ContractError
-from intentspark.functions.scalars import clip, flag_list, lenient_double
+from intentspark.functions.scalars import flag_list, lenient_double
 from intentspark.operators.scorers import purchase_percent, score_discount
 
 SATURATED = "historical_discount_saturation"

@@ -8,7 +8,6 @@ from intentspark import fixed
 from intentspark.operators import cases, contract, explain, fairness, gates, metrics, policy, whatif
 from intentspark.operators.scorers import RuleScorer, Scorecard
 from intentspark.plans.frames import clean_customers, customers, lines, rule_scored_lines, scored_lines, side
-from intentspark.plans.metric_queries import candidates
 from intentspark.roles import DEFAULT_ROLES
 from intentspark.sources.bindings import profile_row_id
 

@@ -1,10 +1,8 @@
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from intentspark.errors import ContractError
 from intentspark.operators import cases, contract, explain, whatif
-from intentspark.operators.metrics import evaluate
 from intentspark.operators.scorers import ExpressionScorer, Scorecard
 from intentspark.plans.decision_queries import INPUTS
 from intentspark.plans.frames import lines, scored_lines, side
