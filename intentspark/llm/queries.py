@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from intentspark.llm import chat, mixing
+from intentspark.llm import bpe, chat, mixing, simhash
 from intentspark.llm.common import table
 
 
@@ -12,9 +12,17 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_examples(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"))))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.with_neighbours(simhash.compare_documents(table(spark, sf_dir, "documents")))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_chat": op2_chat, "op9_mixing": op9_mixing}
+QUERIES = {"op2_chat": op2_chat, "op5_bpe": op5_bpe, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op2_chat": chat.SQL, "op9_mixing": mixing.SQL}
