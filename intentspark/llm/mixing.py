@@ -2,7 +2,7 @@
 word counts, cut at each source's exact budget; whole epochs are repeated where the budget exceeds the source.
 
 Everything here is DataFrame expressions. A source may hold any share of the rows: its rows are dealt to key ranges of
-about `RANGE_ROWS` rows, prefix sums run inside each range, and the ranges' totals (one small row each) give the offsets.
+about `RANGE_ROWS` documents (of all sources), prefix sums run inside each range, and the ranges' totals (one small row each) give the offsets.
 
 Defined results: NULL text counts no words; NULL is a source of its own, last in order; a source without words gets
 target 0; repeated rows are separate documents that tie, so the taken words among them are the same multiset each run;
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from intentspark.llm.common import WORD, keep, word_count
 
-RANGE_ROWS = 20_000
+RANGE_ROWS = 1_000
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
 
