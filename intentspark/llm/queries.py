@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from intentspark.llm import bpe, chat, mixing, simhash
+from intentspark.llm import ann, bpe, chat, mixing, simhash
 from intentspark.llm.common import table
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_examples(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
@@ -24,5 +29,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_chat": op2_chat, "op5_bpe": op5_bpe, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing}
+QUERIES = {"op1_ann": op1_ann, "op2_chat": op2_chat, "op5_bpe": op5_bpe, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op2_chat": chat.SQL, "op9_mixing": mixing.SQL}
