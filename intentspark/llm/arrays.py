@@ -105,3 +105,12 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 def blob(array: np.ndarray) -> bytes:
     return np.ascontiguousarray(array).tobytes()
+
+
+def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The different words and, for every word, which of them it is."""
+    if not len(starts):
+        return [], np.empty(0, np.int64)
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[~SPACE[data]])]).dictionary_encode()
+    return words.dictionary.to_pylist(), words.indices.to_numpy()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intentspark.llm import ann, bpe, chat, mixing, simhash
+from intentspark.llm import ann, bpe, chat, mixing, quality, simhash, toxicity
 from intentspark.llm.common import table
 
 
@@ -17,10 +17,18 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_examples(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"))))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_neighbours(simhash.compare_documents(table(spark, sf_dir, "documents")))
 
@@ -29,5 +37,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_ann": op1_ann, "op2_chat": op2_chat, "op5_bpe": op5_bpe, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing}
+QUERIES = {"op1_ann": op1_ann, "op2_chat": op2_chat, "op3_toxicity": op3_toxicity, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op2_chat": chat.SQL, "op9_mixing": mixing.SQL}
