@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intentspark.llm import ann, bpe, chat, mixing, quality, simhash, toxicity
+from intentspark.llm import ann, bpe, chat, mixing, quality, simhash, substring, suffixes, toxicity
 from intentspark.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"))))
 
@@ -37,5 +41,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_ann": op1_ann, "op2_chat": op2_chat, "op3_toxicity": op3_toxicity, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing}
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_ann": op1_ann, "op2_chat": op2_chat, "op3_toxicity": op3_toxicity, "op4_substring": op4_substring, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing, "op10_suffix": op10_suffix}
 ORACLE_SQL = {"op2_chat": chat.SQL, "op9_mixing": mixing.SQL}
