@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from intentspark.llm import arrays as A
 from intentspark.llm.common import keep, partitions
 
-PIECE = 1_000_000
+
 PACKED = "bucket int, kind int, docs binary, keys binary, counts binary, places binary, hashes binary"
 MARKED = "doc_id long, key long, places binary"
 
@@ -39,7 +39,7 @@ class Kind:
     """What repeats: runs of `width` symbols; `modulus` and `cover` choose the anchors.
 
     `read` gives a batch's symbols, as they are stored, and each text's offsets; `widen` turns stored symbols to 64 bits.
-    With `within` an earlier start in the same document counts too. A task sends after `flush` records, and takes a text
+    With `within` an earlier start in the same document counts too. A task reads pieces of about `piece` bytes, sends after `flush` records and takes a text
     of more than `segment` symbols in parts."""
 
     width: int
@@ -50,6 +50,7 @@ class Kind:
     widen: Callable[[np.ndarray], np.ndarray]
     flush: int = 1_000_000
     segment: int = 2_000_000
+    piece: int = 1_000_000
 
     @property
     def anchor(self) -> int:
@@ -63,7 +64,7 @@ def is_cover(cover: tuple[int, ...], modulus: int) -> bool:
 def segments(batches: Iterator[pa.RecordBatch], kind: Kind) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, int]]:
     """(rows, symbols, offsets, base): pieces of the input; a text beyond `segment` symbols comes in overlapping parts,
     of which `base` is the place in the text, so that each run lies in exactly one part."""
-    for batch in A.pieces(batches, size=PIECE):
+    for batch in A.pieces(batches, size=kind.piece):
         stored, first = kind.read(batch)
         if batch.num_rows > 1 or len(stored) <= kind.segment:
             yield batch, kind.widen(stored), first, 0

@@ -76,8 +76,7 @@ def test_covers():
 @pytest.mark.parametrize("flush,segment", [(1_000_000, 2_000_000), (50, 130)])
 def test_words_and_bytes_against_all_runs(spark, shared_passages, monkeypatch, flush, segment):
     for module in (substring, suffixes):
-        monkeypatch.setattr(module, "KIND", replace(module.KIND, flush=flush, segment=segment))
-    monkeypatch.setattr(repeats, "PIECE", 1 if flush == 50 else repeats.PIECE)
+        monkeypatch.setattr(module, "KIND", replace(module.KIND, flush=flush, segment=segment, piece=1 if flush == 50 else 1_000_000))
     docs = documents(spark, [t for _, t in shared_passages], [d for d, _ in shared_passages]).withColumnRenamed("source", "whole_source")
     check_words(substring.digest(docs).collect(), shared_passages)
     check_bytes(suffixes.digest(docs).collect(), shared_passages)
