@@ -77,7 +77,7 @@ class Block:
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, floor: int = FLOOR, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the `k` nearest found of every row that `is_query` holds for."""
-    rows = keep(usable(vectors), "vectors")
+    rows = keep(lambda: usable(vectors), "vectors")
     facts = rows.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("m")).first()
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * pivots).collect()
     different = list({tuple(r["v"]): None for r in sample})[:pivots]

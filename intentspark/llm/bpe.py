@@ -125,7 +125,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = PATTERN, chu
 
     base = "row long, doc_id long, part int, parts int, text string"
     cuts = rows.where(~short).withColumn("row", F.monotonically_increasing_id()).mapInArrow(chunked, base).repartition("row", "part")
-    found = keep(cuts.mapInArrow(matched, base + ", lengths array<bigint>, head array<bigint>, tail array<bigint>"), "bpe")
+    found = keep(lambda: cuts.mapInArrow(matched, base + ", lengths array<bigint>, head array<bigint>, tail array<bigint>"), "bpe")
     ahead = found.select("row", (F.col("part") - 1).alias("part"), F.col("head").alias("next_head"))
     seams = found.select("row", "part", "parts", "tail").join(ahead, ["row", "part"], "left").withColumn("end", F.array_min(F.array_intersect("tail", "next_head")))
     broken = seams.where("part + 1 < parts and end is null").select("row").distinct()
@@ -158,8 +158,8 @@ def decode(encoded: DataFrame, path: str | None = None, pattern: str = PATTERN)
     return encoded.mapInArrow(decoded, f"{fields}, decoded binary")
 
 
-def digest(decoded: DataFrame) -> DataFrame:
+def digest(decoded: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        "doc_id", *carry, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,15 +29,16 @@ def shared_folder(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder()).rstrip("/")
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Writes `df` once into the shared folder and returns the written table: lineage ends here, and a lost executor
-    costs no recomputation. The shuffle files of the plan that made it are no longer needed and may go."""
-    spark = df.sparkSession
+def keep(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Writes the table that `make` plans into the shared folder and returns the written table: lineage ends here, and a
+    lost executor costs no recomputation. Nothing refers to the plan afterwards, so its shuffle files may go."""
+    df = make()
+    spark, schema = df.sparkSession, df.schema
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    del df
     free_shuffles(spark)
-    return out
+    return spark.read.schema(schema).parquet(path)
 
 
 def free_shuffles(spark: SparkSession) -> None:

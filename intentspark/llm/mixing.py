@@ -108,7 +108,7 @@ def expand(mixed: DataFrame, text: str = "text") -> DataFrame:
 
 def mix_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
-    measured = keep(sized(docs), "mix")
+    measured = keep(lambda: sized(docs), "mix")
     return mix(measured, weights, max_epochs).select("doc_id", "size", "source_size", "target", "taken")
 
 

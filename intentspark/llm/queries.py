@@ -34,7 +34,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.with_neighbours(simhash.compare_documents(table(spark, sf_dir, "documents")))
+    return simhash.with_neighbours(lambda: simhash.compare_documents(table(spark, sf_dir, "documents")))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

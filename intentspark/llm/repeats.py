@@ -302,12 +302,12 @@ def mark_repeats(docs: DataFrame, kind: Kind) -> DataFrame:
     texts = rows.select("doc_id", "key", F.xxhash64(F.lit(17), "text").alias("key2"), F.octet_length("text").alias("n"))
     firsts = texts.groupBy("key", "key2", "n").agg(F.min("doc_id").alias("first"))
     copies = texts.join(firsts, ["key", "key2", "n"]).where(F.col("doc_id") > F.col("first")).select("doc_id", "key").distinct()
-    sent = rows.mapInArrow(send_anchors(kind, tasks), PACKED).repartitionById(tasks, "bucket")
-    near = keep(sent.mapInArrow(repeated_anchors, MARKED).groupBy("doc_id").agg(F.collect_list("places").alias("places")), "anchors")
-    around = rows.join(near.join(firsts.select(F.col("first").alias("doc_id"), F.col("key").alias("first_key")), "doc_id").hint("shuffle_hash"), "doc_id").where(F.col("key") == F.col("first_key")).drop("first_key")
-    runs = around.mapInArrow(send_runs(kind, tasks), PACKED).repartitionById(tasks, "bucket").mapInArrow(later_runs(kind), MARKED)
-    marked = runs.groupBy("doc_id", "key").agg(F.collect_set("places").alias("places"))
-    return keep(marked.select("doc_id", "key", F.lit(False).alias("whole"), "places").unionByName(
+    sent = lambda send: send.repartitionById(tasks, "bucket")
+    near = keep(lambda: sent(rows.mapInArrow(send_anchors(kind, tasks), PACKED)).mapInArrow(repeated_anchors, MARKED).groupBy("doc_id").agg(F.collect_list("places").alias("places")), "anchors")
+    around = lambda: rows.join(near.join(firsts.select(F.col("first").alias("doc_id"), F.col("key").alias("first_key")), "doc_id").hint("shuffle_hash"), "doc_id").where(F.col("key") == F.col("first_key")).drop("first_key")
+    runs = lambda: sent(around().mapInArrow(send_runs(kind, tasks), PACKED)).mapInArrow(later_runs(kind), MARKED)
+    marked = lambda: runs().groupBy("doc_id", "key").agg(F.collect_set("places").alias("places"))
+    return keep(lambda: marked().select("doc_id", "key", F.lit(False).alias("whole"), "places").unionByName(
         copies.select("doc_id", "key", F.lit(True).alias("whole"), F.lit(None).cast("array<binary>").alias("places"))), "marks")
 
 

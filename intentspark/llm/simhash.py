@@ -13,7 +13,7 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -140,7 +140,7 @@ def near_pairs(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
     return a.join(b, meets).select(F.col("a.fingerprint").alias("a"), F.col("b.fingerprint").alias("b"), apart.alias("distance"))
 
 
-def with_neighbours(compared: DataFrame, radius: int = RADIUS) -> DataFrame:
+def with_neighbours(compared: Callable[[], DataFrame], radius: int = RADIUS) -> DataFrame:
     """Adds n_within: how many other fingerprints lie within the radius of the document's."""
     done = keep(compared, "simhash")
     pairs = near_pairs(done, radius)

@@ -57,5 +57,17 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     return repeats.with_marks(docs, KIND).select(*docs.columns, "whole", "places").mapInArrow(_cut, f"{fields}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
+def as_text(cut: DataFrame) -> DataFrame:
+    """`kept` as text: bytes of a character that was cut are left out."""
+
+    def text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = pa.array([b.decode("utf-8", "ignore") for b in A.column(batch, "kept").to_pylist()], pa.string())
+            yield batch.set_column(batch.schema.get_field_index("kept"), "kept", kept)
+
+    fields = ", ".join(f"`{f.name}` {'string' if f.name == 'kept' else f.dataType.simpleString()}" for f in cut.schema)
+    return cut.mapInArrow(text, fields)
+
+
 def digest(docs: DataFrame) -> DataFrame:
     return remove_repeats(docs.select("doc_id", "text")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

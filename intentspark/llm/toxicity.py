@@ -225,7 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
             found = found_features(A.column(batch, "text"), channel, None)
             yield pa.RecordBatch.from_arrays([A.column(batch, "doc_id"), A.column(batch, "y"), pa.array([sorted(f) for f in found], pa.list_(pa.string()))], ["doc_id", "y", "features"])
 
-    sample = keep(training_rows(docs, labels, label, folds, held, rows).mapInArrow(read, "doc_id long, y int, features array<string>"), "toxicity")
+    sample = keep(lambda: training_rows(docs, labels, label, folds, held, rows).mapInArrow(read, "doc_id long, y int, features array<string>"), "toxicity")
     n = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("t")).first()
     each = sample.select("doc_id", "y", F.explode("features").alias("feature"))
     odds = F.log((F.col("t") + 0.5) / (n["t"] + 1.0)) - F.log((F.col("n") - F.col("t") + 0.5) / (n["n"] - n["t"] + 1.0))
