@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intentspark.llm import ann, bpe, chat, mixing, quality, simhash, substring, suffixes, toxicity
+from intentspark.llm import ann, bpe, chat, jaccard, mixing, quality, simhash, substring, suffixes, toxicity
 from intentspark.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_neighbours(lambda: simhash.compare_documents(table(spark, sf_dir, "documents")))
 
@@ -45,5 +49,5 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_ann": op1_ann, "op2_chat": op2_chat, "op3_toxicity": op3_toxicity, "op4_substring": op4_substring, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing, "op10_suffix": op10_suffix}
+QUERIES = {"op1_ann": op1_ann, "op2_chat": op2_chat, "op3_toxicity": op3_toxicity, "op4_substring": op4_substring, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op7_jaccard": op7_jaccard, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing, "op10_suffix": op10_suffix}
 ORACLE_SQL = {"op2_chat": chat.SQL, "op9_mixing": mixing.SQL}
