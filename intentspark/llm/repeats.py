@@ -103,14 +103,40 @@ def packed_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [f.split()[0] for f in PACKED.split(", ")])
 
 
-def marked_batch(docs: np.ndarray, keys: np.ndarray, row: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-    """One row per document with its places."""
-    rows, counts, places = pack_places(row, place)
-    n = len(place)
-    low, high = places[: 2 * n], places[2 * n :]
+def sorted_marks(docs: np.ndarray, keys: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Different marks in order: the documents, their keys, and for each mark its document's number and its place."""
+    order = np.lexsort((place, keys, docs))
+    docs, keys, place = docs[order], keys[order], place[order]
+    new = np.ones(len(docs), bool)
+    new[1:] = (docs[1:] != docs[:-1]) | (keys[1:] != keys[:-1])
+    fresh = new.copy()
+    fresh[1:] |= place[1:] != place[:-1]
+    row = np.cumsum(new) - 1
+    return docs[new], keys[new], row[fresh], place[fresh]
+
+
+def marks_by_owner(found: list[tuple[np.ndarray, ...]], tasks: int) -> Iterator[pa.RecordBatch]:
+    """Marks (documents, keys, places) packed for the tasks that own the documents, one row for each."""
+    if not sum(len(places) for _, _, places in found):
+        return
+    docs, keys, row, place = sorted_marks(*(np.concatenate(c) for c in zip(*found, strict=True)))
+    to = owner(A.scramble(docs.view(np.uint64), 12), tasks)[row]
+    by = np.argsort(to, kind="stable")
+    edges = np.searchsorted(to[by], np.arange(tasks + 1))
+    yield packed_batch([packed_row(t, 0, docs, keys, row[m], place[m]) for t in np.flatnonzero(np.diff(edges)).tolist() for m in [by[edges[t] : edges[t + 1]]]])
+
+
+def marked_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document with all its places."""
+    marks, _ = collect_packed(batches, False)
+    if not marks:
+        return
+    docs, keys, row, place = sorted_marks(*(np.concatenate(c) for c in zip(*marks, strict=True)))
+    _, counts, _ = pack_places(row, place)
     ends = np.cumsum(counts)
-    cut = [low[2 * (e - c) : 2 * e] + high[2 * (e - c) : 2 * e] for c, e in zip(counts.tolist(), ends.tolist(), strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(docs[rows], pa.int64()), pa.array(keys[rows], pa.int64()), pa.array(cut, pa.binary())], ["doc_id", "key", "places"])
+    packed = [pack_places(row[e - c : e], place[e - c : e])[2] for c, e in zip(counts.tolist(), ends.tolist(), strict=True)]
+    for i in range(0, len(docs), 5_000):
+        yield pa.RecordBatch.from_arrays([pa.array(docs[i : i + 5_000], pa.int64()), pa.array(keys[i : i + 5_000], pa.int64()), pa.array(packed[i : i + 5_000], pa.binary())], ["doc_id", "key", "places"])
 
 
 class Gathered:
@@ -179,44 +205,36 @@ def send_anchors(kind: Kind, tasks: int):
     return send
 
 
-def collect_packed(batches: Iterator[pa.RecordBatch], wide: bool):
-    """The task's records, as arrays: documents, keys, row, place, hash (`wide`: 64 bits); first the kind-0 rows one by one."""
-    parts = []
+def collect_packed(batches: Iterator[pa.RecordBatch], wide: bool) -> tuple[list[tuple[np.ndarray, ...]], tuple[np.ndarray, ...] | None]:
+    """The task's marks (documents, keys, places) and its records: documents, keys, places, hashes (`wide`: 64 bits)."""
+    marks, parts = [], []
     for batch in batches:
         for _, what, docs, keys, counts, places, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             counts = np.frombuffer(counts, np.uint32).astype(np.int64)
-            docs, keys, place = np.frombuffer(docs, np.int64), np.frombuffer(keys, np.int64), unpack_places(counts, places)
+            place = unpack_places(counts, places)
+            mine = np.repeat(np.frombuffer(docs, np.int64), counts), np.repeat(np.frombuffer(keys, np.int64), counts), place
             if what == 0:
-                yield marked_batch(docs, keys, np.repeat(np.arange(len(counts)), counts), place)
-                continue
-            if wide:
-                h = np.frombuffer(hashes, np.uint64)
+                marks.append(mine)
+            elif wide:
+                parts.append((*mine, np.frombuffer(hashes, np.uint64)))
             else:
-                n = len(place)
-                h = np.frombuffer(hashes[: 4 * n], np.uint32).astype(np.uint64) | (np.frombuffer(hashes[4 * n :], np.uint16).astype(np.uint64) << np.uint64(32))
-            parts.append((np.repeat(docs, counts), np.repeat(keys, counts), place, h))
-    yield tuple(np.concatenate(c) for c in zip(*parts, strict=True)) if parts else None
+                n = 4 * len(place)
+                parts.append((*mine, np.frombuffer(hashes[:n], np.uint32).astype(np.uint64) | (np.frombuffer(hashes[n:], np.uint16).astype(np.uint64) << np.uint64(32))))
+    return marks, tuple(np.concatenate(c) for c in zip(*parts, strict=True)) if parts else None
 
 
-def by_document(docs: np.ndarray, keys: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-    order = np.lexsort((place, keys, docs))
-    docs, keys, place = docs[order], keys[order], place[order]
-    new = np.concatenate([[True], (docs[1:] != docs[:-1]) | (keys[1:] != keys[:-1])])
-    first = np.flatnonzero(new)
-    return marked_batch(docs[first], keys[first], np.cumsum(new) - 1, place)
-
-
-def repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for found in collect_packed(batches, False):
-        if isinstance(found, pa.RecordBatch):
-            yield found
-        elif found is not None:
-            docs, keys, place, h = found
+def repeated_anchors(tasks: int):
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, records = collect_packed(batches, False)
+        if records is not None:
+            docs, keys, place, h = records
             order = np.argsort(h)
             same = h[order][1:] == h[order][:-1]
             hit = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
-            if len(hit):
-                yield by_document(docs[hit], keys[hit], place[hit])
+            marks.append((docs[hit], keys[hit], place[hit]))
+        yield from marks_by_owner(marks, tasks)
+
+    return repeated
 
 
 def earliest(docs: np.ndarray, place: np.ndarray, *hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -254,10 +272,10 @@ def send_runs(kind: Kind, tasks: int):
             if starts <= 0:
                 continue
             near = np.zeros(starts + 1, np.int32)
-            for i, lists in enumerate(A.column(batch, "places").to_pylist()):
-                if not lists or n[i] < kind.width:
+            for i, packed_places in enumerate(A.column(batch, "places").to_pylist()):
+                if n[i] < kind.width:
                     continue
-                place = np.concatenate([unpack_places(np.array([len(p) // 4]), p) for p in lists]) - base
+                place = unpack_places(np.array([len(packed_places) // 4]), packed_places) - base
                 place = place[(place >= 0) & (place < n[i])]
                 np.add.at(near, first[i] + np.clip(place - kind.modulus + 1, 0, n[i] - kind.width), 1)
                 np.add.at(near, first[i] + np.clip(place, -1, n[i] - kind.width) + 1, -1)
@@ -275,20 +293,18 @@ def send_runs(kind: Kind, tasks: int):
     return send
 
 
-def later_runs(kind: Kind):
+def later_runs(kind: Kind, tasks: int):
     def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in collect_packed(batches, True):
-            if isinstance(found, pa.RecordBatch):
-                yield found
-            elif found is not None:
-                docs, keys, place, h = found
-                order, _, first_doc, first_place = earliest(docs, place, h)
-                hit = docs[order] > first_doc
-                if kind.within:
-                    hit |= (docs[order] == first_doc) & (place[order] > first_place)
-                hit = order[hit]
-                if len(hit):
-                    yield by_document(docs[hit], keys[hit], place[hit])
+        marks, records = collect_packed(batches, True)
+        if records is not None:
+            docs, keys, place, h = records
+            order, _, first_doc, first_place = earliest(docs, place, h)
+            hit = docs[order] > first_doc
+            if kind.within:
+                hit |= (docs[order] == first_doc) & (place[order] > first_place)
+            hit = order[hit]
+            marks.append((docs[hit], keys[hit], place[hit]))
+        yield from marks_by_owner(marks, tasks)
 
     return later
 
@@ -302,26 +318,26 @@ def mark_repeats(docs: DataFrame, kind: Kind) -> DataFrame:
     texts = rows.select("doc_id", "key", F.xxhash64(F.lit(17), "text").alias("key2"), F.octet_length("text").alias("n"))
     firsts = texts.groupBy("key", "key2", "n").agg(F.min("doc_id").alias("first"))
     copies = texts.join(firsts, ["key", "key2", "n"]).where(F.col("doc_id") > F.col("first")).select("doc_id", "key").distinct()
-    sent = lambda send: send.repartitionById(tasks, "bucket")
-    near = keep(lambda: sent(rows.mapInArrow(send_anchors(kind, tasks), PACKED)).mapInArrow(repeated_anchors, MARKED).groupBy("doc_id").agg(F.collect_list("places").alias("places")), "anchors")
-    around = lambda: rows.join(near.join(firsts.select(F.col("first").alias("doc_id"), F.col("key").alias("first_key")), "doc_id").hint("shuffle_hash"), "doc_id").where(F.col("key") == F.col("first_key")).drop("first_key")
-    runs = lambda: sent(around().mapInArrow(send_runs(kind, tasks), PACKED)).mapInArrow(later_runs(kind), MARKED)
-    marked = lambda: runs().groupBy("doc_id", "key").agg(F.collect_set("places").alias("places"))
-    return keep(lambda: marked().select("doc_id", "key", F.lit(False).alias("whole"), "places").unionByName(
-        copies.select("doc_id", "key", F.lit(True).alias("whole"), F.lit(None).cast("array<binary>").alias("places"))), "marks")
+    to_owner = lambda packed: packed.repartitionById(tasks, "bucket")
+    marks = lambda packed: to_owner(packed).mapInArrow(marked_documents, MARKED)
+    near = keep(lambda: marks(to_owner(rows.mapInArrow(send_anchors(kind, tasks), PACKED)).mapInArrow(repeated_anchors(tasks), PACKED)), "anchors")
+    of_firsts = near.join(firsts.select(F.col("first").alias("doc_id"), "key"), ["doc_id", "key"])
+    around = lambda: rows.join(of_firsts.hint("shuffle_hash"), ["doc_id", "key"])
+    later = lambda: marks(to_owner(around().mapInArrow(send_runs(kind, tasks), PACKED)).mapInArrow(later_runs(kind, tasks), PACKED))
+    return keep(lambda: later().select("doc_id", "key", F.lit(False).alias("whole"), "places").unionByName(
+        copies.select("doc_id", "key", F.lit(True).alias("whole"), F.lit(None).cast("binary").alias("places"))), "marks")
 
 
-def covered(n: int, whole: bool, places: list[bytes] | None, width: int) -> np.ndarray:
+def covered(n: int, whole: bool, places: bytes | None, width: int) -> np.ndarray:
     """Which of n symbols a marked run covers."""
     if whole and n >= width:
         return np.ones(n, bool)
     if not places:
         return np.zeros(n, bool)
     edge = np.zeros(n + 1, np.int64)
-    for p in places:
-        at = unpack_places(np.array([len(p) // 4]), p)
-        np.add.at(edge, at, 1)
-        np.add.at(edge, at + width, -1)
+    at = unpack_places(np.array([len(places) // 4]), places)
+    np.add.at(edge, at, 1)
+    np.add.at(edge, at + width, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
