@@ -186,23 +186,6 @@ SCORECARD_REVIEW_DISTANCE = 0.025
 SCORECARD_FREE_SCORE = 75
 SCORECARD_LIST_PRICE = 89999
 
-# --- fixed values: synthetic archetypes (ratio of the learned range, or position among allowed) --
-# numeric fields hold the interpolation ratio, categorical fields the position in the allowed list
-ARCHETYPES = (
-    ("synthetic_min_signal_new_visitor", {
-        "Age": 0.0, "Gender": 0, "AnnualIncome": 0.25, "NumberOfPurchases": 0.0, "ProductCategory": 0,
-        "TimeSpentOnWebsite": 0.02, "LoyaltyProgram": 0, "DiscountsAvailed": 0.0}),
-    ("synthetic_premium_window_shopper", {
-        "Age": 0.55, "Gender": 1, "AnnualIncome": 1.0, "NumberOfPurchases": 0.35, "ProductCategory": -1,
-        "TimeSpentOnWebsite": 0.95, "LoyaltyProgram": 0, "DiscountsAvailed": 0.2}),
-    ("synthetic_loyal_discount_fatigue", {
-        "Age": 0.7, "Gender": 0, "AnnualIncome": 0.6, "NumberOfPurchases": 0.85, "ProductCategory": 1,
-        "TimeSpentOnWebsite": 0.7, "LoyaltyProgram": -1, "DiscountsAvailed": 1.0}),
-    ("synthetic_young_high_attention_boundary", {
-        "Age": 0.08, "Gender": 1, "AnnualIncome": 0.75, "NumberOfPurchases": 0.1, "ProductCategory": 2,
-        "TimeSpentOnWebsite": 0.98, "LoyaltyProgram": -1, "DiscountsAvailed": 0.8}),
-)
-
 # --- fixed values: widening steps of learned float rules --------------------------------------
 RULE_STEPS = {"AnnualIncome": 1000.0, "TimeSpentOnWebsite": 1.0}
 

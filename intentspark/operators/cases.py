@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from intentspark import fixed
 from intentspark.errors import ContractError
 from intentspark.functions.quantiles import exact_quantiles
-from intentspark.operators.contract import Rule, archetype_profiles
 from intentspark.operators.policy import decide
 from intentspark.roles import DEFAULT_ROLES
 
@@ -91,13 +90,13 @@ def case_checks(decided_cases: DataFrame) -> DataFrame:
         check("non_loyal_high_time", (rate > 0.0) | review).alias("non_loyal_high_time_not_ignored"))
 
 
-def case_union(spark, cases: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Reference and synthetic cases in one table; a repeated id is an error."""
-    columns = ["case_id", *[r.column for r in rules]]
-    real = cases.select(*columns).withColumn("origin", F.lit("reference"))
-    synthetic = archetype_profiles(spark, rules).select(*columns).withColumn("origin", F.lit("synthetic"))
-    both = real.unionByName(synthetic)
-    if not both.groupBy("case_id").count().where("count > 1").isEmpty():
+def case_union(parts: dict[str, DataFrame]) -> DataFrame:
+    """Cases of several origins in one table; an id that repeats within its origin is an error."""
+    both = None
+    for origin, cases in parts.items():
+        one = cases.select("case_id", *DEFAULT_ROLES.contract_inputs).withColumn("origin", F.lit(origin))
+        both = one if both is None else both.unionByName(one)
+    if not both.groupBy("origin", "case_id").count().where("count > 1").isEmpty():
         raise ContractError("case ids repeat")
     return both
 

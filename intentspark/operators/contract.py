@@ -32,15 +32,6 @@ class Rule:
     allowed: tuple[int, ...] = ()
     example: float = 0.0
 
-    def at_ratio(self, ratio: float) -> float:
-        """Value at a share of the range; whole numbers round half to even."""
-        ratio = min(1.0, max(0.0, ratio))
-        value = self.low + (self.high - self.low) * ratio
-        return float(round(value)) if self.kind == "integer_range" else round(value, 6)
-
-    def at_position(self, position: int) -> float:
-        return float(self.allowed[position % len(self.allowed)])
-
 
 def learn_rules(df: DataFrame, roles: RoleSpec = DEFAULT_ROLES) -> list[Rule]:
     """One rule per contract column: allowed codes, integer range or float range.
@@ -189,62 +180,37 @@ def output_contract(decided: DataFrame, passthrough: tuple[str, ...] = ()) -> Da
         "requires_manual_review", "guardrail_flags", rationale.alias("short_rationale"))
 
 
-def archetype_profiles(spark: SparkSession, rules: list[Rule]) -> DataFrame:
-    """Synthetic profiles at fixed places of the learned ranges, checked against the same rules."""
-    by_column = {r.column: r for r in rules}
-    rows = []
-    for name, places in fixed.ARCHETYPES:
-        values = []
-        for r in rules:
-            place = places[r.column]
-            values.append(r.at_position(place) if r.kind == "categorical_integer" else r.at_ratio(place))
-        rows.append((name, *values))
-    schema = "case_id string, " + ", ".join(f"{c} double" for c in by_column)
-    profiles = spark.createDataFrame(rows, schema)
-    valid, rejects = split_valid(profiles, rules, ("case_id",))
-    if not rejects.isEmpty():
-        raise ContractError("an archetype profile violates the rules it was built from")
-    return valid
-
-
-def edge_cases(spark: SparkSession, rules: list[Rule]) -> DataFrame:
-    """Boundary profiles that must pass and single-field mutations that must be refused."""
-    rule = {r.column: r for r in rules}
-    base = {r.column: r.example for r in rules}
-    low = lambda *names: {n: rule[n].low for n in names}
-    high = lambda *names: {n: rule[n].high for n in names}
-    history = ("NumberOfPurchases", "DiscountsAvailed")
-    cases = [
-        ("valid_min_boundary_profile", True, low("Age", "TimeSpentOnWebsite", *history)),
-        ("valid_max_boundary_profile", True, high("Age", "AnnualIncome", "TimeSpentOnWebsite", *history)),
-        ("valid_zero_history_high_attention", True,
-         {**low(*history), "TimeSpentOnWebsite": round(rule["TimeSpentOnWebsite"].high * 0.95, 6)}),
-        ("invalid_age_below_min", False, {"Age": rule["Age"].low - 1}),
-        ("invalid_income_above_max", False, {"AnnualIncome": round(rule["AnnualIncome"].high + 5000.0, 6)}),
-        ("invalid_unknown_category_code", False, {"ProductCategory": float(max(rule["ProductCategory"].allowed) + 1)}),
-        ("invalid_loyalty_code", False, {"LoyaltyProgram": 2.0}),
-        ("invalid_time_above_max", False, {"TimeSpentOnWebsite": round(rule["TimeSpentOnWebsite"].high + 3.0, 6)}),
-        ("invalid_negative_discount_history", False, {"DiscountsAvailed": -1.0}),
-    ]
-    rows = [(name, expected, *({**base, **change}[c] for c in base)) for name, expected, change in cases]
-    return spark.createDataFrame(
-        rows, "case_id string, expected_valid boolean, " + ", ".join(f"{c} double" for c in base))
-
-
-def edge_case_matrix(spark: SparkSession, rules: list[Rule], scorer: Scorer,
-                     bands: dict[str, float] | None = None) -> DataFrame:
-    """Observed acceptance of each edge case against the expected one."""
-    decisions, rejects = batch_score(
-        edge_cases(spark, rules), rules, scorer, bands, passthrough=("case_id", "expected_valid"))
-    accepted = decisions.select(
-        "case_id", "expected_valid", F.lit(True).alias("accepted"),
-        F.col("purchase_score").alias("predicted_probability"), "recommended_action", "requires_manual_review",
-        F.lit(None).cast("string").alias("error"))
-    refused = rejects.select(
-        "case_id", "expected_valid", F.lit(False).alias("accepted"),
-        F.lit(None).cast("double").alias("predicted_probability"), F.lit(None).cast("string").alias("recommended_action"),
-        F.lit(None).cast("boolean").alias("requires_manual_review"), F.array_join("violations", "|").alias("error"))
-    observed = (
-        F.when(F.col("accepted") == F.col("expected_valid"), "passed")
-        .when(F.col("accepted"), "failed_unexpected_accept").otherwise("failed_unexpected_reject"))
-    return accepted.unionByName(refused).withColumn("observed_status", observed).drop("accepted")
+def mutations(rules: list[Rule]) -> list[tuple[str, str, bool, str | None]]:
+    """(mutation, column, whether it must be accepted, value as text) for every rule, from its kind."""
+    out: list[tuple[str, str, bool, str | None]] = []
+    for r in rules:
+        if r.kind == "categorical_integer":
+            out += [("known_code", r.column, True, str(r.allowed[-1])), ("unknown_code", r.column, False, str(r.allowed[-1] + 1))]
+        else:
+            whole = r.kind == "integer_range"
+            text = lambda v: str(int(v)) if whole else repr(float(v))  # noqa: B023 (used at once)
+            out += [("at_lower_bound", r.column, True, text(r.low)), ("at_upper_bound", r.column, True, text(r.high)),
+                    ("below_range", r.column, False, text(r.low - 1)), ("above_range", r.column, False, text(r.high + 1))]
+        out += [("left_blank", r.column, False, None), ("not_a_number", r.column, False, "n/a")]
+    return out
+
+
+def mutate(df: DataFrame, rules: list[Rule], passthrough: tuple[str, ...] = ()) -> DataFrame:
+    """Every row once per mutation, as text, with one field replaced."""
+    each = F.array(*[
+        F.struct(F.lit(m).alias("mutation"), F.lit(c).alias("column_name"), F.lit(ok).alias("expected_valid"), F.lit(v).cast("string").alias("value"))
+        for m, c, ok, v in mutations(rules)])
+    field = lambda c: F.when(F.col("_m.column_name") == c, F.col("_m.value")).otherwise(F.col(c).cast("string")).alias(c)
+    return df.withColumn("_m", F.explode(each)).select(*passthrough, "_m.mutation", "_m.column_name", "_m.expected_valid", *[field(r.column) for r in rules])
+
+
+def mutation_matrix(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Per mutation and column: how many of the table's valid rows are accepted and refused after it.
+
+    Rows that break a rule before any change are left to `contract_summary`."""
+    valid, _ = split_valid(df.select(*[r.column for r in rules]), rules)
+    checked = check_rows(mutate(valid, rules), rules, ("mutation", "column_name", "expected_valid"))
+    accepted = F.size("violations") == 0
+    return checked.groupBy("mutation", "column_name", "expected_valid").agg(
+        F.count_if(accepted).alias("accepted_rows"), F.count_if(~accepted).alias("refused_rows"),
+        F.when(F.count_if(accepted != F.col("expected_valid")) == 0, "passed").otherwise("failed").alias("status"))

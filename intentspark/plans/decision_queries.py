@@ -109,12 +109,9 @@ def drift(spark, sf):
 
 
 def edge_matrix(spark, sf):
-    rules = contract.learn_rules(clean_customers(spark, sf).where("TimeSpentOnWebsite is not null"))
-    return contract.edge_case_matrix(spark, rules, Scorecard())
-
-
-def synthetic(spark, sf):
-    return contract.archetype_profiles(spark, contract.learn_rules(clean_customers(spark, sf)))
+    """Every boundary and every invalid change applied to every customer that the contract accepts."""
+    frame = clean_customers(spark, sf)
+    return contract.mutation_matrix(frame, contract.learn_rules(frame))
 
 
 def variants(spark, sf):
@@ -164,7 +161,8 @@ def case_policy(spark, sf):
 
 
 def union(spark, sf):
-    return cases.case_union(spark, reference(spark, sf), line_rules(spark, sf))
+    scored = scored_lines(spark, sf)
+    return cases.case_union({name: cases.reference_cases(side(scored, name)) for name in ("test", "validation")})
 
 
 def scoring_log(spark, sf):
@@ -200,7 +198,7 @@ def stages(spark, sf):
 
 
 def readiness(spark, sf):
-    edge = edge_matrix(spark, sf).agg(F.count_if(F.col("observed_status") != "passed").alias("n"))
+    edge = edge_matrix(spark, sf).agg(F.count_if(F.col("status") != "passed").alias("n"))
     rerun = whatif.rerun_consistency(lines(spark, sf), Scorecard()).select("deterministic")
     moved = variants(spark, sf).agg(F.count(F.lit(1)).alias("n"))
     alerts = fairness.fairness_alerts(fairness.fairness_gaps(scored_lines(spark, sf))).agg(F.count(F.lit(1)).alias("n"))
@@ -250,7 +248,6 @@ QUERIES = {
     "scoring_overview": line_batch_score,
     "scoring_log": scoring_log,
     "replay_alignment": replay,
-    "synthetic_profiles": synthetic,
     "edge_case_matrix": edge_matrix,
     "sensitivity_variants": lambda s, d: whatif.variant_effects(variants(s, d)),
     "sensitivity_summary": lambda s, d: whatif.sensitivity_overview(whatif.sensitivity_summary(variants(s, d))),

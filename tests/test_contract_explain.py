@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,10 +54,17 @@ def test_schema_level_violations(spark, rules):
     assert nested == ["Age:not_scalar"]
 
 
-def test_edge_cases_all_pass(spark, rules):
-    rows = contract.edge_case_matrix(spark, rules, STUB).collect()
-    assert len(rows) == 9 and {r["observed_status"] for r in rows} == {"passed"}
-    assert all(r["error"] for r in rows if not r["expected_valid"])
+def test_every_row_passes_or_fails_each_change_as_it_must(spark, rules):
+    rows = contract.mutation_matrix(spark.createDataFrame(ROWS, SCHEMA), rules).collect()
+    assert {r["status"] for r in rows} == {"passed"} and {r["column_name"] for r in rows} == {r.column for r in rules}
+    assert {r["accepted_rows"] + r["refused_rows"] for r in rows} == {len(ROWS)}
+    assert {r["expected_valid"] for r in rows} == {True, False}
+
+
+def test_a_rule_that_is_too_wide_fails_the_matrix(spark, rules):
+    loose = [replace(r, high=r.high + 10) if r.column == "Age" else r for r in rules]
+    checked = contract.check_rows(contract.mutate(spark.createDataFrame(ROWS, SCHEMA), rules), loose, ("mutation", "column_name", "expected_valid"))
+    assert checked.where("mutation = 'above_range' and column_name = 'Age' and size(violations) = 0").count() == len(ROWS)
 
 
 def test_variants_are_bounded_unique_and_real(spark, rules):
@@ -85,11 +94,11 @@ def test_reference_cases(spark, sf):
     assert "boundary_case" in {r["case_id"] for r in rows}
 
 
-def test_case_union_rejects_repeated_ids(spark, rules):
-    one = contract.archetype_profiles(spark, rules)
-    assert cases.case_union(spark, one.limit(0), rules).count() == 4
+def test_case_union_rejects_repeated_ids(spark, sf):
+    picked = cases.reference_cases(side(scored_lines(spark, sf), "test"))
+    assert cases.case_union({"test": picked, "again": picked}).count() == 16
     with pytest.raises(ContractError):
-        cases.case_union(spark, one, rules)
+        cases.case_union({"test": picked.unionByName(picked)})
 
 
 def test_shapley_adds_up(spark, sf):
