@@ -31,12 +31,20 @@ def ratio(numerator: Column, denominator: Column, default: float | None = None)
     return value if default is None else F.coalesce(value, F.lit(float(default)))
 
 
-def share_of_total(count: Column, window) -> Column:
-    return F.round(count / F.sum(count).over(window), 6)
+def clip(value: Column, low: float, high: float) -> Column:
+    """Within [low, high]. NULL and NaN stay what they are, for which least and greatest alone would give a bound: the
+    difference of the value with itself is 0, NULL or NaN, and costs less generated code than a branch."""
+    return F.least(F.greatest(value, F.lit(low)), F.lit(high)) + (value - value)
 
 
-def clip(value: Column, low: float, high: float) -> Column:
-    return F.least(F.greatest(value, F.lit(low)), F.lit(high))
+def usable_score(p: Column) -> Column:
+    """True for a probability, false for NULL, NaN and anything outside [0, 1]."""
+    return F.coalesce(p.between(0.0, 1.0), F.lit(False))  # NaN sorts above every number
+
+
+def required_score(p: Column) -> Column:
+    """The probability; a row without a usable one ends the query."""
+    return F.when(usable_score(p), p).otherwise(F.raise_error(F.lit("a row to be evaluated has no score in [0, 1]")).cast("double"))
 
 
 def sigmoid(value: Column) -> Column:

@@ -206,9 +206,11 @@ def leakage_risk(df: DataFrame, roles: RoleSpec = DEFAULT_ROLES) -> DataFrame:
 
 
 def go_decision(df: DataFrame, columns: list[str], expected: tuple[str, ...] = fixed.PROFILE_COLUMNS,
-                target: str = fixed.TARGET) -> DataFrame:
-    """Go / Conditional Go / No Go from the schema, label, duplicate and leakage findings."""
-    issues = bool(set(columns) ^ set(expected))
+                target: str = fixed.TARGET, identity: tuple[str, ...] = ("profile_id", "row_id", "split")) -> DataFrame:
+    """Go / Conditional Go / No Go from the schema, label, duplicate and leakage findings.
+
+    A column of the table that is missing or unexpected (identity columns aside) is a schema issue."""
+    issues = bool((set(df.columns) - set(identity)) ^ set(expected))
     high_risk = any(risk == "high" for _, _, risk in fixed.LEAKAGE_MATRIX)
     copies, label = F.col("copies"), binary_like(target)
     verdict = duplicate_groups(df, columns).agg(

@@ -161,7 +161,11 @@ def contract_summary(df: DataFrame, rules: list[Rule], passthrough: tuple[str, .
 
 def batch_score(df: DataFrame, rules: list[Rule], scorer: Scorer, bands: dict[str, float] | None = None,
                 passthrough: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Validate, score and decide a whole table: (decisions in the output contract, rejects)."""
+    """Validate, score and decide a whole table: (decisions in the output contract, rejects of the contract).
+
+    A valid row that the scorer gives no probability, or whose history is negative, stays among the decisions without an
+    action, flagged for manual review: a filter on the score would repeat the whole scoring expression in its predicate.
+    """
     valid, rejects = split_valid(df, rules, passthrough)
     decided = decide(scorer.score(valid), bands)
     return output_contract(decided, passthrough), rejects

@@ -46,14 +46,15 @@ def forest(params: dict, weight: str | None = None) -> RandomForestClassifier:
     """Random forest; an unlimited depth becomes Spark's maximum of 30."""
     model = RandomForestClassifier(
         labelCol=LABEL, numTrees=params["trees"], maxDepth=params["depth"] or 30, minInstancesPerNode=params["leaf"],
-        featureSubsetStrategy=params["features"], seed=fixed.SEED, maxMemoryInMB=512)
+        featureSubsetStrategy=params["features"], seed=fixed.SEED, maxMemoryInMB=1024)
     return model.setWeightCol(weight) if weight else model
 
 
 def boosting(params: dict, bins: int = 32) -> GBTClassifier:
     return GBTClassifier(
         labelCol=LABEL, maxIter=params["rounds"], stepSize=params["rate"], maxDepth=params["depth"],
-        minInstancesPerNode=params["leaf"], subsamplingRate=params.get("subsample", 1.0), maxBins=bins, seed=fixed.SEED)
+        minInstancesPerNode=params["leaf"], subsamplingRate=params.get("subsample", 1.0), maxBins=bins, seed=fixed.SEED,
+        maxMemoryInMB=1024, cacheNodeIds=True)
 
 
 def family_estimator(family: str, params: dict) -> tuple[str, Estimator]:
@@ -79,11 +80,6 @@ def family_grid(family: str) -> tuple[dict, ...]:
     }[family]
 
 
-def lighter(params: dict, share: float) -> dict:
-    """The same candidate with a share of its trees or rounds; everything else is kept."""
-    return {k: max(1, round(v * share)) if k in ("trees", "rounds") else v for k, v in params.items()}
-
-
 def matrix_pipeline(branch: str) -> Pipeline:
     return Pipeline(stages=[FeatureBuilder(), MatrixBuilder(branch=branch)])
 

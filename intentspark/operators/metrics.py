@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 
 from intentspark import fixed
 from intentspark.errors import ContractError
-from intentspark.functions.scalars import ratio
+from intentspark.functions.scalars import ratio, required_score, usable_score
 
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", "balanced_accuracy", "brier_score")
 
 
 def score_ladder(scored: DataFrame, by: list[str], target: str = fixed.TARGET) -> DataFrame:
     """(group, p): positives, negatives, and how many of each were labelled positive."""
-    y, p = F.col(target), F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("p"))), 6)
+    y, p = F.col(target), F.round(required_score(F.col("p")), 6)
     return scored.groupBy(*by, p.alias("p")).agg(
         F.sum(F.when(y == 1, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(y == 0, 1).otherwise(0)).alias("neg"),
@@ -184,7 +184,7 @@ def _cell_metrics(df: DataFrame) -> DataFrame:
 def threshold_metrics(scored: DataFrame, cut: float | Column, target: str = fixed.TARGET) -> DataFrame:
     """Confusion cells and metrics with the label p >= cut."""
     cut = cut if isinstance(cut, Column) else F.lit(float(cut))
-    y, hit = F.col(target), F.col("p") >= cut
+    y, hit = F.col(target), required_score(F.col("p")) >= cut
     cells = scored.agg(
         F.count_if((y == 0) & ~hit).alias("tn"), F.count_if((y == 0) & hit).alias("fp"),
         F.count_if((y == 1) & ~hit).alias("fn"), F.count_if((y == 1) & hit).alias("tp"))
@@ -199,6 +199,7 @@ def sweep_thresholds(points: int = fixed.SWEEP_POINTS) -> list[float]:
 def threshold_sweep(scored: DataFrame, thresholds: list[float] | None = None, target: str = fixed.TARGET) -> DataFrame:
     """Metrics at every threshold from one pass: rows are counted by the last threshold they reach."""
     cuts = thresholds or sweep_thresholds()
+    scored = scored.select(required_score(F.col("p")).alias("p"), target)
     reached = F.lit(0)
     for t in cuts:
         reached = reached + F.when(F.col("p") >= F.lit(t), 1).otherwise(0)
@@ -259,7 +260,8 @@ def learn_bands(scored: DataFrame, target: str = fixed.TARGET) -> dict[str, floa
 
 def intent_band(bands: dict[str, float]) -> Column:
     return (
-        F.when(F.col("p") < bands["low"], "low_intent_holdout")
+        F.when(~usable_score(F.col("p")), "unscored")
+        .when(F.col("p") < bands["low"], "low_intent_holdout")
         .when(F.col("p") < bands["high"], "mid_band_targeted_offer")
         .otherwise("high_confidence_no_discount")
     )

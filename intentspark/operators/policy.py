@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from intentspark import fixed
 from intentspark.errors import ContractError
-from intentspark.functions.scalars import flag_list, lenient_double
+from intentspark.functions.scalars import flag_list, lenient_double, usable_score
 from intentspark.operators.scorers import purchase_percent, score_discount
 
 SATURATED = "historical_discount_saturation"
 DOWNGRADED = "discount_intensity_downgraded"
 BOUNDARY = "threshold_boundary_review"
+BAD_SCORE, BAD_HISTORY = "score_rejected", "history_rejected"
+UNSCORED = "unscored"
 
 
 def validate_bands(bands: dict[str, float]) -> dict[str, float]:
@@ -26,7 +28,7 @@ def validate_bands(bands: dict[str, float]) -> dict[str, float]:
 
 
 def score_band(bands: dict[str, float]) -> Column:
-    return band_choice(bands, [band for band, _ in fixed.BAND_ACTIONS])
+    return band_choice(bands, [band for band, _ in fixed.BAND_ACTIONS], UNSCORED)
 
 
 def base_action(bands: dict[str, float]) -> Column:
@@ -35,7 +37,7 @@ def base_action(bands: dict[str, float]) -> Column:
 
 def split_bad_scores(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows with a probability in [0, 1], the others)."""
-    good = F.col("p").isNotNull() & ~F.isnan("p") & F.col("p").between(0.0, 1.0)
+    good = usable_score(F.col("p"))
     return scored.where(good), scored.where(~good)
 
 
@@ -47,12 +49,12 @@ def boundary_review(bands: dict[str, float]) -> Column:
     return near
 
 
-def band_choice(bands: dict[str, float], values: list[str]) -> Column:
-    """One of four values by score band, lower edges included."""
+def band_choice(bands: dict[str, float], values: list[str], unscored: str | None = None) -> Column:
+    """One of four values by score band, lower edges included; ``unscored`` without a usable score."""
     p = F.col("p")
     return (
-        F.when(p < bands["low"], values[0]).when(p < bands["binary"], values[1])
-        .when(p < bands["high"], values[2]).when(p.isNotNull(), values[3])
+        F.when(~usable_score(p), F.lit(unscored)).when(p < bands["low"], values[0]).when(p < bands["binary"], values[1])
+        .when(p < bands["high"], values[2]).otherwise(values[3])
     )
 
 
@@ -85,11 +87,14 @@ def proxy_value(p: Column, discount: Column, uplift: Column, cost: Column,
 def recommend(scored: DataFrame, bands: dict[str, float] | None = None, history: str = "DiscountsAvailed") -> DataFrame:
     """Adds band, base and recommended action, review mark and flags. Rows keep their columns, none is dropped.
 
-    Guardrails are phrased on the score and the history, so the whole step is one projection.
+    Guardrails are phrased on the score and the history, so the whole step is one projection. A row without a usable
+    score or with a negative history gets no action: it is flagged for manual review.
     """
     bands = validate_bands(bands or fixed.DEFAULT_BANDS)
     p = F.col("p")
     past = F.coalesce(lenient_double(history), F.lit(0.0)) if history in scored.columns else F.lit(0.0)
+    bad_score, bad_history = ~usable_score(p), past < 0
+    rejected = bad_score | bad_history
     standard = (p >= bands["low"]) & (p < bands["binary"])
     discounted = (p >= bands["low"]) & (p < bands["high"])
     saturated = discounted & (past >= fixed.DISCOUNT_CAP_HISTORY)
@@ -97,10 +102,11 @@ def recommend(scored: DataFrame, bands: dict[str, float] | None = None, history:
     near = boundary_review(bands)
     return scored.select(
         "*", score_band(bands).alias("score_band"), base_action(bands).alias("base_action"),
-        F.when(saturated, "manual_review_discount_cap").when(downgraded, fixed.BAND_ACTIONS[2][1])
+        F.when(rejected, F.lit(None)).when(saturated, "manual_review_discount_cap").when(downgraded, fixed.BAND_ACTIONS[2][1])
         .otherwise(base_action(bands)).alias("recommended_action"),
-        (saturated | near).alias("requires_manual_review"),
-        flag_list((saturated, SATURATED), (downgraded, DOWNGRADED), (near, BOUNDARY)).alias("guardrail_flags"))
+        (rejected | saturated | near).alias("requires_manual_review"),
+        flag_list((bad_score, BAD_SCORE), (bad_history, BAD_HISTORY), (~rejected & saturated, SATURATED),
+                  (~rejected & downgraded, DOWNGRADED), (~rejected & near, BOUNDARY)).alias("guardrail_flags"))
 
 
 def decide(scored: DataFrame, bands: dict[str, float] | None = None, history: str = "DiscountsAvailed") -> DataFrame:
@@ -224,11 +230,13 @@ def scorecard_offer(scored: DataFrame, bands: dict[str, float] | None = None,
 
 
 def metric_alignment(stored: DataFrame, fresh: DataFrame, tolerance: float = fixed.ALIGNMENT_TOLERANCE) -> DataFrame:
-    """Stored against recomputed metrics per model; ``aligned`` is false beyond the tolerance."""
+    """Stored against recomputed metrics per model; ``aligned`` is false beyond the tolerance and where only one side has the model or a value."""
     names = ("pr_auc", "balanced_accuracy", "brier_score")
     long = lambda df, value: df.select("model_name", F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric_name"), F.col(m).alias(value)) for m in names])).alias("e")).select(
             "model_name", "e.*")
-    joined = long(stored, "stored_value").join(long(fresh, "fresh_value"), ["model_name", "metric_name"], "full")
+    joined = long(stored, "stored_value").withColumn("in_stored", F.lit(True)).join(
+        long(fresh, "fresh_value").withColumn("in_fresh", F.lit(True)), ["model_name", "metric_name"], "full")
     delta = F.round(F.abs(F.col("stored_value") - F.col("fresh_value")), 9)
-    return joined.withColumn("delta", delta).withColumn("aligned", F.coalesce(delta <= tolerance, F.lit(True)))
+    both_undefined = F.col("in_stored").isNotNull() & F.col("in_fresh").isNotNull() & F.col("stored_value").isNull() & F.col("fresh_value").isNull()
+    return joined.withColumn("delta", delta).withColumn("aligned", F.coalesce(delta <= tolerance, both_undefined)).drop("in_stored", "in_fresh")

@@ -10,6 +10,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.errors import IllegalArgumentException
+
 from intentspark import fixed
 from intentspark.errors import AnalysisError
 from intentspark.operators import learners
@@ -58,13 +60,14 @@ def rank_tuple(m: dict) -> tuple:
             -1.0 if gap is None else -gap)
 
 
-def tune_family(family: str, train: DataFrame, validation: DataFrame, share: float = 1.0) -> FamilyOutcome:
+def tune_family(family: str, train: DataFrame, validation: DataFrame) -> FamilyOutcome:
     """Fits every candidate of the family's grid on one kept matrix, a few at a time.
 
-    A candidate that fails is recorded and skipped; if all fail the family is refused. The winner already
+    A candidate whose parameters are refused is recorded and skipped; if all are, so is the family. Any other error ends
+    the tuning: a lost executor must not narrow the choice. The winner already
     fitted is the base variant, its calibrated twin is fitted next to it and the better one is chosen.
     """
-    grid = [learners.lighter(p, share) for p in learners.family_grid(family)]
+    grid = list(learners.family_grid(family))
     branch, _ = learners.family_estimator(family, grid[0])
     prepared, vectors = learners.matrix(train, branch)
 
@@ -72,7 +75,7 @@ def tune_family(family: str, train: DataFrame, validation: DataFrame, share: flo
         try:
             scorer = learners.joined(prepared, learners.family_estimator(family, params)[1].fit(vectors))
             return scorer, measured(scorer, validation, f"{family}_base", family), None
-        except Exception as error:  # any failed fit only costs this candidate
+        except IllegalArgumentException as error:  # parameters that the data cannot bear only cost this candidate
             return None, None, f"{type(error).__name__}: {str(error)[:200]}"
 
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:

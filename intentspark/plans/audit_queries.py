@@ -11,7 +11,8 @@ from intentspark.plans.frames import COLUMNS, clean_customers, customers, lines,
 from intentspark.roles import DEFAULT_ROLES
 from intentspark.sources.bindings import profile_row_id
 from intentspark.sources.contracts import schema_diff
-from intentspark.sources.readers import scan_profile, scan_summary
+from intentspark.sources.readers import csv_reader, scan_profile, scan_summary, split_rejects
+from intentspark.sources.sinks import scratch_path
 
 NUMERIC = list(fixed.NUMERIC)
 SAFE = list(fixed.SAFE_NUMERIC)
@@ -25,6 +26,17 @@ def noisy_text(df):
                      .when(k % 5 == 0, F.concat(n, F.lit(".5"))).otherwise(n).alias("raw"))
 
 
+def csv_rejects(spark, sf):
+    """Customers written as CSV text with some damaged fields, scanned again: rows on either side, and per column."""
+    k = F.col("profile_id")
+    damaged = {"Age": F.when(k % 13 == 0, "abc"), "AnnualIncome": F.when(k % 17 == 0, "1,5"), "TimeSpentOnWebsite": F.when(k % 19 == 0, "")}
+    text = [F.coalesce(damaged.get(c, F.lit(None)), F.col(c).cast("string")).alias(c) for c in COLUMNS]
+    path = scratch_path(spark, "csv")
+    customers(spark, sf).select(*text).write.option("header", True).csv(path)
+    good, bad = split_rejects(scan_profile(spark, path, reader=csv_reader()))
+    return scan_summary(good, COLUMNS).withColumn("rejected_rows", bad.agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
 def spelled_label(df):
     k, y = F.col("profile_id") % 5, F.col("PurchaseStatus").cast("string")
     return df.select(F.when(k == 0, F.concat(y, F.lit(".0"))).when(k == 1, F.concat(F.lit(" "), y))
@@ -51,6 +63,7 @@ def fixed_bands(spark, sf):
 QUERIES = {
     "customer_profile": customers,
     "scan_profile": lambda s, d: scan_summary(scan_profile(s, d, reader=customers), COLUMNS),
+    "csv_rejects": csv_rejects,
     "schema_diff": lambda s, d: schema_diff(customers(s, d), fixed.PROFILE_COLUMNS),
     "coerce_numeric": lambda s, d: noisy_text(customers(s, d)).select(
         "profile_id", lenient_double("raw").alias("value")),

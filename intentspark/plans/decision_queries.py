@@ -36,6 +36,17 @@ def policy_frame(spark, sf):
     return flat(side(decided_lines(spark, sf), "test").select(*keep))
 
 
+def score_rejects(spark, sf):
+    """Decisions over scores and histories of which some are damaged by a rule on a field."""
+    k, p = F.col("NumberOfPurchases"), F.col("p")
+    damaged = scored_lines(spark, sf).withColumns({
+        "p": F.when(k == 3, F.lit(None)).when(k == 5, F.lit(float("nan"))).when(k == 7, F.lit(1.7)).when(k == 11, F.lit(-0.3)).otherwise(p),
+        "DiscountsAvailed": F.when(k == 13, F.lit(-2)).otherwise(F.col("DiscountsAvailed"))})
+    decided = policy.decide(damaged)
+    return flat(decided.groupBy("score_band", F.coalesce("recommended_action", F.lit("none")).alias("action"), "requires_manual_review", "guardrail_flags").agg(
+        F.count(F.lit(1)).alias("row_count")))
+
+
 def guardrails(spark, sf):
     scored = scored_lines(spark, sf)
     alerts = fairness.fairness_alerts(fairness.fairness_gaps(scored)).agg(F.count(F.lit(1)).alias("n"))
@@ -178,23 +189,29 @@ def replay(spark, sf):
         F.count(F.lit(1)).alias("row_count"), F.max("probability_delta").alias("max_probability_delta"))
 
 
+def champion(frame):
+    """One row: the better of scorecard and rule baseline on the validation rows that they can score."""
+    rows = None
+    for name, scorer in (("scorecard", Scorecard()), ("rule_baseline", RuleScorer.fit(side(frame, "train")))):
+        good, _ = policy.split_bad_scores(scorer.score(side(frame, "validation")).select("p", "yhat", fixed.TARGET))
+        one = good.withColumn("model_name", F.lit(name))
+        rows = one if rows is None else rows.unionByName(one)
+    order = F.struct(*[F.coalesce(m, F.lit(-1.0)) for m in ("pr_auc", "balanced_accuracy")], "model_name")
+    return metrics.evaluate(rows, ["model_name"]).agg(F.max_by("model_name", order).alias("champion"))
+
+
 def stages(spark, sf):
-    """Row counts each stage sees on its own path through the data."""
-    raw = customers(spark, sf)
-    clean = clean_customers(spark, sf)
-    champion = metrics.evaluate(Scorecard().score(clean)).select(F.lit("scorecard").alias("champion"))
-    names = champion.scalar()
-    audit = raw.groupBy(*fixed.PROFILE_COLUMNS).count().agg(
-        F.lit("audit").alias("stage"), F.sum("count").alias("raw_rows"), F.count(F.lit(1)).alias("dedup_rows"),
-        F.first(F.lit(None).cast("string")).alias("champion"))
-    stage = lambda name, df, rows: df.agg(
-        F.lit(name).alias("stage"), F.lit(None).cast("bigint").alias("raw_rows"),
-        rows.alias("dedup_rows")).withColumn("champion", names)
-    every = F.count(F.lit(1))
-    modelling = stage("modelling", clean.groupBy("split").count(), F.sum("count"))
-    decided = stage("policy", policy.decide(Scorecard().score(clean)), every)
-    identity = stage("identity", profile_row_id(raw).select("row_id").distinct(), every)
-    return audit.unionByName(modelling).unionByName(decided).unionByName(identity)
+    """Row counts and champion that each stage finds on its own path through the data."""
+    raw, clean = customers(spark, sf), clean_customers(spark, sf)
+    every, none = F.count(F.lit(1)), F.lit(None).cast("bigint")
+    stage = lambda name, figures, best: figures.select(
+        F.lit(name).alias("stage"), "raw_rows", "dedup_rows", (best.scalar() if best is not None else F.lit(None).cast("string")).alias("champion"))
+    audit = raw.groupBy(*fixed.PROFILE_COLUMNS).count().agg(F.sum("count").alias("raw_rows"), every.alias("dedup_rows"))
+    modelling = clean.groupBy("split").count().agg(none.alias("raw_rows"), F.sum("count").alias("dedup_rows"))
+    decided = policy.decide(Scorecard().score(clean)).agg(none.alias("raw_rows"), every.alias("dedup_rows"))
+    identity = profile_row_id(raw).agg(every.alias("raw_rows"), F.count_distinct("row_id").alias("dedup_rows"))
+    return stage("audit", audit, None).unionByName(stage("modelling", modelling, champion(clean))).unionByName(
+        stage("policy", decided, champion(clean.repartition("row_id")))).unionByName(stage("identity", identity, None))
 
 
 def readiness(spark, sf):
@@ -229,6 +246,7 @@ QUERIES = {
     "policy_actions": lambda s, d: flat(decided_lines(s, d).groupBy(
         "score_band", "base_action", "recommended_action", "requires_manual_review", "guardrail_flags", "primary_channel"
     ).agg(F.count(F.lit(1)).alias("row_count"))),
+    "score_rejects": score_rejects,
     "policy_frame": policy_frame,
     "policy_band_summary": lambda s, d: policy.policy_band_summary(decided_lines(s, d)),
     "action_mix": lambda s, d: policy.action_mix(decided_lines(s, d)),

@@ -1,5 +1,4 @@
-"""Registered queries that train models. Ensembles are fitted with a share of their usual size here
-(the library defaults stay at the full size); every fit reads the whole training side of the table."""
+"""Registered queries that train models, at full size, on the whole training side of the table."""
 
 from __future__ import annotations
 
@@ -11,11 +10,6 @@ from intentspark.operators import explain, learners, resampling, tuning
 from intentspark.plans.frames import lines, side
 from intentspark.roles import DEFAULT_ROLES
 
-SHARE = 0.1
-SUITE_SHARE = 0.05
-TREES = round(240 * SHARE)
-
-
 def outer(spark, sf):
     """(outer training rows, held-out rows)."""
     frame = lines(spark, sf)
@@ -32,14 +26,13 @@ def holdout(name, family, build):
 
 def family_fit(family, index=0):
     def build(train):
-        return learners.fit(train, *learners.family_estimator(family, learners.lighter(learners.family_grid(family)[index], SHARE)))
+        return learners.fit(train, *learners.family_estimator(family, learners.family_grid(family)[index]))
 
     return build
 
 
 def calibrated_forest(train):
-    params = learners.lighter(fixed.FOREST_GRID[0], SHARE)
-    return learners.fit_calibrated(train, *learners.family_estimator("random_forest", params))
+    return learners.fit_calibrated(train, *learners.family_estimator("random_forest", fixed.FOREST_GRID[0]))
 
 
 def linear_rows(spark, sf):
@@ -65,22 +58,24 @@ def smotenc_resample(spark, sf):
         F.countDistinct("ProductCategory").alias("categories"))
 
 
-def tuning_history(spark, sf):
-    frame = lines(spark, sf)
-    outcomes = [tuning.tune_family(f, side(frame, "train"), side(frame, "validation"), SUITE_SHARE)
-                for f in fixed.FAMILY_COMPLEXITY]
-    return tuning.history_table(spark, outcomes)
+def tuning_history(family):
+    """Every candidate of one family; the families are queries of their own."""
+    def run(spark, sf):
+        frame = lines(spark, sf)
+        return tuning.history_table(spark, [tuning.tune_family(family, side(frame, "train"), side(frame, "validation"))])
+
+    return run
 
 
 def strategy_suite(spark, sf):
     frame = lines(spark, sf)
-    _, table = tuning.strategy_suite(side(frame, "train"), side(frame, "validation"), trees=round(240 * SUITE_SHARE))
+    _, table = tuning.strategy_suite(side(frame, "train"), side(frame, "validation"))
     return table
 
 
 def cv_stability(spark, sf):
     train, _ = outer(spark, sf)
-    branch, estimator = learners.family_estimator("random_forest", learners.lighter(fixed.FOREST_GRID[0], SUITE_SHARE))
+    branch, estimator = learners.family_estimator("random_forest", fixed.FOREST_GRID[0])
     return tuning.cv_stability(train, branch, estimator).withColumn(
         "fold_scores", F.array_join(F.transform("fold_scores", lambda v: F.format_number(v, 6)), "|"))
 
@@ -99,14 +94,16 @@ def shapley(spark, sf):
 QUERIES = {
     "logistic_holdout": holdout("logistic_regression", "linear_model", learners.fit_logistic),
     "tree_holdout": holdout("decision_tree", "tree_model", learners.fit_tree),
-    "forest_holdout": holdout("random_forest_class_weight", "tree_model", lambda t: learners.fit_weighted_forest(t, True, TREES)),
+    "forest_holdout": holdout("random_forest_class_weight", "tree_model", learners.fit_weighted_forest),
     "gbt_holdout": holdout("gradient_boosting_base", "gradient_boosting", family_fit("gradient_boosting")),
     "hist_gbt_holdout": holdout("hist_gradient_boosting_base", "hist_gradient_boosting", family_fit("hist_gradient_boosting")),
     "calibrated_forest": holdout("random_forest_sigmoid_calibrated", "random_forest", calibrated_forest),
     "smote_resample": smote_resample,
     "smotenc_resample": smotenc_resample,
     "smote_logistic": holdout("smote_logistic", "linear_model", tuning.fit_smote_logistic),
-    "tuning_history": tuning_history,
+    "tuning_forest": tuning_history("random_forest"),
+    "tuning_gbt": tuning_history("gradient_boosting"),
+    "tuning_hist_gbt": tuning_history("hist_gradient_boosting"),
     "strategy_suite": strategy_suite,
     "cv_stability": cv_stability,
     "permutation_importance": permutation,

@@ -13,7 +13,7 @@ from intentspark.plans.frames import clean_customers
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = Scorecard().score(clean_customers(spark, sf_dir).where("TimeSpentOnWebsite is not null"))
+    scored = Scorecard().score(clean_customers(spark, sf_dir))
     return policy_band_summary(decide(scored))
 
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intentspark import fixed
-from intentspark.functions.scalars import salted_hash, hex_threshold
 
 CUTOFF = "2001-04-01"
 LINE_COLUMNS = (
@@ -18,20 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Deals rows out over the cores, and keeps them, when the scan has fewer splits than there are cores.
-
-    A file with a single row group is read by one task, which would then do all the row work (filters are
-    pushed below an exchange, so they have to find the rows already dealt out and kept). Such an input is
-    smaller than one split per core. A large table brings more splits than cores and passes through
-    untouched: nothing is shuffled or kept there.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys).persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer plus planted exact duplicates.
 
@@ -83,8 +67,11 @@ def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def line_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item with a planted label; narrow."""
+def line_profile(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """One row per line item with a planted label; narrow.
+
+    With ``partitions`` the scanned rows are dealt out over so many tasks first, for a file that scans as one split."""
+    scanned = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
     key = F.md5(F.concat(
         F.col("l_orderkey"), F.lit(":"), F.col("l_linenumber"), F.lit(":"), F.col("l_partkey"), F.lit(":"),
         F.col("l_suppkey"), F.lit(":"), F.round(F.col("l_extendedprice") * 100).cast("bigint"),
@@ -97,7 +84,7 @@ def line_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         + F.lit(0.6) * (noise - F.lit(0.5))
     )
     return (
-        spread_small(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), *LINE_COLUMNS[:4])
+        (scanned.repartition(partitions, *LINE_COLUMNS[:4]) if partitions else scanned)
         .select(
             key.alias("row_id"),
             (F.lit(18) + F.col("l_partkey") % 53).cast("int").alias("Age"),
@@ -122,8 +109,3 @@ def profile_row_id(df: DataFrame) -> DataFrame:
             column = F.round(column * (100 if name == "AnnualIncome" else 1_000_000)).cast("bigint")
         parts += [F.coalesce(column.cast("string"), F.lit("")), F.lit(":")]
     return df.withColumn("row_id", F.md5(F.concat(*parts[:-1])))
-
-
-def held_out(df: DataFrame, seed: int = fixed.SEED, size: float = fixed.TEST_SIZE) -> DataFrame:
-    """Rows of the hash split's test side."""
-    return df.where(salted_hash("row_id", seed) < hex_threshold(size))

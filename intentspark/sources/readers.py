@@ -18,18 +18,29 @@ Reader = Callable[[SparkSession, str], DataFrame]
 
 
 def csv_reader(schema: T.StructType = PROFILE_SCHEMA) -> Reader:
-    """Reader for headed CSV with a declared schema; unparsable rows keep their raw text."""
-    declared = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    """Reader for headed CSV with a declared schema; malformed rows keep their text in ``CORRUPT``.
+
+    All fields are read as text, so that the mark is an expression over every one of them: whatever a query selects or
+    counts, the same rows are malformed (a field that is no value of its type, too few or too many fields).
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(CORRUPT, T.StringType())])
 
     def read(spark: SparkSession, path: str) -> DataFrame:
-        return (
-            spark.read.schema(declared)
+        raw = (
+            spark.read.schema(text)
             .option("header", True)
             .option("mode", "PERMISSIVE")
             .option("enforceSchema", False)
+            .option("columnPruning", False)
             .option("columnNameOfCorruptRecord", CORRUPT)
             .csv(path)
         )
+        typed = {f.name: F.trim(F.col(f.name)).try_cast(f.dataType) for f in schema.fields}
+        malformed = F.col(CORRUPT).isNotNull()
+        for name, value in typed.items():
+            malformed = malformed | (F.coalesce(F.trim(F.col(name)) != "", F.lit(False)) & value.isNull())
+        line = F.coalesce(F.col(CORRUPT), F.concat_ws(",", *[F.coalesce(F.col(n), F.lit("")) for n in typed]))
+        return raw.select(*[v.alias(n) for n, v in typed.items()], F.when(malformed, line).alias(CORRUPT))
 
     return read
 

@@ -65,6 +65,10 @@ SQL = {
     "scan_profile": q(CUSTOMERS, "select count(*) row_count, cast(count(case when "
                       + " and ".join(f"{c} is not null" for c in NAMES) + " then 1 end) as bigint) complete_rows, "
                       + ", ".join(f"count({c}) non_null_{c}" for c in NAMES) + " from cp"),
+    "csv_rejects": q(CUSTOMERS, "select count(*) row_count, cast(count(case when " + " and ".join(
+        f"{c} is not null" for c in NAMES) + " and profile_id%19<>0 then 1 end) as bigint) complete_rows, "
+        + ", ".join(f"count({f'case when profile_id%19<>0 then {c} end' if c == 'TimeSpentOnWebsite' else c}) non_null_{c}" for c in NAMES)
+        + ", (select count(*) from cp where profile_id%13=0 or profile_id%17=0) rejected_rows from cp where profile_id%13<>0 and profile_id%17<>0"),
     "schema_diff": q(CUSTOMERS, each(
         NAMES + ["profile_id"],
         lambda c: f"select '{c}' column_name, '{'unexpected' if c == 'profile_id' else 'matched'}' status, "

@@ -211,6 +211,11 @@ SQL = {
     "proxy_value": q(DECIDED, "select recommended_action, " + ", ".join(f"round(avg({c}),6) {c}" for c in (
         "baseline_expected_margin", "action_expected_margin", "expected_probability_after_action", "proxy_incremental_value")) + " from de group by 1"),
     "policy_actions": q(DECIDED, "select score_band, base_action, recommended_action, requires_manual_review, guardrail_flags, primary_channel, count(*) row_count from de group by all"),
+    "score_rejects": q(SCORED + """, dm as (select * replace (case NumberOfPurchases when 3 then null when 5 then 'NaN'::double when 7 then 1.7e0 when 11 then -0.3e0 else p end as p,
+        case when NumberOfPurchases=13 then -2 else DiscountsAvailed end as DiscountsAvailed), NumberOfPurchases in (3, 5, 7, 11) bad_p, NumberOfPurchases=13 bad_h from sc),""" + CATALOG.lstrip() + decide("dm", "dd"), """
+      select case when bad_p then 'unscored' else score_band end score_band, case when bad_p or bad_h then 'none' else recommended_action end as "action",
+        bad_p or bad_h or requires_manual_review requires_manual_review, case when bad_p then 'score_rejected' when bad_h then 'history_rejected' else guardrail_flags end guardrail_flags,
+        count(*) row_count from dd group by 1,2,3,4"""),
     "policy_frame": q(DECIDED, """select row_id, p, yhat, score_band, base_action, recommended_action, recommended_discount_rate, requires_manual_review, guardrail_flags, primary_channel,
       baseline_expected_margin, action_expected_margin, expected_probability_after_action, proxy_incremental_value, discount_offered from de where split='test'"""),
     "policy_band_summary": q(DECIDED, f"""select score_band, {STAT}, {mean('PurchaseStatus', 'observed_purchase_rate')}, {mean('p', 'average_predicted_probability')},

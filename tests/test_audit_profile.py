@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from intentspark import fixed
 from intentspark.errors import ContractError, SourceError
@@ -66,6 +67,7 @@ def test_go_decision_and_schema(spark):
     df = spark.createDataFrame(rows)
     assert audit.go_decision(df, df.columns).first()["decision"] == "Conditional Go"
     assert audit.go_decision(df.drop("Age"), df.drop("Age").columns).first()["decision"] == "No Go"
+    assert audit.go_decision(df.withColumn("Note", F.lit(1)), df.columns).first()["decision"] == "No Go"
     with pytest.raises(ContractError):
         contracts.require_columns(df.drop("Age"), fixed.PROFILE_COLUMNS)
     status = {r["column_name"]: r["status"] for r in contracts.schema_diff(df.withColumnRenamed("Age", "Years"), fixed.PROFILE_COLUMNS).collect()}
@@ -77,8 +79,8 @@ def test_go_decision_and_schema(spark):
 def test_csv_scan_counts_rejects(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text(",".join(PROFILE_SCHEMA.names) + "\n30,1,50000.5,3,2,10.5,1,0,1\nabc,1,NaN,3,2,10.5,1,0,1\n")
-    good, bad = readers.split_rejects(readers.scan_profile(spark, str(path)).cache())
-    assert good.count() == 1 and bad.count() == 1
+    good, bad = readers.split_rejects(readers.scan_profile(spark, str(path)))
+    assert good.count() == 1 and bad.count() == 1 and good.select("Gender").collect() == [Row(Gender=1)]
     with pytest.raises(SourceError):
         readers.scan_profile(spark, str(tmp_path / "absent.csv")).count()
 

@@ -175,3 +175,36 @@ def test_hot_paths_stay_in_the_jvm(spark, sf):
         plan = df._jdf.queryExecution().executedPlan().toString()
         for word in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert word not in plan
+
+
+def test_rows_without_a_usable_score_get_no_action_and_no_metrics(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(None, 0), (nan, 0), (1.7, 0), (-0.3, 0), (0.5, -2), (0.25, 0)], "p double, DiscountsAvailed int")
+    rows = policy.decide(df).collect()
+    flags = [(r["score_band"], r["recommended_action"] is None, r["requires_manual_review"], list(r["guardrail_flags"])) for r in rows]
+    assert sorted(flags, key=str).count(("unscored", True, True, ["score_rejected"])) == 4
+    assert ("high_confidence_no_discount", True, True, ["history_rejected"]) in flags
+    good, bad = policy.split_bad_scores(df)
+    assert good.count() == 2 and bad.count() == 4
+    labelled = df.selectExpr("p", "1 as PurchaseStatus", "1 as yhat")
+    for bad_value in (None, nan, 1.7, -0.3):
+        part = labelled.where("p is null" if bad_value is None else f"p <=> double('{bad_value}')")
+        with pytest.raises(Exception, match="no score in"):
+            metrics.evaluate(part).collect()
+    assert {r["policy_band"] for r in metrics.intent_band_summary(labelled, fixed.DEFAULT_BANDS).collect()} >= {"unscored"}
+
+
+def test_alignment_fails_on_a_model_that_only_one_side_has(spark):
+    schema = "model_name string, pr_auc double, balanced_accuracy double, brier_score double"
+    one = spark.createDataFrame([("a", 0.5, None, 0.1)], schema)
+    other = spark.createDataFrame([("b", 0.5, 0.4, 0.1)], schema)
+    assert not any(r["aligned"] for r in policy.metric_alignment(one, other).collect())
+    assert all(r["aligned"] for r in policy.metric_alignment(one, one).collect())
+
+
+def test_stage_figures_must_be_reported_twice_and_agree(spark):
+    schema = "stage string, raw_rows bigint, dedup_rows bigint, champion string"
+    status = lambda rows: {r["check_id"]: r["status"] for r in gates.stage_consistency(spark.createDataFrame(rows, schema)).collect()}
+    assert set(status([("a", 5, 4, "m"), ("b", 5, 4, "m")]).values()) == {"passed"}
+    assert set(status([("a", 5, 4, "m"), ("b", None, None, None)]).values()) == {"failed"}
+    assert set(status([("a", 5, 4, "m"), ("b", 6, 3, "n")]).values()) == {"failed"}
