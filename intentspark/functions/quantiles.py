@@ -98,14 +98,14 @@ def exact_quantiles(
             }
     if distinct is not None:
         distinct.update({c: profile[c]["distinct"] for c in columns})
-    for _ in range(8):
+    while True:
         wide = {s: b for s, b in brackets.items() if b["distinct"] > direct_distinct and b["lo"] < b["hi"]}
         if not wide:
             break
         before = {s: b["inside"] for s, b in wide.items()}
         _narrow(numeric, wide, accuracy)
         if all(brackets[s]["inside"] >= before[s] for s in wide):
-            break
+            accuracy *= 10  # a finer sketch ends the search at the latest when it holds every row of the bracket
 
     # Columns whose slots share one bracket (never narrowed) are counted once.
     groups: dict[tuple[str, float, float], list[tuple[str, int]]] = {}
@@ -184,20 +184,29 @@ def band_index(value: Column, edges: list[float]) -> Column:
     return F.when(value.isNotNull(), index)
 
 
-def hash_rank(df: DataFrame, hash_column: str, name: str, digits: int = 3, by: tuple[str, ...] = ()) -> DataFrame:
+BUCKET_ROWS = 50_000
+
+
+def prefix_digits(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Hex digits of a uniform hash that deal so many rows to buckets of at most about ``bucket_rows``."""
+    return max(1, math.ceil(math.log(max(1.0, rows / bucket_rows), 16)))
+
+
+def hash_rank(df: DataFrame, hash_column: str, name: str, rows: int, by: tuple[str, ...] = ()) -> DataFrame:
     """Dense 1-based position in the order of a uniform hex hash, without a global window.
 
-    Rows are ordered inside buckets of equal hash prefix; bucket offsets come from a running total over
-    the bucket counts, of which there are at most 16^digits per group. The prefix is uniform, so buckets
-    are even and the offsets table is small enough to broadcast by construction.
+    ``rows`` is about the size of a group. Rows are ordered inside buckets of equal hash prefix, whose length follows
+    from ``rows``; bucket offsets come from a running total over the bucket counts. The prefix is uniform, so buckets
+    are even whatever the size.
     """
+    digits = prefix_digits(rows)
     bucketed = df.withColumn("_bucket", F.substring(hash_column, 1, digits))
     sizes = bucketed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*by, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     within = Window.partitionBy(*by, "_bucket").orderBy(hash_column)
     return (
-        bucketed.join(F.broadcast(offsets), [*by, "_bucket"])
+        bucketed.join(offsets, [*by, "_bucket"])
         .withColumn(name, F.col("_offset") + F.row_number().over(within))
         .drop("_bucket", "_offset")
     )

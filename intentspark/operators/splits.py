@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from intentspark import fixed
 from intentspark.errors import ContractError
+from intentspark.functions.quantiles import prefix_digits
 from intentspark.functions.scalars import hex_threshold, salted_hash
 
 
@@ -39,14 +40,15 @@ def nested_split(df: DataFrame, key: str = "row_id", test_size: float = fixed.TE
 
 
 def exact_split(df: DataFrame, key: str = "row_id", target: str = fixed.TARGET, size: float = fixed.TEST_SIZE,
-                seed: int = fixed.SEED, digits: int = 4) -> DataFrame:
+                seed: int = fixed.SEED) -> DataFrame:
     """Adds ``split`` with exactly round(n_class * size) test rows in every class.
 
     Ranking a whole class would put half the table in one task. Only the counts per (class, hash
-    prefix) are ordered, at most 16^digits per class; they name the one prefix in which the class's
-    cut falls, and only rows of that prefix (an n / 16^digits sliver) are ranked.
+    prefix) are ordered; they name the one prefix in which the class's cut falls, and only rows of that
+    prefix are ranked. The prefix is as long as the number of rows asks for.
     """
     check_classes(df, target)
+    digits = prefix_digits(df.count())
     # the full hash orders rows inside a prefix and the key settles equal hashes
     hashed = df.withColumn("_h", F.md5(F.concat(F.col(key), F.lit(f":{seed}")))).withColumn(
         "_b", F.substring("_h", 1, digits))
