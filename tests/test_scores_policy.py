@@ -135,11 +135,12 @@ def test_scorecard_profiles(spark):
     assert medium["risk_band"] in ("lower_targeting_band", "upper_targeting_band") and medium["automatic_discount_rate"] > 0
 
 
-def test_split_invariants(spark, sf):
+def test_split_invariants(spark, sf, monkeypatch):
     frame = lines(spark, sf)
     counts = {r["split"]: r["count"] for r in frame.groupBy("split").count().collect()}
     assert set(counts) == {"train", "validation", "test"} and sum(counts.values()) == frame.count()
-    exact = splits.exact_split(frame.drop("split"), digits=2)
+    monkeypatch.setattr(splits, "prefix_digits", lambda rows: 2)
+    exact = splits.exact_split(frame.drop("split"))
     for r in exact.groupBy("PurchaseStatus").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("split") == "test").alias("t")).collect():
         assert r["t"] == round(r["n"] * 0.2)
     with pytest.raises(ContractError):
