@@ -17,7 +17,7 @@ from intentspark.llm.common import keep, table
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on `labels` and these documents, doesn't reject."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, carry=True).where(F.col("quality_score") >= quality.THRESHOLD).drop("quality_score")
+    return quality.score(docs, model, carry=True).where(F.col("score") >= quality.THRESHOLD).select("row.*")
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,15 +29,15 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Texts less the bytes of strings of 100 bytes that start earlier; parts of a cut character go too, and documents of
     which nothing is left."""
     cut = suffixes.as_text(suffixes.remove_repeats(docs))
-    return cut.where((F.col("n_removed") == 0) | (F.col("kept") != "")).withColumns({
-        "text": F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")),
-        "n_chars": F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("n_chars"))}).select(*docs.columns)
+    less = F.col("n_removed") > 0
+    changed = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    fields = [F.when(less, changed[c]).otherwise(F.col("row")[c]).alias(c) if c in changed else F.col("row")[c].alias(c) for c in docs.columns]
+    return cut.where(~less | (F.col("kept") != "")).select(*fields)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: documents beyond the budget go, those of small sources repeat up to three times."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
-    measured = keep(lambda: mixing.sized(docs, carry=others), "mix")
+    measured = keep(lambda: mixing.sized(docs, carry=True), "mix")
     return mixing.expand(mixing.mix(measured)).withColumn("n_chars", F.coalesce(F.length("text"), "n_chars").cast("long")).select(*docs.columns)
 
 

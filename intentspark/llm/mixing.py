@@ -6,7 +6,8 @@ about `RANGE_ROWS` documents (of all sources), prefix sums run inside each range
 
 Defined results: NULL text counts no words; NULL is a source of its own, last in order; a source without words gets
 target 0; repeated rows are separate documents that tie, so the taken words among them are the same multiset each run;
-an empty table gives an empty result; other columns pass through `mix` untouched (names used here are prefixed `mix_`).
+an empty table gives an empty result; other columns pass through in
+`mix_row`, whatever their names.
 """
 
 from __future__ import annotations
@@ -56,10 +57,10 @@ def random_key(doc_id: Column) -> Column:
     return F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
-def sized(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Documents with word count, source and random key: what the mix works on."""
+def sized(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """Documents with word count, source and random key: what the mix works on; with `carry` also `mix_row`, all columns."""
     return docs.select(
-        *carry, "doc_id", word_count(F.col("text")).alias("size"), F.col("source").alias("mix_source"),
+        *([F.struct("*").alias("mix_row")] if carry else []), "doc_id", word_count(F.col("text")).alias("size"), F.col("source").alias("mix_source"),
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("mix_name"), random_key(F.col("doc_id")).alias("mix_key"),
     )
 
@@ -91,19 +92,18 @@ def mix(measured: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> D
     )
 
 
-def expand(mixed: DataFrame, text: str = "text") -> DataFrame:
-    """The mix as rows: a document once per whole epoch, and once more, cut after its last taken word, at the budget's
-    edge. Documents of no words that the mix passes over are dropped with the rest."""
+def expand(mixed: DataFrame) -> DataFrame:
+    """The mix of carried rows as documents: each once per whole epoch, and once more, its `text` cut after the last taken
+    word, at the budget's edge. Documents of no words that the mix passes over are dropped with the rest."""
     whole = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(0)
     part = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0)
     copies = F.sequence(F.lit(1), (F.col("mix_whole") + F.when(F.col("mix_part") > 0, 1).otherwise(0)).cast("int"))
+    text = F.col("mix_row.text")
     cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), F.col("mix_part").cast("int")), " ")
-    return (
-        mixed.where("taken > 0").withColumns({"mix_whole": whole, "mix_part": part})
-        .withColumn("mix_copy", F.explode(copies))
-        .withColumn(text, F.when(F.col("mix_copy") > F.col("mix_whole"), cut).otherwise(F.col(text)))
-        .drop("mix_whole", "mix_part", "mix_copy")
-    )
+    copied = mixed.where("taken > 0").withColumns({"mix_whole": whole, "mix_part": part}).withColumn("mix_copy", F.explode(copies))
+    fields = [F.col("mix_row")[f].alias(f) for f in mixed.schema["mix_row"].dataType.names if f != "text"]
+    ends = F.when(F.col("mix_copy") > F.col("mix_whole"), cut).otherwise(text)
+    return copied.select(*fields, ends.alias("text"))
 
 
 def mix_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:

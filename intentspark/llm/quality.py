@@ -190,19 +190,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, Network], carry: bool = False) -> DataFrame:
-    """`doc_id` and `score`; with `carry` all columns of `docs` and `quality_score`."""
+    """`doc_id` and `score`; with `carry` instead `row`, all columns of `docs`, and `score`."""
     vectors = docs.sparkSession.sparkContext.broadcast(model[0])
     network = model[1]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in A.pieces(batches):
             s = pa.array(network.score(pool(A.column(batch, "text"), vectors.value)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, s] if carry else [A.column(batch, "doc_id"), s], [*batch.schema.names, "quality_score"] if carry else ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([A.column(batch, name), s], [name, "score"])
 
+    name = "row" if carry else "doc_id"
     if not carry:
         return docs.select("doc_id", "text").mapInArrow(scored, "doc_id long, score double")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(scored, f"{fields}, quality_score double")
+    return docs.select(F.struct("*").alias("row"), "text").mapInArrow(scored, f"row {docs.schema.simpleString()}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

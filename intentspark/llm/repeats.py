@@ -342,6 +342,7 @@ def covered(n: int, whole: bool, places: bytes | None, width: int) -> np.ndarray
 
 
 def with_marks(docs: DataFrame, kind: Kind) -> DataFrame:
-    """`docs` with `whole` and `places`."""
-    keyed = docs.withColumn("key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return keyed.join(mark_repeats(keyed.select("doc_id", "key", "text"), kind).hint("shuffle_hash"), ["doc_id", "key"], "left").drop("key")
+    """row (all columns of `docs`), text, whole, places."""
+    keyed = docs.select(F.struct("*").alias("row"), "doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
+    marks = mark_repeats(keyed.select("doc_id", "key", "text"), kind)
+    return keyed.join(marks.hint("shuffle_hash"), ["doc_id", "key"], "left").select("row", "text", "whole", "places")

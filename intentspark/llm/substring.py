@@ -4,7 +4,8 @@ document with a smaller doc_id is removed.
 Anchors of seven words at the places whose residue modulo 7 is 0, 1 or 3 find the candidates; see `repeats`.
 
 Defined results: NULL text has no words; a document with a NULL doc_id is kept whole and is nobody's earlier document; rows
-of one doc_id are not earlier than each other; an empty table gives no rows; other columns pass through `remove_repeats`.
+of one doc_id are not earlier than each other; an empty table gives no rows; other columns pass through `remove_repeats` in `row`, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -40,17 +41,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = data.data
             kept.append(b" ".join([bytes(raw[a:b]) for a, b in zip(starts[stay].tolist(), ends[stay].tolist(), strict=True)]))
             removed.append(int(gone.sum()))
-        drop = {"whole", "places"}
-        names = [n for n in batch.schema.names if n not in drop]
-        yield pa.RecordBatch.from_arrays([*(A.column(batch, n) for n in names), pa.array(np.diff(first), pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-                                         [*names, "n_words", "n_removed", "kept"])
+        yield pa.RecordBatch.from_arrays([A.column(batch, "row"), pa.array(np.diff(first), pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                                         ["row", "n_words", "n_removed", "kept"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """All columns of `docs` with n_words, n_removed and kept, the remaining words joined by one space."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return repeats.with_marks(docs, KIND).select(*docs.columns, "whole", "places").mapInArrow(_cut, f"{fields}, n_words long, n_removed long, kept string")
+    """n_words, n_removed and kept, the remaining words joined by one space, beside `row`, all columns of `docs`."""
+    return repeats.with_marks(docs, KIND).mapInArrow(_cut, f"row {docs.schema.simpleString()}, n_words long, n_removed long, kept string")
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    return remove_repeats(docs.select("doc_id", "text")).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    return remove_repeats(docs.select("doc_id", "text")).select("row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

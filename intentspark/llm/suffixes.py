@@ -12,7 +12,8 @@ but the first of each are repeats. Names are hashes, so the order among differen
 used. See `repeats` for the distribution. README tells why the full suffix array isn't built.
 
 Defined results: NULL text is empty; a document with a NULL doc_id is kept whole and takes no part; rows of one doc_id are
-one document, earlier starts count by place; an empty table gives no rows; other columns pass through `remove_repeats`.
+one document, earlier starts count by place; an empty table gives no rows; other columns pass through `remove_repeats` in `row`, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -46,15 +47,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append(data[offsets[i] : offsets[i + 1]][~gone].tobytes())
             removed.append(int(gone.sum()))
             spans.append(int((np.diff(gone.astype(np.int8), prepend=0) > 0).sum()))
-        names = [n for n in batch.schema.names if n not in {"whole", "places"}]
-        yield pa.RecordBatch.from_arrays([*(A.column(batch, n) for n in names), pa.array(np.diff(offsets), pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
-                                         [*names, "n_bytes", "n_removed", "n_spans", "kept"])
+        yield pa.RecordBatch.from_arrays([A.column(batch, "row"), pa.array(np.diff(offsets), pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
+                                         ["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """All columns of `docs` with n_bytes, n_removed, n_spans and kept, the remaining bytes (not always valid UTF-8)."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return repeats.with_marks(docs, KIND).select(*docs.columns, "whole", "places").mapInArrow(_cut, f"{fields}, n_bytes long, n_removed long, n_spans long, kept binary")
+    """n_bytes, n_removed, n_spans and kept, the remaining bytes (not always valid UTF-8), beside `row`, all columns of `docs`."""
+    return repeats.with_marks(docs, KIND).mapInArrow(_cut, f"row {docs.schema.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def as_text(cut: DataFrame) -> DataFrame:
@@ -65,9 +64,9 @@ def as_text(cut: DataFrame) -> DataFrame:
             kept = pa.array([b.decode("utf-8", "ignore") for b in A.column(batch, "kept").to_pylist()], pa.string())
             yield batch.set_column(batch.schema.get_field_index("kept"), "kept", kept)
 
-    fields = ", ".join(f"`{f.name}` {'string' if f.name == 'kept' else f.dataType.simpleString()}" for f in cut.schema)
+    fields = ", ".join(f"{f.name} {'string' if f.name == 'kept' else f.dataType.simpleString()}" for f in cut.schema)
     return cut.mapInArrow(text, fields)
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    return remove_repeats(docs.select("doc_id", "text")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return remove_repeats(docs.select("doc_id", "text")).select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

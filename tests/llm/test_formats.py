@@ -141,7 +141,7 @@ def test_mixing_targets_and_budgets(spark):
 
 def test_mixing_expands_to_the_words_taken(spark):
     docs = documents(spark, ["a b c", "d e", " f  g h i", ""], sources=["x", "x", "y", "y"])
-    measured = mixing.sized(docs, carry=("text",))
+    measured = mixing.sized(docs, carry=True)
     mixed = mixing.mix(measured)
     words = mixing.expand(mixed).collect()
     assert sum(len((r["text"] or "").split()) for r in words) == sum(r["taken"] for r in mixed.collect()) > 0

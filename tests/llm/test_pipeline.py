@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from intentspark.llm.common import keep, table
@@ -44,7 +45,10 @@ def test_stages(spark, sf):
 
 
 def test_stages_with_gaps_and_nothing(spark, sf):
+    names = ("row", "key", "whole", "places", "kept", "n_removed", "score", "size", "target", "taken", "source_size", "mix_row", "rec", "root", "i", "side", "first")
     for docs in (documents(spark, ["plain words in a row here", None, "", "", "x " * 20_000], ids=[1, 2, 3, 3, None], sources=["a", None, "b", "b", "a"]), empty(spark)):
+        docs = docs.withColumns({n: F.lit(7) for n in names})
         for name, stage in corpus_pipeline.STAGES:
             docs = keep(lambda: stage(spark, docs, sf), name)
+            assert name == "tokens" or docs.columns == [*COLUMNS, *names]
         docs.collect()
