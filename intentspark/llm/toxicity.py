@@ -29,7 +29,7 @@ from intentspark.llm.labelled import fold, training_rows
 from intentspark.llm.totals import corpus_sum
 
 SYMBOLS, BREAK = 64, 0
-FOLDS, HELD, THRESHOLD, TRAIN_ROWS, FEATURES, SUPPORT = 4, 2, 0.3, 20_000, 4_000, 5
+FOLDS, HELD, THRESHOLD, TRAIN_ROWS, FEATURES, SUPPORT, ODDS = 4, 2, 0.3, 20_000, 4_000, 3, 2.0
 STEMS = (4, 5, 6, 7)
 STANDS_FOR = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il",
@@ -187,7 +187,7 @@ def found_features(texts: pa.Array, channel: Channel, wanted: dict[str, int] | N
 class Model:
     """Logistic model over the presence of features; weights are not negative."""
 
-    def __init__(self, names: list[str], rows: list[list[int]], y: np.ndarray, rounds: int = 400, rate: float = 0.1, decay: float = 2e-4):
+    def __init__(self, names: list[str], rows: list[list[int]], y: np.ndarray, rounds: int = 400, rate: float = 0.1, decay: float = 1e-2):
         self.names, self.weights, self.constant = names, np.zeros(len(names)), None
         if len(np.unique(y)) < 2:
             self.constant = float(y.mean()) if len(y) else 0.0
@@ -229,7 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
     n = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("t")).first()
     each = sample.select("doc_id", "y", F.explode("features").alias("feature"))
     odds = F.log((F.col("t") + 0.5) / (n["t"] + 1.0)) - F.log((F.col("n") - F.col("t") + 0.5) / (n["n"] - n["t"] + 1.0))
-    told = each.groupBy("feature").agg(F.sum("y").alias("t"), F.count("*").alias("n")).where(F.col("t") >= SUPPORT).withColumn("odds", odds).where(F.col("odds") >= 1.0)
+    told = each.groupBy("feature").agg(F.sum("y").alias("t"), F.count("*").alias("n")).where(F.col("t") >= SUPPORT).withColumn("odds", odds).where(F.col("odds") >= ODDS)
     names = sorted(r["feature"] for r in told.orderBy(F.desc(F.col("odds") * F.col("t")), "feature").limit(FEATURES).collect())
     number = {f: i for i, f in enumerate(names)}
     chosen = docs.sparkSession.createDataFrame([(f, i) for f, i in number.items()], "feature string, number int")
