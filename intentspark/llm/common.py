@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -29,26 +28,25 @@ def shared_folder(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder()).rstrip("/")
 
 
+#: Spark drops the shuffle files of a query when it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def keep(make: Callable[[], DataFrame], name: str) -> DataFrame:
     """Writes the table that `make` plans into the shared folder and returns the written table: lineage ends here, and a
-    lost executor costs no recomputation. Nothing refers to the plan afterwards, so its shuffle files may go."""
-    df = make()
-    spark, schema = df.sparkSession, df.schema
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    del df
-    free_shuffles(spark)
+    lost executor costs no recomputation. The shuffle files of that plan, which nothing reads again, go at its end."""
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df = make()
+        schema, path = df.schema, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before) if before is not None else spark.conf.unset(DROP_SHUFFLES)
     return spark.read.schema(schema).parquet(path)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Lets Spark's context cleaner drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    jvm = getattr(spark, "_jvm", None)
-    if jvm is not None:
-        jvm.System.gc()
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
