@@ -114,32 +114,44 @@ def split(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(each, "path long, rec binary, signature binary")
 
 
-def leaders(marks: np.ndarray, other: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect all alike rows of a bucket: (leader, row) positions. With `other`, rows against those."""
-    if other is not None:
-        found = [(i, np.flatnonzero((marks[i] == other).sum(axis=1) >= AGREE)) for i in range(len(marks))]
-        keep_first = [(np.full(len(hit), i), hit) for i, hit in found]
-    else:
-        free, keep_first = np.ones(len(marks), bool), []
-        for i in range(len(marks)):
-            if free[i]:
-                hit = np.flatnonzero((marks[i] == marks).sum(axis=1) >= AGREE)
-                free[hit] = False
-                hit = hit[hit != i]
-                keep_first.append((np.full(len(hit), i), hit))
-    if not keep_first:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate([a for a, _ in keep_first]), np.concatenate([b for _, b in keep_first])
+def leaders(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect all alike rows of a bucket: (leader, row) positions."""
+    free, links = np.ones(len(marks), bool), []
+    for i in range(len(marks)):
+        if free[i]:
+            hit = np.flatnonzero((marks[i] == marks).sum(axis=1) >= AGREE)
+            free[hit] = False
+            links.append((np.full(len(hit), i), hit))
+    a, b = (np.concatenate(c) for c in zip(*links, strict=True)) if links else (np.empty(0, np.int64), np.empty(0, np.int64))
+    return a[a != b], b[a != b]
+
+
+def across(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links between two blocks, one for each pair of groups that the blocks form by themselves and that have like rows."""
+    group_l, group_r = groups(left), groups(right)
+    seen: dict[tuple[int, int], None] = {}
+    for i in range(len(left)):
+        for j in np.unique(group_r[np.flatnonzero((left[i] == right).sum(axis=1) >= AGREE)]).tolist():
+            seen[int(group_l[i]), j] = None
+    return np.array([i for i, _ in seen], np.int64), np.array([j for _, j in seen], np.int64)
+
+
+def groups(marks: np.ndarray) -> np.ndarray:
+    """For each row the first row of its group."""
+    out = np.arange(len(marks))
+    top, node = forest(*leaders(marks), len(marks))
+    out[node] = top
+    return out
 
 
 def link_bucket(recs: list[bytes], marks: np.ndarray, side: np.ndarray | None = None) -> tuple[list[bytes], list[bytes]]:
-    """Links of one bucket, or between the two sides of a pair of blocks: there only a forest, so at most one a row."""
+    """Links of one bucket (a forest, at most one a row), or between the two sides of a pair of blocks."""
     if side is None or not side.any():
-        a, b = leaders(marks)
+        a, b = forest(*leaders(marks), len(recs))
     else:
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        i, j = leaders(marks[left], marks[right])
-        a, b = forest(left[i], right[j], len(recs))
+        i, j = across(marks[left], marks[right])
+        a, b = left[i], right[j]
     return [recs[i] for i in a.tolist()], [recs[i] for i in b.tolist()]
 
 
