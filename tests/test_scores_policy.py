@@ -157,7 +157,7 @@ def test_results_do_not_depend_on_partitioning(spark, sf):
 
 
 def test_stage_checks(spark):
-    good = [("a", 10, 9, "m"), ("b", None, 9, None), ("c", None, 9, "m")]
+    good = [("a", 10, 9, "m"), ("b", 10, 9, None), ("c", None, 9, "m")]
     schema = "stage string, raw_rows bigint, dedup_rows bigint, champion string"
     gates.require_consistent(spark.createDataFrame(good, schema))
     with pytest.raises(ContractError):
