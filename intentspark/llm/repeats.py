@@ -206,32 +206,43 @@ def send_anchors(kind: Kind, tasks: int):
 
 
 def collect_packed(batches: Iterator[pa.RecordBatch], wide: bool) -> tuple[list[tuple[np.ndarray, ...]], tuple[np.ndarray, ...] | None]:
-    """The task's marks (documents, keys, places) and its records: documents, keys, places, hashes (`wide`: 64 bits)."""
-    marks, parts = [], []
+    """The task's marks (documents, keys, places) and its records: documents and keys, and for each record the number of
+    its document, its place and its hash (`wide`: 64 bits)."""
+    marks, tables, parts, rows = [], [], [], 0
     for batch in batches:
         for _, what, docs, keys, counts, places, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             counts = np.frombuffer(counts, np.uint32).astype(np.int64)
-            place = unpack_places(counts, places)
-            mine = np.repeat(np.frombuffer(docs, np.int64), counts), np.repeat(np.frombuffer(keys, np.int64), counts), place
+            docs, keys, place = np.frombuffer(docs, np.int64), np.frombuffer(keys, np.int64), unpack_places(counts, places)
             if what == 0:
-                marks.append(mine)
-            elif wide:
-                parts.append((*mine, np.frombuffer(hashes, np.uint64)))
+                marks.append((np.repeat(docs, counts), np.repeat(keys, counts), place))
+                continue
+            if wide:
+                h = np.frombuffer(hashes, np.uint64)
             else:
                 n = 4 * len(place)
-                parts.append((*mine, np.frombuffer(hashes[:n], np.uint32).astype(np.uint64) | (np.frombuffer(hashes[n:], np.uint16).astype(np.uint64) << np.uint64(32))))
-    return marks, tuple(np.concatenate(c) for c in zip(*parts, strict=True)) if parts else None
+                h = np.frombuffer(hashes[:n], np.uint32).astype(np.uint64) | (np.frombuffer(hashes[n:], np.uint16).astype(np.uint64) << np.uint64(32))
+            tables.append((docs, keys))
+            parts.append((np.repeat(np.arange(rows, rows + len(docs), dtype=np.uint32), counts), place.astype(np.uint32), h))
+            rows += len(docs)
+    if not parts:
+        return marks, None
+    docs, keys = (np.concatenate(c) for c in zip(*tables, strict=True))
+    columns = []
+    for k in range(3):
+        columns.append(np.concatenate([p[k] for p in parts]))
+    return marks, (docs, keys, *columns)
 
 
 def repeated_anchors(tasks: int):
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks, records = collect_packed(batches, False)
         if records is not None:
-            docs, keys, place, h = records
+            docs, keys, row, place, h = records
             order = np.argsort(h)
-            same = h[order][1:] == h[order][:-1]
+            h = h[order]
+            same = h[1:] == h[:-1]
             hit = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
-            marks.append((docs[hit], keys[hit], place[hit]))
+            marks.append((docs[row[hit]], keys[row[hit]], place[hit].astype(np.int64)))
         yield from marks_by_owner(marks, tasks)
 
     return repeated
@@ -297,13 +308,18 @@ def later_runs(kind: Kind, tasks: int):
     def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks, records = collect_packed(batches, True)
         if records is not None:
-            docs, keys, place, h = records
-            order, _, first_doc, first_place = earliest(docs, place, h)
-            hit = docs[order] > first_doc
-            if kind.within:
-                hit |= (docs[order] == first_doc) & (place[order] > first_place)
+            docs, keys, row, place, h = records
+            order = np.argsort(h)
+            h = h[order]
+            new = np.concatenate([[True], h[1:] != h[:-1]])
+            del h
+            rank = np.unique(docs, return_inverse=True)[1].astype(np.uint64)
+            when = ((rank[row] << np.uint64(32)) | place)[order]
+            first = np.repeat(np.minimum.reduceat(when, np.flatnonzero(new)), np.diff(np.append(np.flatnonzero(new), len(new))))
+            hit = when > first if kind.within else (when >> np.uint64(32)) > (first >> np.uint64(32))
+            del when, first
             hit = order[hit]
-            marks.append((docs[hit], keys[hit], place[hit]))
+            marks.append((docs[row[hit]], keys[row[hit]], place[hit].astype(np.int64)))
         yield from marks_by_owner(marks, tasks)
 
     return later
@@ -313,7 +329,7 @@ def mark_repeats(docs: DataFrame, kind: Kind) -> DataFrame:
     """doc_id, key, whole, places: for documents with repeated runs the packed starts of those runs; `whole` for those
     whose text an earlier document has. `docs` has doc_id, text and key, a hash of the text; a NULL doc_id takes no part."""
     assert is_cover(kind.cover, kind.modulus)
-    tasks = partitions(docs.sparkSession)
+    tasks = 2 * partitions(docs.sparkSession)
     rows = docs.where("doc_id is not null").select("doc_id", "key", F.coalesce("text", F.lit("")).alias("text"))
     texts = rows.select("doc_id", "key", F.xxhash64(F.lit(17), "text").alias("key2"), F.octet_length("text").alias("n"))
     firsts = texts.groupBy("key", "key2", "n").agg(F.min("doc_id").alias("first"))
