@@ -48,9 +48,9 @@ class Kind:
     within: bool
     read: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]
     widen: Callable[[np.ndarray], np.ndarray]
-    flush: int = 1_000_000
+    flush: int = 400_000
     segment: int = 2_000_000
-    piece: int = 1_000_000
+    piece: int = 500_000
 
     @property
     def anchor(self) -> int:
