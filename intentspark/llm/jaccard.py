@@ -2,10 +2,9 @@
 
 Every different set has a signature of min-wise hashes. A run deals the sets to buckets by a few chosen signature places
 and their values; a bucket of more than `SMALL` sets is split again by places chosen for that bucket, down to `DEPTH`.
-Small buckets and what is left of the large ones (sets so alike that no place splits them) are compared by brute force on
-8-bit signatures, the latter in blocks: a leader takes the sets like it, and only sets that no leader took lead on. A
-bucket gives links to leaders, not pairs. Runs with other places repeat until the chance that a pair at the threshold meets
-in none falls below 1 - `RECALL`.
+Small buckets and what is left of the large ones (sets so alike that no place splits them) are compared all with all on
+8-bit signatures, the latter in blocks. A bucket gives a spanning forest of its graph of alike sets, not pairs. Runs with
+other places repeat until the chance that a pair at the threshold meets in none falls below 1 - `RECALL`.
 
 Components of these links hold all candidate pairs. Within a component every pair is verified on the whole sets, blocks of
 `BLOCK` against blocks, by counts of shared shingles; a set's links are counted, and only the links of a spanning forest
@@ -114,32 +113,27 @@ def split(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(each, "path long, rec binary, signature binary")
 
 
-def leaders(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect all alike rows of a bucket: (leader, row) positions."""
-    free, links = np.ones(len(marks), bool), []
-    for i in range(len(marks)):
-        if free[i]:
-            hit = np.flatnonzero((marks[i] == marks).sum(axis=1) >= AGREE)
-            free[hit] = False
-            links.append((np.full(len(hit), i), hit))
-    a, b = (np.concatenate(c) for c in zip(*links, strict=True)) if links else (np.empty(0, np.int64), np.empty(0, np.int64))
-    return a[a != b], b[a != b]
+def alike(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """(n, m) whether rows agree in `AGREE` places at least."""
+    if len(left) * len(right) <= 1024:
+        return (left[:, None] == right[None]).sum(axis=2) >= AGREE
+    agree = np.zeros((len(left), len(right)), np.uint8)
+    for k in range(left.shape[1]):
+        agree += left[:, k, None] == right[None, :, k]
+    return agree >= AGREE
 
 
 def across(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links between two blocks, one for each pair of groups that the blocks form by themselves and that have like rows."""
-    group_l, group_r = groups(left), groups(right)
-    seen: dict[tuple[int, int], None] = {}
-    for i in range(len(left)):
-        for j in np.unique(group_r[np.flatnonzero((left[i] == right).sum(axis=1) >= AGREE)]).tolist():
-            seen[int(group_l[i]), j] = None
-    return np.array([i for i, _ in seen], np.int64), np.array([j for _, j in seen], np.int64)
+    a, b = np.nonzero(alike(left, right))
+    seen = np.unique(np.column_stack([groups(left)[a], groups(right)[b]]), axis=0)
+    return seen[:, 0], seen[:, 1]
 
 
 def groups(marks: np.ndarray) -> np.ndarray:
     """For each row the first row of its group."""
     out = np.arange(len(marks))
-    top, node = forest(*leaders(marks), len(marks))
+    top, node = forest(*np.nonzero(np.triu(alike(marks, marks), 1)), len(marks))
     out[node] = top
     return out
 
@@ -147,7 +141,7 @@ def groups(marks: np.ndarray) -> np.ndarray:
 def link_bucket(recs: list[bytes], marks: np.ndarray, side: np.ndarray | None = None) -> tuple[list[bytes], list[bytes]]:
     """Links of one bucket (a forest, at most one a row), or between the two sides of a pair of blocks."""
     if side is None or not side.any():
-        a, b = forest(*leaders(marks), len(recs))
+        a, b = forest(*np.nonzero(np.triu(alike(marks, marks), 1)), len(recs))
     else:
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         i, j = across(marks[left], marks[right])
@@ -262,7 +256,7 @@ def candidate_links(recs: DataFrame) -> DataFrame:
     for depth in range(DEPTH):
         rows = keep(lambda rows=rows: split(rows), "paths")
         sizes = keep(lambda rows=rows: rows.groupBy("path").count().where(F.col("count") > SMALL), "sizes")
-        small = rows.join(sizes.select("path"), "path", "left_anti").repartition(n, "path").sortWithinPartitions("path").mapInArrow(compare_small, LINKS)
+        small = rows.join(sizes.select("path"), "path", "left_anti").repartition(n, "path").sortWithinPartitions("path", "rec").mapInArrow(compare_small, LINKS)
         links = small if links is None else links.unionByName(small)
         rows = rows.join(sizes, "path")
         if sizes.isEmpty():
@@ -270,7 +264,7 @@ def candidate_links(recs: DataFrame) -> DataFrame:
         if depth + 1 < DEPTH:
             rows = rows.drop("count")
     dealt = in_block_pairs(rows, "path", "count", BLOCK).select("path", "i", "j", "side", "rec", "signature")
-    return links.unionByName(dealt.repartition(n, "path", "i", "j").sortWithinPartitions("path", "i", "j").mapInArrow(compare_blocks, LINKS))
+    return links.unionByName(dealt.repartition(n, "path", "i", "j").sortWithinPartitions("path", "i", "j", "rec").mapInArrow(compare_blocks, LINKS))
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:

@@ -72,6 +72,39 @@ def test_a_large_group_is_split_compared_in_blocks_and_counted(spark, monkeypatc
     assert rows_of(jaccard.link_documents(documents(spark, texts))) == plain(list(enumerate(texts)))
 
 
+def bridged():
+    """Signatures of i, j, x, y: x and y agree in 52 places, i and x, j and y in 42, all other pairs in 30."""
+    rng = np.random.default_rng(3)
+    x, y, i, j = rng.permuted(np.tile(np.arange(256, dtype=np.uint8), (4, 1)), axis=1)[:, :64] // 4 + np.arange(4, dtype=np.uint8)[:, None] * 64
+    y[:52], i[22:] = x[:52], x[22:]
+    j[22:] = y[22:]
+    return np.array([i, j, x, y])
+
+
+def test_a_pair_is_linked_when_both_are_like_others_first():
+    marks = bridged()
+    a, b = jaccard.link_bucket(list("ijxy"), marks)
+    assert set(a) == {"i"} and sorted(b) == ["j", "x", "y"]
+    far = (np.arange(64, dtype=np.uint8)[None] * 4 + 1) % 251 + np.zeros((1, 1), np.uint8)
+    a, b = jaccard.link_bucket([*"ijxy", "far", "z"], np.concatenate([marks, far, marks[:1]]), np.array([0, 0, 0, 0, 0, 1]))
+    assert list(zip(a, b)) == [("i", "z")]
+
+
+def test_families_joined_by_bridging_pairs_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL", 8)
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rng = random.Random(9)
+    texts = []
+    for f in range(4):
+        part = lambda n, tag: [f"{tag}{f}x{i}" for i in range(n)]
+        shared, left, right = part(280, "s"), part(34, "l"), part(34, "r")
+        x, y = left + shared, shared + right
+        i, j = left + shared[:220] + part(60, "i"), part(60, "j") + shared[60:] + right
+        texts += [" ".join(x), " ".join(y)] + [" ".join(varied(rng, base, 0.002)) for base in (i, j) for _ in range(40)]
+    rng.shuffle(texts)
+    assert rows_of(jaccard.link_documents(documents(spark, texts))) == plain(list(enumerate(texts)))
+
+
 def test_gaps_repeated_ids_and_one_of_each(spark):
     same = " ".join(f"w{i}" for i in range(40))
     texts, ids = [same, same + " more", None, "", same, "other words here", "quite different words"], [7, 3, None, 2, 9, 5, 5]
