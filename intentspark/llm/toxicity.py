@@ -2,10 +2,11 @@
 separators, spacing and repetition hide; then the restored text is scored.
 
 The character language model is trigram counts over the words of all documents (exact sums of a fixed length). A lattice
-gives every character its readings: itself, the letters it may stand for, nothing (separators), a run of one letter
-shortened. A word of letters without a run of three has one reading and needs no search. Runs of three or more
-single characters are read as one spaced word. Features of a restored word are the word and its first four to
-seven letters; a document has each once. The candidate features (at most `FEATURES`, those that tell the labels apart most) and a
+gives every character its readings: itself, the letters it may stand for (also for foreign and accented letters), nothing
+(separators), a run of one letter shortened. Only a word of other letters without doubles has one reading and needs no
+search; few readings are scored one by one, more by the Viterbi search, at any length. Runs of three or more single
+characters are searched with a possible word break before every character. Features of a restored word are the word and
+its first four to seven letters; a document has each once. The candidate features (at most `FEATURES`, those that tell the labels apart most) and a
 logistic model over them with weights >= 0 come from a bounded sample of labelled documents (`TRAIN_ROWS`).
 
 Defined results: NULL text is empty; a text without any candidate feature gets the model's base score; without labels of
@@ -17,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +39,16 @@ STANDS_FOR = {
     "á": "a", "à": "a", "ä": "a", "â": "a", "é": "e", "è": "e", "ê": "e", "ë": "e", "í": "i", "ì": "i", "ï": "i", "î": "i", "ó": "o", "ò": "o", "ö": "o", "ô": "o", "ú": "u", "ù": "u", "ü": "u",
 }
 EDGES = " .,;:!?\"'()[]{}<>%&*#|~`-_=/\\^​‌‍﻿"
-#: Log costs: a sign read as a letter, a sign dropped, a sign kept as a word break, a pair of letters read as one.
-AS_LETTER, DROPPED, KEPT, SINGLED, ACCENT = -1.0, -1.5, -6.0, -4.0, -3.0
-TRIPLE = re.compile(r"(.)\1\1")
-REMEMBERED = 100_000
+#: Log costs: a sign read as a letter, a sign dropped, a sign kept as a word break, a pair of letters read as one, a letter without its accent
+#: or of another script, a new word in a spaced run.
+AS_LETTER, DROPPED, KEPT, SINGLED, ACCENT, PARTED = -1.0, -1.5, -6.0, -4.0, -3.0, -2.0
+#: What may hide a letter in a word of letters only.
+AMBIGUOUS = re.compile(r"(.)\1|[" + "".join(map(re.escape, STANDS_FOR)) + "]", re.S)
+#: Signs at a word's edge that can't be a letter.
+OUTSIDE = "".join(c for c in EDGES if c not in STANDS_FOR)
+#: Signs before a word that are a letter or none of it.
+LEADS = re.compile("[" + "".join(re.escape(c) for c in EDGES if c in STANDS_FOR) + "]+")
+REMEMBERED, LISTED = 100_000, 16
 
 
 def symbol_table() -> np.ndarray:
@@ -92,53 +100,120 @@ class Channel:
         return found
 
     @staticmethod
-    def lattice(word: str) -> list[list[tuple[str, float]]]:
-        """For every run of one character its readings and their costs."""
+    def lattice(word: str, spaced: bool = False) -> list[list[tuple[str, float]]]:
+        """For every run of one character its readings and their costs; in a spaced word any may start a new word. A leading
+        sign that may be a letter is one."""
         out = []
         for run in re.finditer(r"(.)\1*", word, re.S):
             c, n = run[1], len(run[0])
             letters = STANDS_FOR.get(c, "")
             if c.isalpha():
-                options = [(c, 0.0 if n != 2 else SINGLED)] + [(c * 2, 0.0)] * (n >= 2) + [(x * (1 + (n == 2)), ACCENT) for x in letters]
+                single = SINGLED if n == 2 and not spaced else 0.0
+                options = [(c, single)] + [(c * 2, 0.0)] * (n >= 2)
+                for x in letters:
+                    options += [(x, ACCENT + single)] + [(x * 2, ACCENT)] * (n >= 2)
             else:
-                options = [(" ", 2 * KEPT if letters else KEPT)] + [(x, AS_LETTER) for x in letters] + [(x * 2, AS_LETTER) for x in letters if n >= 2] + [("", DROPPED)] * (not c.isdigit())
+                dropped = 0.0 if c in EDGES and run.end() == len(word) else DROPPED
+                options = [(x, AS_LETTER) for x in letters] + [(x * 2, AS_LETTER) for x in letters if n >= 2]
+                if spaced or run.start() or not LEADS.match(c):
+                    options += [(" ", 2 * KEPT if letters else KEPT)] + [("", dropped)] * (not c.isdigit())
+            if spaced:
+                options += [(f"{x[0]} {x[0]}", cost) for x, cost in options if len(x) == 2]
+                options += [(" " + x, cost + PARTED) for x, cost in options if x.strip()] if run.start() else []
             out.append(options)
         return out
 
-    def restore(self, word: str) -> str:
-        """The likeliest reading of a lower-case word; breaks in it are blanks."""
-        states = {(BREAK, BREAK): (0.0, "")}
-        for options in self.lattice(word):
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a0, b0), (score, text) in states.items():
-                for reading, cost in options:
+    def restore(self, lattice: list[list[tuple[str, float]]]) -> str:
+        """The likeliest reading; breaks in it are blanks."""
+        states = {(BREAK, BREAK): (0.0, None)}
+        for options in lattice:
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            steps = [(reading, cost, symbols(reading).tolist() if reading else ()) for reading, cost in options]
+            for (a0, b0), (score, before) in states.items():
+                for reading, cost, signs in steps:
                     a, b, total = a0, b0, score + cost
-                    for s in symbols(reading).tolist() if reading else ():
+                    for s in signs:
                         if s != BREAK or b != BREAK:
                             total += self.row(a, b)[s]
                         a, b = (b, s) if s != BREAK else (BREAK, BREAK)
                     if (a, b) not in after or total > after[a, b][0]:
-                        after[a, b] = (total, text + reading)
+                        after[a, b] = (total, (before, reading))
             states = after
-        best = max(((score + (self.row(a, b)[BREAK] if b != BREAK else 0.0), text) for (a, b), (score, text) in states.items()), default=(0, ""))
-        return best[1]
+        _, last = max(((score + (self.row(a, b)[BREAK] if b != BREAK else 0.0), before) for (a, b), (score, before) in states.items()), key=lambda r: r[0])
+        parts = []
+        while last is not None:
+            last, reading = last
+            parts.append(reading)
+        return "".join(parts[::-1])
+
+    def restore_listed(self, lattices: list[list[list[tuple[str, float]]]]) -> list[str]:
+        """As `restore`, for words of few readings, all of which are scored."""
+        readings: list[str] = []
+        costs: list[float] = []
+        first = [0]
+        for lattice in lattices:
+            texts, sums = [""], [0.0]
+            for options in lattice:
+                if len(options) == 1:
+                    (c, cost), = options
+                    texts, sums = [t + c for t in texts], [x + cost for x in sums]
+                else:
+                    texts, sums = [t + c for t, (c, _) in product(texts, options)], [x + cost for x, (_, cost) in product(sums, options)]
+            readings += texts
+            costs += sums
+            first.append(len(readings))
+        s = symbols("\n".join(readings) + "\n").astype(np.int64)
+        before = np.concatenate([[BREAK], s[:-1]])
+        two = np.where(before == BREAK, BREAK, np.concatenate([[BREAK, BREAK], s[:-2]])[: len(s)])
+        logs = np.where((s != BREAK) | (before != BREAK), self.log[two, before, s], 0.0)
+        starts = np.concatenate([[0], np.cumsum([len(r) + 1 for r in readings])[:-1]])
+        totals = np.add.reduceat(logs, starts) + costs
+        word = np.repeat(np.arange(len(lattices)), np.diff(first))
+        best = np.lexsort((-totals, word))[first[:-1]]
+        return [readings[i] for i in best.tolist()]
+
+    def read_all(self, words: list[str]) -> list[str]:
+        """Words as they stand in the text, restored; letters only, parts separated by blanks. A word behind signs that may
+        be letters is read without them, with the last and with all."""
+        out: list[list[str]] = [[] for _ in words]
+        unread = []
+        for at, word in enumerate(words):
+            core = word.lower().strip(OUTSIDE)
+            if not core.isalpha() and not any(map(str.isalpha, core)):
+                out[at] = re.findall(r"[^\W\d_]+", core)
+                continue
+            lead = LEADS.match(core)
+            bare = core[lead.end() :].lstrip(EDGES) if lead else core
+            for text in {bare: 0, core[lead.end() - 1 :]: 0, core: 0} if lead else (core,):
+                if text.isalpha() and not AMBIGUOUS.search(text):
+                    out[at].append(text)
+                elif text in self.known:
+                    out[at].append(self.known[text])
+                else:
+                    unread.append((at, text))
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        for a in range(0, len(unread), 5_000):
+            part = [(at, text, self.lattice(text)) for at, text in unread[a : a + 5_000]]
+            few = [math.prod(map(len, lattice)) <= LISTED for *_, lattice in part]
+            listed = iter(self.restore_listed([p[2] for p, f in zip(part, few, strict=True) if f]) if any(few) else [])
+            for (at, text, lattice), f in zip(part, few, strict=True):
+                found = next(listed) if f else self.restore(lattice)
+                out[at].append(found)
+                if len(self.known) <= REMEMBERED:
+                    self.known[text] = found
+        return [" ".join(o) for o in out]
 
     def read(self, word: str) -> str:
-        """A word as it stands in the text, restored; letters only, parts separated by blanks."""
-        core = word.lower().strip(EDGES)
-        if core.isalpha() and not TRIPLE.search(core):
-            return core
-        if not any(map(str.isalpha, core)) or len(core) > 60:
-            return " ".join(re.findall(r"[^\W\d_]+", core))
-        found = self.known.get(core)
-        if found is None:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            found = self.known[core] = self.restore(core)
-        return found
+        return self.read_all([word])[0]
 
     def spaced(self, characters: str) -> str:
-        return self.read(characters) if sum(map(str.isalpha, characters)) >= 2 else ""
+        """Single characters in a row, restored and parted into words, then the words with a break one letter off."""
+        if sum(map(str.isalpha, characters)) < 2:
+            return ""
+        words = self.restore(self.lattice(characters.lower(), True)).split()
+        moved = [w for a, b in zip(words[:-1], words[1:], strict=True) for w in (a[:-1], a[-1] + b, a + b[0], b[1:]) if w]
+        return " ".join(words + moved)
 
 
 def features(restored: str) -> list[str]:
@@ -169,8 +244,8 @@ def found_features(texts: pa.Array, channel: Channel, wanted: dict[str, int] | N
     data, offsets = A.as_bytes(texts)
     starts, ends, first = A.word_bounds(data, offsets)
     words, codes = A.distinct_words(data, starts, ends)
-    pick = (lambda w: features(channel.read(w))) if wanted is None else (lambda w: [wanted[f] for f in features(channel.read(w)) if f in wanted])
-    each = list(map(pick, words))
+    pick = features if wanted is None else (lambda w: [wanted[f] for f in features(w) if f in wanted])
+    each = list(map(pick, channel.read_all(words)))
     out: list[set] = [set() for _ in range(len(texts))]
     holds = np.fromiter(map(bool, each), bool, len(each))
     at = np.flatnonzero(holds[codes]) if len(codes) else codes

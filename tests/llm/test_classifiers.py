@@ -48,6 +48,16 @@ def test_spaced_words_are_found_in_texts(spark):
     assert "idiot" in found[0] and found[1:] == [set(), set(), set()]
 
 
+def test_channel_searches_foreign_letters_doubles_leading_signs_spaced_runs_and_long_tokens(spark):
+    channel = toxicity.Channel(toxicity.character_counts(spark.read.parquet(f"{BIG}/documents.parquet")))
+    for hidden, plain in (("\u0456diot", "idiot"), ("idi\u043et", "idiot"), ("iddiot", "idiot"), ("morron", "moron"), ("m\u00f6ron", "moron"), ("|diot", "idiot"), ("!diot", "idiot"), ("(lown", "clown"), ("idiot!", "idiot"), ("(idiot)", "idiot")):
+        assert plain in channel.read(hidden).split()
+    assert "moron" in channel.spaced("amoron").split() and "idiot" in channel.spaced("youidiot").split()
+    assert "idiot" in channel.read("-".join(["the"] * 30 + ["1d10t"])).split()
+    for word in ("iddi0t", "m\u00f6r0n", "ha++ed", "(l0wn!"):
+        assert channel.restore(channel.lattice(word)) == channel.restore_listed([channel.lattice(word)])[0]
+
+
 @pytest.mark.parametrize("module", [quality, toxicity])
 def test_gaps_ties_empty_tables_and_missing_labels(spark, module):
     docs = documents(spark, ["good words here today", None, "", "bad bad bad bad", "bad bad bad bad", "x " * 30_000], ids=[1, 2, 3, 4, 4, None])
