@@ -3,8 +3,9 @@
 A vector is represented by its nearest pivots in order (the first `PREFIX` of `PIVOTS`). Vectors are dealt to blocks; a
 block posts each vector in the inverted file of every pivot of its prefix, with its place. A query walks the files of
 its own prefix pivots and sums, per posted vector, 2 (PREFIX - later place): a constant less the footrule distance of the
-two prefixes. The best `SHARE` of the block by footrule (at least `FLOOR`) are reranked with exact products in double
-precision, and each query's best per block are merged.
+two prefixes. Equal vectors are one, with the k + 1 least vec_ids, all that a result can name; vectors of one prefix are one
+posting. The best `SHARE` of the block's different prefixes by footrule (at least `FLOOR`), with all that tie with the last,
+are reranked with exact products in double precision, and each query's best per block are merged.
 
 The pivots are a bounded sample: the `PIVOTS` different vectors of smallest hash. Inner products become distances by one
 extra component sqrt(M^2 - |x|^2), M the largest norm in the table; queries have 0 there. Every vector is indexed.
@@ -51,47 +52,56 @@ def footrule_prefixes(x: np.ndarray, largest: float, pivots: np.ndarray, prefix:
 
 
 class Block:
-    """The inverted files of one block of vectors, in order of vec_id."""
+    """The inverted files of one block of vectors: equal vectors are one, and those of one prefix are posted once."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, largest: float, pivots: np.ndarray, prefix: int):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.x, self.prefix = ids[order], x[order], prefix
-        places = footrule_prefixes(self.x, largest, pivots, prefix, False)
+        x = np.ascontiguousarray(x)
+        _, first, vector = np.unique(x.view(f"V{x.shape[1] * x.itemsize}").ravel(), return_index=True, return_inverse=True)
+        order = np.lexsort((ids, vector))
+        self.ids, self.x, self.prefix = ids[order], x[first], prefix
+        self.edges = np.searchsorted(vector[order], np.arange(len(first) + 1))
+        places, self.posting = np.unique(footrule_prefixes(self.x, largest, pivots, prefix, False), axis=0, return_inverse=True)
+        self.posting, self.postings = self.posting.ravel(), len(places)
         flat = np.argsort(places.ravel(), kind="stable")
         edges = np.searchsorted(places.ravel()[flat], np.arange(len(pivots) + 1))
         self.files = [((flat[a:b] // places.shape[1]).astype(np.int32), (flat[a:b] % places.shape[1]).astype(np.int32)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
     def search(self, query_id: int, q: np.ndarray, nearest: np.ndarray, k: int, share: float, floor: int) -> tuple[np.ndarray, np.ndarray]:
-        alike = np.zeros(len(self.ids), np.int64)
+        alike = np.zeros(self.postings, np.int64)
         for place, pivot in enumerate(nearest):
             rows, theirs = self.files[pivot]
             alike[rows] += 2 * (self.prefix - np.maximum(theirs, place))
         size = min(len(alike), max(floor, math.ceil(share * len(alike))))
-        ranked = alike * len(alike) + np.arange(len(alike))[::-1]
-        found = np.argpartition(-ranked, size - 1)[:size]
-        found = found[self.ids[found] != query_id]
+        last = np.partition(alike, len(alike) - size)[len(alike) - size]
+        found = np.flatnonzero((alike >= last)[self.posting])
         scores = (self.x[found] * q).sum(axis=1)
-        best = np.lexsort((self.ids[found], -scores))[:k]
-        return self.ids[found[best]], scores[best]
+        copies = self.edges[found + 1] - self.edges[found]
+        rows = np.repeat(self.edges[found] - (np.cumsum(copies) - copies), copies) + np.arange(copies.sum())
+        ids, scores = self.ids[rows], np.repeat(scores, copies)
+        best = np.lexsort((ids, -scores))
+        best = best[ids[best] != query_id][:k]
+        return ids[best], scores[best]
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, floor: int = FLOOR, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the `k` nearest found of every row that `is_query` holds for."""
     rows = keep(lambda: usable(vectors), "vectors")
-    facts = rows.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("m")).first()
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * pivots).collect()
-    different = list({tuple(r["v"]): None for r in sample})[:pivots]
+    facts = rows.agg(F.count(F.when(is_query, 1)).alias("q"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("m")).first()
+    copy = F.row_number().over(W.partitionBy("v").orderBy("vec_id"))
+    named = keep(lambda: rows.withColumn("copy", copy).where(F.col("copy") <= k + 1), "different")
+    sample = named.where("copy = 1").orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
+    different = list({tuple(r["v"]): None for r in sample})
     if not different:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     largest = float(facts["m"])
     points = np.array(different)
     points = np.column_stack([points, np.sqrt(np.maximum(0.0, largest * largest - (points * points).sum(axis=1)))])
     prefix = min(prefix, len(points))
-    across, down = math.ceil(facts["n"] / block), math.ceil(max(1, facts["q"]) / QUERY_BLOCK)
-    dealt = lambda n: F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(n)).cast("int")
+    across, down = math.ceil(named.count() / block), math.ceil(max(1, facts["q"]) / QUERY_BLOCK)
+    dealt = lambda n, by: F.pmod(F.xxhash64(by, F.lit(7)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    stored = rows.select("vec_id", "v", F.lit(0).alias("side"), dealt(across).alias("i"), every(down).alias("j"))
-    asked = rows.where(is_query).select("vec_id", "v", F.lit(1).alias("side"), dealt(down).alias("j"), every(across).alias("i"))
+    stored = named.select("vec_id", "v", F.lit(0).alias("side"), dealt(across, "v").alias("i"), every(down).alias("j"))
+    asked = rows.where(is_query).select("vec_id", "v", F.lit(1).alias("side"), dealt(down, "vec_id").alias("j"), every(across).alias("i"))
     met = stored.unionByName(asked).withColumn("pair", F.col("i") * down + F.col("j")).select("pair", "side", "vec_id", "v").repartitionById(across * down, "pair")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

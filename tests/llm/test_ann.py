@@ -47,3 +47,23 @@ def test_bad_vectors_ties_and_few_rows(spark):
     got = ann.search(spark.createDataFrame([(*r, 1) for r in rows], SCHEMA), F.col("vec_id") % 20 == 0).orderBy("rank").collect()
     assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got] == [(0, 1, 1, 1.0), (0, 2, 2, 1.0)]
     assert ann.search(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_copies_of_one_vector_take_no_place_of_others(spark):
+    rng = np.random.default_rng(5)
+    x = (rng.normal(size=(1500, 24)) + 1.5 * rng.normal(size=(12, 24))[rng.integers(0, 12, 1500)]).astype(np.float32)
+    ids = np.arange(1500)
+    x[ids % 3 == 1] = 0.7 * x[0]
+    queries = [q for q in ids[ids % 3 == 0][np.argsort(-(x[ids % 3 == 0] @ x[0]))[:15]].tolist()]
+    got = ann.search(table(spark, ids, x), F.col("vec_id").isin(queries), k=10, floor=50, block=2000).collect()
+    found = sum(len({r["vec_id"] for r in got if r["query_id"] == q} & {i for _, i in brute(ids, x, q, 10)}) for q in queries)
+    assert found >= 0.9 * 150
+
+
+def test_a_block_keeps_copies_once_and_goes_past_ties():
+    x = np.array([[1.0, 0.0]] * 6 + [[0.0, 1.0], [2.0, 0.0]])
+    pivots = np.array([[1.0, 0.0, 1.0], [0.0, 1.0, 1.0]])
+    block = ann.Block(np.arange(8), x, 2.0, pivots, 2)
+    near = ann.footrule_prefixes(x[:1], 2.0, pivots, 2, True)[0]
+    found, scores = block.search(0, x[0], near, 3, 0.1, 1)
+    assert found.tolist() == [7, 1, 2] and scores.tolist() == [2.0, 1.0, 1.0]
