@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intentspark.llm import ann, bpe, chat, jaccard, mixing, quality, simhash, substring, suffixes, toxicity
+from intentspark.llm import ann, bpe, chat, divergence, jaccard, mixing, packing, periodic, quality, simhash, substring, suffixes, toxicity
 from intentspark.llm.common import table
 
 
@@ -49,5 +49,18 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_ann": op1_ann, "op2_chat": op2_chat, "op3_toxicity": op3_toxicity, "op4_substring": op4_substring, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op7_jaccard": op7_jaccard, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing, "op10_suffix": op10_suffix}
-ORACLE_SQL = {"op2_chat": chat.SQL, "op9_mixing": mixing.SQL}
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.collapse(periodic.with_planted_periods(table(spark, sf_dir, "documents"))))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_ann": op1_ann, "op2_chat": op2_chat, "op3_toxicity": op3_toxicity, "op4_substring": op4_substring, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op7_jaccard": op7_jaccard, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing, "op10_suffix": op10_suffix,
+           "op11_packing": op11_packing, "op12_runs": op12_runs, "op13_divergence": op13_divergence}
+ORACLE_SQL = {"op2_chat": chat.SQL, "op9_mixing": mixing.SQL, "op13_divergence": divergence.SQL}
