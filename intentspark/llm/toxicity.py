@@ -20,6 +20,7 @@ import re
 from collections.abc import Iterator
 from itertools import product
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,6 +50,8 @@ OUTSIDE = "".join(c for c in EDGES if c not in STANDS_FOR)
 #: Signs before a word that are a letter or none of it.
 LEADS = re.compile("[" + "".join(re.escape(c) for c in EDGES if c in STANDS_FOR) + "]+")
 REMEMBERED, LISTED = 100_000, 16
+#: Runs of signs that are a letter or left out.
+OPTIONAL = re.compile("([" + "".join(re.escape(c) for c in STANDS_FOR if not c.isalpha() and not c.isdigit()) + r"])\1*")
 
 
 def symbol_table() -> np.ndarray:
@@ -225,6 +228,64 @@ def features(restored: str) -> list[str]:
     return out
 
 
+def letter_classes() -> dict[str, str]:
+    """For every letter or sign of the channel one letter of its class: letters that one sign may stand for are one class."""
+    above: dict[str, str] = {}
+
+    def top(c: str) -> str:
+        while above.get(c, c) != c:
+            c = above[c]
+        return c
+
+    for sign, letters in STANDS_FOR.items():
+        group = sorted({top(x) for x in letters} | ({top(sign)} if sign.isalpha() else set()))
+        for c in group:
+            above[c] = group[0]
+    return {c: top(c) for c in {*above, *(x for letters in STANDS_FOR.values() for x in letters)}} | {s: top(v[0]) for s, v in STANDS_FOR.items() if not s.isalpha()}
+
+
+class Sieve:
+    """Which words can yield a wanted feature at all. Every reading of a word keeps the classes of its letters, but for
+    repeats and signs that are left out; so a feature must stand in the word's classes, in a word of letters only at its
+    start. The others need no search."""
+
+    REPEATS = re.compile(r"(.)\1+")
+
+    def __init__(self, wanted: dict[str, int]):
+        self.table = str.maketrans(letter_classes())
+        folded = lambda f: self.REPEATS.sub(r"\1", f.translate(self.table))
+        self.words = {folded(f) for f in wanted if not f.startswith("^")}
+        self.stems = {folded(f[1:]) for f in wanted if f.startswith("^")}
+        self.lengths = sorted({len(f) for f in self.stems})
+        self.anywhere = ahocorasick.Automaton()
+        for f in self.words | self.stems:
+            self.anywhere.add_word(f, f)
+        if self.words or self.stems:
+            self.anywhere.make_automaton()
+
+    def _holds(self, text: str) -> bool:
+        return next(self.anywhere.iter(self.REPEATS.sub(r"\1", text)), None) is not None
+
+    def _signs_hold(self, core: str) -> bool:
+        """A word with signs: those that may be letters are kept, or, if there is one, also left out."""
+        letters = "".join(c for c in core if c.isalpha() or c in STANDS_FOR)
+        signs = {m[1] for m in OPTIONAL.finditer(core)}
+        if len(OPTIONAL.findall(core)) > 1:
+            return True
+        return any(self._holds(t.translate(self.table)) for t in {letters, "".join(c for c in letters if c not in signs)})
+
+    def passes(self, words: list[str]) -> list[int]:
+        """The places of the words to search."""
+        if not (self.words or self.stems):
+            return []
+        cores = [w.lower().strip(OUTSIDE) for w in words]
+        plain = [i for i, c in enumerate(cores) if c.isalpha()]
+        folded = self.REPEATS.sub(r"\1", "\n".join(cores[i] for i in plain).translate(self.table)).split("\n")
+        stems, known, lengths = self.stems, self.words, self.lengths
+        out = [i for i, f in zip(plain, folded, strict=True) if f in known or any(f[:n] in stems for n in lengths)] if plain else []
+        return sorted(out + [i for i, c in enumerate(cores) if not c.isalpha() and any(map(str.isalpha, c)) and self._signs_hold(c)])
+
+
 def spaced_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> list[tuple[int, str]]:
     """(text, characters) of every run of three or more words of one character."""
     lead = data[starts] if len(starts) else np.empty(0, np.uint8)
@@ -239,13 +300,16 @@ def spaced_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: n
     return out
 
 
-def found_features(texts: pa.Array, channel: Channel, wanted: dict[str, int] | None) -> list[set]:
-    """The features of every text (with `wanted`: the numbers of those in it)."""
+def found_features(texts: pa.Array, channel: Channel, wanted: dict[str, int] | None, sieve: Sieve | None = None) -> list[set]:
+    """The features of every text (with `wanted`: the numbers of those in it; words that `sieve` stops hold none)."""
     data, offsets = A.as_bytes(texts)
     starts, ends, first = A.word_bounds(data, offsets)
     words, codes = A.distinct_words(data, starts, ends)
     pick = features if wanted is None else (lambda w: [wanted[f] for f in features(w) if f in wanted])
-    each = list(map(pick, channel.read_all(words)))
+    search = range(len(words)) if sieve is None else sieve.passes(words)
+    each: list[list] = [[]] * len(words)
+    for i, restored in zip(search, channel.read_all([words[i] for i in search]), strict=True):
+        each[i] = pick(restored)
     out: list[set] = [set() for _ in range(len(texts))]
     holds = np.fromiter(map(bool, each), bool, len(each))
     at = np.flatnonzero(holds[codes]) if len(codes) else codes
@@ -318,8 +382,9 @@ def score(docs: DataFrame, fitted: tuple[np.ndarray, Model]) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         channel, wanted = Channel(shared.value), {f: i for i, f in enumerate(model.names)}
+        sieve = Sieve(wanted)
         for batch in A.pieces(batches):
-            s = model.score(found_features(A.column(batch, "text"), channel, wanted))
+            s = model.score(found_features(A.column(batch, "text"), channel, wanted, sieve))
             yield pa.RecordBatch.from_arrays([A.column(batch, "doc_id"), pa.array(s)], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(scored, "doc_id long, score double")
