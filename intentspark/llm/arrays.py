@@ -68,15 +68,21 @@ def as_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def sliced(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """(start, rows) of slices of about `size` bytes of text."""
+    lengths = np.diff(as_bytes(texts)[1])
+    group = (np.cumsum(lengths) - lengths) // size if len(lengths) else lengths
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(lengths)]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        if b > a:
+            yield a, b - a
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The rows in batches of about `size` bytes of text, so that numpy's working arrays stay small."""
     for batch in batches:
-        lengths = np.diff(as_bytes(column(batch, text))[1])
-        group = (np.cumsum(lengths) - lengths) // size if len(lengths) else lengths
-        edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(lengths)]
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            if b > a:
-                yield batch.slice(a, b - a)
+        for start, rows in sliced(column(batch, text), size):
+            yield batch.slice(start, rows)
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

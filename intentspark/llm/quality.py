@@ -27,6 +27,8 @@ from intentspark.llm.totals import corpus_sum
 BUCKETS, SHAPES, DIM, SPAN = 2**14, 1024, 32, 2
 HIDDEN, EPOCHS, TRAIN_ROWS = 24, 60, 20_000
 FOLDS, HELD, THRESHOLD = 5, 0, 0.3
+#: Bytes of text scored at once where whole rows are carried along.
+CARRIED = 1_000_000
 
 KIND = np.full(256, 3, np.uint8)
 KIND[A.SPACE] = 0
@@ -135,10 +137,11 @@ class Network:
 
     def __init__(self, x: np.ndarray, y: np.ndarray, seed: int = 11):
         rng = np.random.default_rng(seed)
-        self.mean, self.scale, self.temperature, self.constant = x.mean(axis=0), x.std(axis=0) + 1e-6, 1.0, None
+        self.temperature, self.constant = 1.0, None
         if len(np.unique(y)) < 2:
             self.constant = float(y.mean()) if len(y) else 0.5
             return
+        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
         self.w = [rng.normal(0, 1 / np.sqrt(x.shape[1]), (x.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.zeros(1)]
         check = rng.permutation(len(x)) % 7 == 0
         check = check if len(np.unique(y[check])) == 2 and len(np.unique(y[~check])) == 2 else np.zeros(len(x), bool)
@@ -195,14 +198,16 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network], carry: bool = Fals
     network = model[1]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in A.pieces(batches):
-            s = pa.array(network.score(pool(A.column(batch, "text"), vectors.value)))
-            yield pa.RecordBatch.from_arrays([A.column(batch, name), s], [name, "score"])
+        for batch in batches:
+            texts = A.column(batch, "row").field("text") if carry else A.column(batch, "text")
+            for start, rows in A.sliced(texts, CARRIED if carry else 2_000_000):
+                s = pa.array(network.score(pool(texts.slice(start, rows), vectors.value)))
+                yield pa.RecordBatch.from_arrays([A.column(batch, name).slice(start, rows), s], [name, "score"])
 
     name = "row" if carry else "doc_id"
     if not carry:
         return docs.select("doc_id", "text").mapInArrow(scored, "doc_id long, score double")
-    return docs.select(F.struct("*").alias("row"), "text").mapInArrow(scored, f"row {docs.schema.simpleString()}, score double")
+    return docs.select(F.struct("*").alias("row")).mapInArrow(scored, f"row {docs.schema.simpleString()}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

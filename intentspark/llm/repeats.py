@@ -7,8 +7,9 @@ same shift. Then three steps:
 
 1. anchors: every task hashes its anchors, finds those that repeat among its own and sends one of each kind to the task
    that owns the hash; what repeats there or anywhere is a candidate;
-2. extension: documents with candidates (of equal texts only the first document) hash the full runs around them; equal
-   runs meet at the task that owns their hash, and all but the earliest are marked;
+2. extension: documents with candidates (of equal texts only the first document) send the full runs around them: words as
+   a hash of each run; bytes as stretches of text, each of consecutive runs with one owner, which hold a hundred runs in
+   little more than the bytes of one. Equal runs meet at one task, and all but the earliest are marked;
 3. marks go back to their documents.
 
 An anchor or run of any frequency costs a task one record, since it is aggregated before the shuffle. Nothing is paired.
@@ -38,6 +39,7 @@ MARKED = "doc_id long, key long, places binary"
 class Kind:
     """What repeats: runs of `width` symbols; `modulus` and `cover` choose the anchors.
 
+    With `gram` (symbols of one byte) runs travel as pieces of text, dealt by the least hash of `gram` symbols in them.
     `read` gives a batch's symbols, as they are stored, and each text's offsets; `widen` turns stored symbols to 64 bits.
     With `within` an earlier start in the same document counts too. A task reads pieces of about `piece` bytes, sends after `flush` records and takes a text
     of more than `segment` symbols in parts."""
@@ -51,6 +53,7 @@ class Kind:
     flush: int = 400_000
     segment: int = 2_000_000
     piece: int = 500_000
+    gram: int = 0
 
     @property
     def anchor(self) -> int:
@@ -257,6 +260,114 @@ def earliest(docs: np.ndarray, place: np.ndarray, *hashes: np.ndarray) -> tuple[
     return order, new, docs[first], place[first]
 
 
+def candidate_runs(batch: pa.RecordBatch, kind: Kind, n: np.ndarray, first: np.ndarray, starts: int, base: int) -> np.ndarray:
+    """Starts, among the symbols of a batch, of the runs that hold a repeated anchor at a place of the cover."""
+    near = np.zeros(starts + 1, np.int32)
+    for i, packed_places in enumerate(A.column(batch, "places").to_pylist()):
+        if n[i] < kind.width:
+            continue
+        place = unpack_places(np.array([len(packed_places) // 4]), packed_places) - base
+        place = place[(place >= 0) & (place < n[i])]
+        np.add.at(near, first[i] + np.clip(place - kind.modulus + 1, 0, n[i] - kind.width), 1)
+        np.add.at(near, first[i] + np.clip(place, -1, n[i] - kind.width) + 1, -1)
+    return np.flatnonzero(np.cumsum(near[:-1]) > 0)
+
+
+def least_of(hashes: np.ndarray, window: int) -> np.ndarray:
+    """The least of each `window` hashes in a row, by doubling."""
+    size = 1
+    while size < window:
+        step = min(size, window - size)
+        hashes = np.minimum(hashes[:-step], hashes[step:])
+        size += step
+    return hashes
+
+
+def stretch_bytes(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    before = np.cumsum(size) - size
+    return data[np.repeat(at - before, size) + np.arange(size.sum())]
+
+
+def send_stretches(kind: Kind, tasks: int):
+    """Runs as stretches of text: consecutive runs whose least gram has one owner go there together. Of equal stretches
+    a task sends the earliest and marks the others."""
+
+    def packed(g: Gathered, turn: int) -> Iterator[pa.RecordBatch]:
+        texts, g.texts = np.concatenate(g.texts), []
+        docs, keys, row, place, runs, to, h = g.take()
+        size = runs + kind.width - 1
+        begin = np.cumsum(size) - size
+        order, new, first_doc, first_place = earliest(docs[row], place, h, runs)
+        doc = docs[row][order]
+        later = (doc > first_doc) | ((place[order] > first_place) if kind.within else False)
+        again = np.sort(order[later])
+        if len(again):
+            each = np.repeat(again, runs[again])
+            step = np.arange(len(each)) - np.repeat(np.cumsum(runs[again]) - runs[again], runs[again])
+            d, k, r, p = sorted_marks(docs[row[each]], keys[row[each]], place[each] + step)
+            yield packed_batch([packed_row(turn % tasks, 0, d, k, r, p)])
+        sent = np.sort(order[~later])
+        by = np.argsort(to[sent], kind="stable")
+        edges = np.searchsorted(to[sent][by], np.arange(tasks + 1))
+        rows = []
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            mine = sent[by[edges[b] : edges[b + 1]]]
+            raw = A.blob(runs[mine].astype(np.uint32)) + A.blob(stretch_bytes(texts, begin[mine], size[mine]))
+            rows.append(packed_row(b, 1, docs, keys, row[mine], place[mine], raw))
+        yield packed_batch(rows)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g, turn = Gathered(), 0
+        g.texts = []
+        for batch, symbols, first, base in segments(batches, kind):
+            n, starts = np.diff(first), len(symbols) - kind.width + 1
+            at = candidate_runs(batch, kind, n, first, starts, base) if starts > 0 else np.empty(0, np.int64)
+            if not len(at):
+                continue
+            to = owner(A.scramble(least_of(A.rolling(symbols, kind.gram), kind.width - kind.gram + 1), 7), tasks)[at]
+            row = np.searchsorted(first, at, side="right") - 1
+            new = np.ones(len(at), bool)
+            new[1:] = (at[1:] != at[:-1] + 1) | (to[1:] != to[:-1]) | (row[1:] != row[:-1])
+            begin = np.flatnonzero(new)
+            runs = np.diff(np.append(begin, len(at)))
+            stored = kind.read(batch)[0][base : base + len(symbols)] if base or batch.num_rows == 1 else kind.read(batch)[0]
+            with np.errstate(over="ignore"):
+                whole = np.add.reduceat(A.rolling(symbols, kind.width)[at] * A.scramble((np.arange(len(at)) - np.repeat(begin, runs)).astype(np.uint64), 6), begin)
+            g.add(batch, row[begin], at[begin] - first[row[begin]] + base, runs, to[begin], whole)
+            g.texts.append(stretch_bytes(stored, at[begin], runs + kind.width - 1))
+            if sum(map(len, g.texts)) >= 4 * kind.flush:
+                yield from packed(g, turn)
+                turn += 7
+        if g.size:
+            yield from packed(g, turn)
+
+    return send
+
+
+def collect_stretches(batches: Iterator[pa.RecordBatch], kind: Kind) -> tuple[list[tuple[np.ndarray, ...]], tuple[np.ndarray, ...] | None]:
+    """As `collect_packed`, a record per run: stretches are hashed here."""
+    marks, tables, parts, rows = [], [], [], 0
+    for batch in batches:
+        for _, what, docs, keys, counts, places, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            counts = np.frombuffer(counts, np.uint32).astype(np.int64)
+            docs, keys, place = np.frombuffer(docs, np.int64), np.frombuffer(keys, np.int64), unpack_places(counts, places)
+            if what == 0:
+                marks.append((np.repeat(docs, counts), np.repeat(keys, counts), place))
+                continue
+            runs = np.frombuffer(raw, np.uint32, len(place)).astype(np.int64)
+            hashes = A.rolling(kind.widen(np.frombuffer(raw, np.uint8, offset=4 * len(place))), kind.width)
+            size = runs + kind.width - 1
+            step = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
+            tables.append((docs, keys))
+            parts.append((np.repeat(np.repeat(np.arange(rows, rows + len(docs), dtype=np.uint32), counts), runs), (np.repeat(place, runs) + step).astype(np.uint32),
+                          hashes[np.repeat(np.cumsum(size) - size, runs) + step]))
+            rows += len(docs)
+    if not parts:
+        return marks, None
+    docs, keys = (np.concatenate(c) for c in zip(*tables, strict=True))
+    return marks, (docs, keys, *[np.concatenate([p[k] for p in parts]) for k in range(3)])
+
+
 def send_runs(kind: Kind, tasks: int):
     def packed(g: Gathered, turn: int) -> Iterator[pa.RecordBatch]:
         docs, keys, row, place, high, low = g.take()
@@ -282,15 +393,7 @@ def send_runs(kind: Kind, tasks: int):
             n, starts = np.diff(first), len(symbols) - kind.width + 1
             if starts <= 0:
                 continue
-            near = np.zeros(starts + 1, np.int32)
-            for i, packed_places in enumerate(A.column(batch, "places").to_pylist()):
-                if n[i] < kind.width:
-                    continue
-                place = unpack_places(np.array([len(packed_places) // 4]), packed_places) - base
-                place = place[(place >= 0) & (place < n[i])]
-                np.add.at(near, first[i] + np.clip(place - kind.modulus + 1, 0, n[i] - kind.width), 1)
-                np.add.at(near, first[i] + np.clip(place, -1, n[i] - kind.width) + 1, -1)
-            at = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+            at = candidate_runs(batch, kind, n, first, starts, base)
             if not len(at):
                 continue
             row = np.searchsorted(first, at, side="right") - 1
@@ -306,7 +409,7 @@ def send_runs(kind: Kind, tasks: int):
 
 def later_runs(kind: Kind, tasks: int):
     def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, records = collect_packed(batches, True)
+        marks, records = collect_stretches(batches, kind) if kind.gram else collect_packed(batches, True)
         if records is not None:
             docs, keys, row, place, h = records
             order = np.argsort(h)
@@ -339,7 +442,8 @@ def mark_repeats(docs: DataFrame, kind: Kind) -> DataFrame:
     near = keep(lambda: marks(to_owner(rows.mapInArrow(send_anchors(kind, tasks), PACKED)).mapInArrow(repeated_anchors(tasks), PACKED)), "anchors")
     of_firsts = near.join(firsts.select(F.col("first").alias("doc_id"), "key"), ["doc_id", "key"])
     around = lambda: rows.join(of_firsts.hint("shuffle_hash"), ["doc_id", "key"])
-    later = lambda: marks(to_owner(around().mapInArrow(send_runs(kind, tasks), PACKED)).mapInArrow(later_runs(kind, tasks), PACKED))
+    send = send_stretches if kind.gram else send_runs
+    later = lambda: marks(to_owner(around().mapInArrow(send(kind, tasks), PACKED)).mapInArrow(later_runs(kind, tasks), PACKED))
     return keep(lambda: later().select("doc_id", "key", F.lit(False).alias("whole"), "places").unionByName(
         copies.select("doc_id", "key", F.lit(True).alias("whole"), F.lit(None).cast("binary").alias("places"))), "marks")
 
@@ -358,7 +462,15 @@ def covered(n: int, whole: bool, places: bytes | None, width: int) -> np.ndarray
 
 
 def with_marks(docs: DataFrame, kind: Kind) -> DataFrame:
-    """row (all columns of `docs`), text, whole, places."""
-    keyed = docs.select(F.struct("*").alias("row"), "doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
-    marks = mark_repeats(keyed.select("doc_id", "key", "text"), kind)
-    return keyed.join(marks.hint("shuffle_hash"), ["doc_id", "key"], "left").select("row", "text", "whole", "places")
+    """row (all columns of `docs`, the text among them), whole, places."""
+    keyed = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
+    marks = mark_repeats(keyed.select("doc_id", "key", F.col("row.text").alias("text")), kind)
+    return keyed.join(marks.hint("shuffle_hash"), ["doc_id", "key"], "left").select("row", "whole", "places")
+
+
+def marked_rows(batches: Iterator[pa.RecordBatch], size: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Slices of `with_marks` and their texts."""
+    for batch in batches:
+        texts = A.column(batch, "row").field("text")
+        for start, rows in A.sliced(texts, size):
+            yield batch.slice(start, rows), texts.slice(start, rows)

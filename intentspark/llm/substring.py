@@ -31,8 +31,8 @@ KIND = repeats.Kind(width=13, modulus=7, cover=(0, 1, 3), within=False, read=rea
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in A.pieces(batches):
-        data, offsets = A.as_bytes(A.column(batch, "text"))
+    for batch, texts in repeats.marked_rows(batches):
+        data, offsets = A.as_bytes(texts)
         starts, ends, first = A.word_bounds(data, offsets)
         kept, removed = [], []
         for i, (whole, places) in enumerate(zip(A.column(batch, "whole").to_pylist(), A.column(batch, "places").to_pylist(), strict=True)):

@@ -35,12 +35,12 @@ def read_bytes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return A.as_bytes(A.column(batch, "text"))
 
 
-KIND = repeats.Kind(width=100, modulus=57, cover=(0, 1, 3, 13, 32, 36, 43, 52), within=True, read=read_bytes, widen=lambda data: TABLE[data])
+KIND = repeats.Kind(width=100, modulus=57, cover=(0, 1, 3, 13, 32, 36, 43, 52), within=True, read=read_bytes, widen=lambda data: TABLE[data], gram=16)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in A.pieces(batches):
-        data, offsets = A.as_bytes(A.column(batch, "text"))
+    for batch, texts in repeats.marked_rows(batches):
+        data, offsets = A.as_bytes(texts)
         kept, removed, spans = [], [], []
         for i, (whole, places) in enumerate(zip(A.column(batch, "whole").to_pylist(), A.column(batch, "places").to_pylist(), strict=True)):
             gone = repeats.covered(int(offsets[i + 1] - offsets[i]), bool(whole), places, KIND.width)
