@@ -118,8 +118,7 @@ HIST_BOOSTING_GRID = (
 MIN_SEGMENT_ROWS = 20
 FAIRNESS_GAP = 0.12
 
-# --- fixed values: explanation sample sizes ---------------------------------------------------
-EXPLAIN_ROWS = 60
+# --- fixed values: explanation sizes ---------------------------------------------------
 BACKGROUND_ROWS = 20
 PERMUTATION_REPEATS = 8
 LOCAL_TOP_K = 4

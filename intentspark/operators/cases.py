@@ -76,7 +76,7 @@ def case_policy(cases: DataFrame, explanations: DataFrame | None = None, bands:
     if explanations is None:
         return decided.withColumn("top_drivers", F.array().cast("array<string>"))
     drivers = explanations.select("row_id", F.slice("drivers", 1, 2).alias("top_drivers"))
-    return decided.join(F.broadcast(drivers), "row_id", "left").withColumn(
+    return decided.join(drivers, "row_id", "left").withColumn(
         "top_drivers", F.coalesce("top_drivers", F.array().cast("array<string>")))
 
 

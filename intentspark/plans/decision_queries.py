@@ -136,37 +136,34 @@ def reference(spark, sf):
     return cases.reference_cases(side(scored_lines(spark, sf), "test"))
 
 
-def explained(spark, sf):
-    frame = lines(spark, sf)
-    picked = reference(spark, sf)
-    rows = explain.explained_rows(side(frame, "test"), picked)
-    phi = explain.shapley_values(rows, explain.background_sample(side(frame, "train")), Scorecard())
-    return rows, phi, picked
+def outer_background(frame):
+    """Background rows from everything that isn't held out."""
+    return explain.background_sample(frame.where("split <> 'test'"))
 
 
-def rule_explained(spark, sf, train, rows):
-    return explain.shapley_values(rows, explain.background_sample(train), RuleScorer.fit(train))
+def explained(spark, sf, scorer=None):
+    """Every test row with its attributions."""
+    frame = lines(spark, sf)
+    return explain.attributions(explain.explained_rows(side(frame, "test")), outer_background(frame), scorer or Scorecard())
 
 
 def shared(spark, sf):
-    rows, phi, _ = explained(spark, sf)
-    other = rule_explained(spark, sf, side(lines(spark, sf), "train"), rows)
-    return explain.shared_drivers(explain.shapley_global(phi), explain.shapley_global(other))
+    rule = RuleScorer.fit(side(lines(spark, sf), "train"))
+    return explain.shared_drivers(explain.shapley_global(explained(spark, sf)), explain.shapley_global(explained(spark, sf, rule)))
 
 
 def explain_join(spark, sf):
-    """Every test decision with its drivers where an explanation exists, none otherwise."""
-    _, phi, _ = explained(spark, sf)
+    """Every test decision with its drivers; how often each feature leads, per action."""
     decided = side(decided_lines(spark, sf), "test").select("row_id", "recommended_action")
-    lists = F.broadcast(explain.driver_lists(phi))
-    joined = decided.join(lists, "row_id", "left").withColumn("drivers", F.coalesce("drivers", F.array().cast("array<string>")))
-    return joined.groupBy("recommended_action", (F.size("drivers") > 0).alias("explained")).agg(
-        F.count(F.lit(1)).alias("row_count"))
+    joined = decided.join(explain.driver_lists(explained(spark, sf)), "row_id", "left")
+    return joined.groupBy("recommended_action", F.col("drivers")[0].alias("strongest_driver")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("drivers").alias("explained_rows"))
 
 
 def case_policy(spark, sf):
-    _, phi, picked = explained(spark, sf)
-    decided = cases.case_policy(picked, explain.driver_lists(phi))
+    picked = reference(spark, sf)
+    drivers = explain.driver_lists(explain.attributions(explain.explained_rows(picked), outer_background(lines(spark, sf)), Scorecard()))
+    decided = cases.case_policy(picked, drivers)
     return flat(decided.select("case_id", "row_id", "p", "score_band", "recommended_action", "requires_manual_review",
                                "guardrail_flags", "top_drivers"))
 
@@ -279,9 +276,9 @@ QUERIES = {
     "case_union": union,
     "explain_join": explain_join,
     "permutation_importance_scorecard": lambda s, d: explain.permutation_importance(side(lines(s, d), "test"), Scorecard()),
-    "shapley_scorecard": lambda s, d: explained(s, d)[1],
-    "shapley_global": lambda s, d: explain.shapley_global(explained(s, d)[1]),
-    "top_contributions": lambda s, d: explain.top_contributions(explained(s, d)[1]),
-    "shapley_dependence": lambda s, d: explain.dependence_points(explained(s, d)[1], explained(s, d)[0]),
+    "shapley_scorecard": lambda s, d: explain.shapley_values(explained(s, d)),
+    "shapley_global": lambda s, d: explain.shapley_global(explained(s, d)),
+    "top_contributions": lambda s, d: explain.top_contributions(explained(s, d)),
+    "shapley_dependence": lambda s, d: explain.dependence_points(explained(s, d)),
     "shared_drivers": shared,
 }

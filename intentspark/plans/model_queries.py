@@ -88,7 +88,7 @@ def permutation(spark, sf):
 def shapley(spark, sf):
     train, test = outer(spark, sf)
     scorer = learners.fit_logistic(train)
-    return explain.shapley_values(explain.explained_rows(test), explain.background_sample(train), scorer)
+    return explain.shapley_values(explain.attributions(explain.explained_rows(test), explain.background_sample(train), scorer))
 
 
 QUERIES = {

@@ -165,26 +165,30 @@ def pick_cases(src, side="test", prefix=""):
 CASES = SCORED + pick_cases("te")
 
 
-def shapley(scorer_ctes):
-    """CTE chain phi: exact Shapley values of the sampled and case rows under a scorer."""
+def attributed(scored, name):
+    """CTE chain: exact Shapley values from the scored coalitions, in whole millionths until the last division."""
+    weight = lambda i: f"(case when (mask & {1 << i})<>0 then {WEIGHTS!r}[bit_count(mask)] else -{WEIGHTS!r}[bit_count(mask)+1] end)"
+    sums = ", ".join(f"sum(cast(round(p*1000000) as bigint)*{weight(i)}) s{i}" for i in range(len(FEATURES)))
+    return f""",
+{name}w as (select row_id, {sums}, sum(case when mask=0 then cast(round(p*1000000) as bigint) end) sb, count(case when mask=0 then 1 end) nb from {scored} group by 1),
+{name} as (""" + " union all ".join(
+        f"select row_id, '{c}' feature_name, round(cast(s{i} as double)/(nb*5040))/1000000 phi, round(cast(sb as double)/nb)/1000000 base_value from {name}w" for i, c in enumerate(FEATURES)) + ")"
+
+
+def shapley(rows):
+    """CTE chain mx, phi: every coalition of every row, and its Shapley values under the scorecard."""
     mix = ", ".join(f"case when (mask & {1 << i})<>0 then e.{c} else b.{c} end {c}" for i, c in enumerate(FEATURES))
-    w = "[" + ",".join(f"{v!r}" for v in WEIGHTS) + "]"
-    parts = " union all ".join(
-        f"select row_id, '{c}' feature_name, mask, v, v*(case when (mask & {1 << i})<>0 then {w}[bit_count(mask)] else -{w}[bit_count(mask)+1] end) part from vm" for i, c in enumerate(FEATURES))
     return f""",
-bgd as (select * from lp where split='train' order by md5(concat(row_id,':42:sample')), row_id limit 20),
-exs as (select row_id, {', '.join(FEATURES)} from lp where split='test' order by md5(concat(row_id,':42:sample')), row_id limit 60),
-exr as (select distinct * from (select * from exs union all select row_id, {', '.join(FEATURES)} from rc)),
+bgd as (select * from lp where split<>'test' order by md5(concat(row_id,':42:sample')), row_id limit 20),
+exr as (select row_id, {', '.join(FEATURES)} from {rows}),
 mk as (select cast(m as int) mask from range(128) t(m)),
-mx as (select e.row_id, mask, {mix} from exr e, mk, bgd b){scorer_ctes},
-vm as (select row_id, mask, avg(p) v from mxs group by 1,2),
-phi as (select row_id, feature_name, round(sum(part),6) phi, round(max(case when mask=0 then v end),6) base_value from ({parts}) group by 1,2)"""
+mx as (select e.row_id, mask, {mix} from exr e, mk, bgd b)""" + scorecard("mx", "mxs") + attributed("mxs", "phi")
 
 
 from math import factorial  # noqa: E402
 
-WEIGHTS = [factorial(s) * factorial(6 - s) / factorial(7) for s in range(7)]
-SHAP = CASES + shapley(scorecard("mx", "mxs"))
+WEIGHTS = [factorial(s) * factorial(6 - s) for s in range(7)]
+SHAP = SCORED + ", te as (select * from sc where split='test')" + shapley("te")
 RULE_P = """round(least(greatest(0.45e0*cast(LoyaltyProgram as double) + 0.35e0*(case when NumberOfPurchases>=mp then 1e0 else 0e0 end) + 0.2e0*(case when TimeSpentOnWebsite>=mt then 1e0 else 0e0 end),0e0),1e0),6) p"""
 GLOBAL = "select feature_name, round(avg(abs(phi)),6) mean_abs_shap, round(avg(phi),6) mean_signed_shap from phi group by 1"
 TOP = ", tk as (select *, row_number() over (partition by row_id order by abs(phi) desc, feature_name) rk from phi)"
@@ -276,14 +280,14 @@ SQL = {
       (select 'scored_table' check_id, (select count(*) from sc)>0 ok union all select 'edge_case_controls', (select n from whole)>0 union all select 'sensitivity_analysis', (select count(*) from sc)>0
       union all select 'reproducibility', true union all select 'fairness_followup', true)"""),
     "reference_cases": q(CASES, "select case_id, row_id, p, yhat, PurchaseStatus from rc"),
-    "case_policy": q(SHAP + TOP + "," + CATALOG.lstrip() + decide("rc", "rd"), """select case_id, row_id, p, score_band, recommended_action, requires_manual_review, guardrail_flags,
+    "case_policy": q(CASES + shapley("rc") + TOP + "," + CATALOG.lstrip() + decide("rc", "rd"), """select case_id, row_id, p, score_band, recommended_action, requires_manual_review, guardrail_flags,
       (select string_agg(feature_name, '|' order by rk) from tk where tk.row_id=rd.row_id and rk<=2) top_drivers from rd"""),
     "case_checks": q(CASES + "," + CATALOG.lstrip() + decide("rc", "rd"), """select max(case when case_id='false_positive' then recommended_discount_rate=0 end) false_positive_margin_protection,
       max(case when case_id='boundary_case' then requires_manual_review end) boundary_case_manual_review,
       max(case when case_id='non_loyal_high_time' then recommended_discount_rate>0 or requires_manual_review end) non_loyal_high_time_not_ignored from rd"""),
     "case_union": q(CASES + pick_cases("tv", "validation", "v"), f"select case_id, {', '.join(INPUTS)}, 'test' origin from rc union all select case_id, {', '.join(INPUTS)}, 'validation' from vrc"),
-    "explain_join": q(CASES + shapley(scorecard("mx", "mxs")) + "," + CATALOG.lstrip() + decide("te", "td"), """select recommended_action, row_id in (select row_id from phi) explained, count(*) row_count
-      from td group by 1,2"""),
+    "explain_join": q(SHAP + "," + CATALOG.lstrip() + decide("te", "td") + TOP, """select recommended_action, feature_name strongest_driver, count(*) row_count, count(*) explained_rows
+      from td join tk on tk.row_id=td.row_id and rk=1 group by 1,2"""),
     "permutation_importance_scorecard": q(PERM, """select feature_name, round(avg(d),6) importance_mean, round(stddev_pop(d),6) importance_std from
       (select feature_name, (select pr_auc from m where feature_name='(intact)')-pr_auc d from m where feature_name<>'(intact)') group by 1"""),
     "shapley_scorecard": q(SHAP, "select * from phi"),
@@ -294,8 +298,7 @@ SQL = {
       where feature_name=(select feature_name from ({GLOBAL}) order by mean_abs_shap desc, feature_name limit 1)"""),
     "shared_drivers": q(SHAP + f""", ga as (select feature_name from ({GLOBAL}) order by mean_abs_shap desc, feature_name limit 3),
       med as (select quantile_cont(cast(NumberOfPurchases as double),0.5) mp, quantile_cont(TimeSpentOnWebsite,0.5) mt from lp where split='train'),
-      mxr as (select row_id, mask, {RULE_P} from mx, med), vmr as (select row_id, mask, avg(p) v from mxr group by 1,2), phr as (select row_id, feature_name, round(sum(part),6) phi from ("""
-      + " union all ".join(f"select row_id, '{c}' feature_name, v*(case when (mask & {1 << i})<>0 then {WEIGHTS!r}[bit_count(mask)] else -{WEIGHTS!r}[bit_count(mask)+1] end) part from vmr" for i, c in enumerate(FEATURES))
-      + """) group by 1,2), gb as (select feature_name from (select feature_name, round(avg(abs(phi)),6) a from phr group by 1) order by a desc, feature_name limit 3)""",
+      mxr as (select row_id, mask, {RULE_P} from mx, med)""" + attributed("mxr", "phr") + """,
+      gb as (select feature_name from (select feature_name, round(avg(abs(phi)),6) a from phr group by 1) order by a desc, feature_name limit 3)""",
       "select feature_name from ga intersect select feature_name from gb"),
 }

@@ -101,15 +101,33 @@ def test_case_union_rejects_repeated_ids(spark, sf):
         cases.case_union({"test": picked.unionByName(picked)})
 
 
-def test_shapley_adds_up(spark, sf):
+def test_shapley_adds_up_for_every_row(spark, sf):
     frame = lines(spark, sf)
-    rows = explain.explained_rows(side(frame, "test"), size=5)
-    phi = explain.shapley_values(rows, explain.background_sample(side(frame, "train")), Scorecard())
-    total = phi.groupBy("row_id").agg(F.sum("phi").alias("s"), F.max("base_value").alias("b"))
-    for r in Scorecard().score(rows).join(total, "row_id").collect():
-        assert r["p"] == pytest.approx(r["b"] + r["s"], abs=1e-5)
-    top = explain.top_contributions(phi, 3)
-    assert top.count() == 15
+    test = side(frame, "test")
+    every = explain.attributions(explain.explained_rows(test), explain.background_sample(frame.where("split <> 'test'")), Scorecard())
+    total = explain.shapley_values(every).groupBy("row_id").agg(F.sum("phi").alias("s"), F.max("base_value").alias("b"), F.count("phi").alias("n"))
+    rows = Scorecard().score(test).join(total, "row_id").collect()
+    assert len(rows) == test.count() and all(r["n"] == 7 for r in rows)
+    assert all(r["p"] == pytest.approx(r["b"] + r["s"], abs=1e-5) for r in rows)
+    assert explain.top_contributions(every, 3).count() == 3 * len(rows)
+    some = explain.attributions(explain.explained_rows(test, 5), explain.background_sample(frame), Scorecard())
+    assert some.count() == 5
+
+
+def test_a_row_that_cannot_be_scored_has_no_values(spark, sf):
+    frame = lines(spark, sf)
+    rows = explain.explained_rows(side(frame, "test"), 4).withColumn("Age", F.when(F.col("Age") > 0, F.lit(None).cast("int")))
+    assert explain.shapley_values(explain.attributions(rows, explain.background_sample(frame), Scorecard())).where("phi is not null or base_value is not null").isEmpty()
+
+
+def test_coalitions_stay_in_their_task(spark, sf):
+    frame = lines(spark, sf)
+    every = explain.attributions(explain.explained_rows(side(frame, "test")), explain.background_sample(frame), Scorecard())
+    plan = every._jdf.queryExecution().sparkPlan().toString()
+    executed = every._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan
+    above = executed[: executed.index("Generate")]
+    assert "Exchange" not in above and "Broadcast" not in executed
 
 
 def test_permutation_needs_the_signal(spark, sf):
