@@ -192,18 +192,41 @@ def prefix_digits(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
     return max(1, math.ceil(math.log(max(1.0, rows / bucket_rows), 16)))
 
 
+#: Hex digits of a level of running totals: a window orders at most 16 ** LEVEL_DIGITS rows.
+LEVEL_DIGITS = 3
+
+
+def prefix_offsets(sizes: DataFrame, digits: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """by, _bucket, _offset: rows in buckets before each bucket, from (by, _bucket, _size).
+
+    The totals are summed in levels like a tree: a bucket's offset is the offset of its parent, the prefix some digits
+    shorter, and the sizes of the siblings before it. So every window has a bounded number of rows, at any number of buckets.
+    """
+    lengths = [*range(LEVEL_DIGITS, digits, LEVEL_DIGITS), digits]
+    upper, parent = None, 0
+    for length in lengths:
+        level = sizes.groupBy(*by, F.substring("_bucket", 1, length).alias("_bucket")).agg(F.sum("_size").alias("_size"))
+        level = level.withColumn("_parent", F.substring("_bucket", 1, parent))
+        before = Window.partitionBy(*by, "_parent").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        level = level.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+        if upper is not None:
+            above = upper.select(*by, F.col("_bucket").alias("_parent"), F.col("_offset").alias("_above"))
+            level = level.join(above, [*by, "_parent"]).withColumn("_offset", F.col("_offset") + F.col("_above"))
+        upper, parent = level.select(*by, "_bucket", "_offset"), length
+    return upper
+
+
 def hash_rank(df: DataFrame, hash_column: str, name: str, rows: int, by: tuple[str, ...] = ()) -> DataFrame:
     """Dense 1-based position in the order of a uniform hex hash, without a global window.
 
     ``rows`` is about the size of a group. Rows are ordered inside buckets of equal hash prefix, whose length follows
-    from ``rows``; bucket offsets come from a running total over the bucket counts. The prefix is uniform, so buckets
+    from ``rows``; bucket offsets come from running totals over the bucket counts, level by level. The prefix is uniform, so buckets
     are even whatever the size.
     """
     digits = prefix_digits(rows)
     bucketed = df.withColumn("_bucket", F.substring(hash_column, 1, digits))
     sizes = bucketed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*by, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    offsets = prefix_offsets(sizes, digits, by)
     within = Window.partitionBy(*by, "_bucket").orderBy(hash_column)
     return (
         bucketed.join(offsets, [*by, "_bucket"])

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from intentspark import fixed
 from intentspark.functions.scalars import ratio
-from intentspark.operators.metrics import evaluate, evaluate_segments
+from intentspark.operators.metrics import confusion_cube, evaluate, evaluate_segments
 
 GAP_METRICS = ("recall", "precision", "positive_prediction_rate", "false_positive_rate", "false_negative_rate")
 
@@ -33,30 +33,29 @@ def overall_metrics(scored: DataFrame) -> DataFrame:
 def fairness_gaps(scored: DataFrame, min_rows: int = fixed.MIN_SEGMENT_ROWS) -> DataFrame:
     """(group, metric): absolute gap to the overall value, NULL where either side is undefined.
 
-    Overall rates come from the groups themselves: every row has exactly one Gender value, so the cells
-    of that segment add up to the whole table and no second pass over the rows is needed.
+    The rows are read once, into confusion counts per segment cell. Every row has exactly one Gender value, so the
+    cells of that segment add up to the whole table; the window goes over the few cells.
     """
-    groups = _with_rates(evaluate_segments(scored, with_income=False))
-    cells = groups.where(F.col("segment_name") == "Gender").agg(
-        *[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")])
-    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
-    overall = cells.select(F.struct(
-        F.round(ratio(tp, tp + fn, 0.0), 6).alias("recall"),
-        F.round(ratio(tp, tp + fp, 0.0), 6).alias("precision"),
-        F.round(ratio(tp + fp, tn + fp + fn + tp, 0.0), 6).alias("positive_prediction_rate"),
-        F.round(ratio(fp, fp + tn), 6).alias("false_positive_rate"),
-        F.round(ratio(fn, fn + tp), 6).alias("false_negative_rate"),
-    ).alias("overall"))
-    compared = groups.where(F.col("row_count") >= min_rows).withColumn("overall", overall.scalar())
+    names = ("tn", "fp", "fn", "tp")
+    everything = Window.partitionBy()
+    cells = confusion_cube(scored).select(
+        "segment_name", "segment_value", F.struct(*names).alias("own"),
+        F.struct(*[F.sum(F.when(F.col("segment_name") == "Gender", F.col(c))).over(everything).alias(c) for c in names]).alias("all"))
+
+    def rate(side: str, metric: str) -> Column:
+        tn, fp, fn, tp = (F.col(f"{side}.{c}") for c in names)
+        parts = {"recall": (tp, tp + fn, 0.0), "precision": (tp, tp + fp, 0.0), "positive_prediction_rate": (tp + fp, tn + fp + fn + tp, 0.0),
+                 "false_positive_rate": (fp, fp + tn, None), "false_negative_rate": (fn, fn + tp, None)}
+        part, whole, empty = parts[metric]
+        return F.round(ratio(part, whole) if empty is None else ratio(part, whole, empty), 6)
+
     rows = F.explode(F.array(*[
-        F.struct(
-            F.lit(m).alias("metric_name"), F.col(m).alias("group_value_of_metric"),
-            F.col(f"overall.{m}").alias("overall_value"),
-            F.round(F.abs(F.col(m) - F.col(f"overall.{m}")), 6).alias("gap_value"))
-        for m in GAP_METRICS
-    ]))
-    return compared.select("segment_name", "segment_value", "row_count", rows.alias("r")).select(
-        "segment_name", "segment_value", "row_count", "r.*")
+        F.struct(F.lit(m).alias("metric_name"), rate("own", m).alias("group_value_of_metric"), rate("all", m).alias("overall_value"),
+                 F.round(F.abs(rate("own", m) - rate("all", m)), 6).alias("gap_value"))
+        for m in GAP_METRICS]))
+    size = sum((F.col(f"own.{c}") for c in names[1:]), F.col("own.tn"))
+    return cells.withColumn("row_count", size).where(F.col("row_count") >= min_rows).select(
+        "segment_name", "segment_value", "row_count", rows.alias("r")).select("segment_name", "segment_value", "row_count", "r.*")
 
 
 def fairness_alerts(gaps: DataFrame, threshold: float = fixed.FAIRNESS_GAP) -> DataFrame:

@@ -319,19 +319,18 @@ SEGMENTS = ("Gender", "LoyaltyProgram", "ProductCategory", "AgeBand", "IncomeBan
 SEGMENT_PREFIX = {"Gender": "gender_", "LoyaltyProgram": "loyalty_", "ProductCategory": "category_"}
 
 
-def evaluate_segments(scored: DataFrame, with_income: bool = True) -> DataFrame:
-    """Slice metrics per (segment_name, segment_value), all segments in one pass.
-
-    Each row enters once per segment as two small integers, so the rows being grouped stay fixed-width;
-    names are attached to the few result rows.
-    """
+def _segment_rows(scored: DataFrame, with_income: bool) -> DataFrame:
+    """Each row once per segment, as two small integers, so the rows being grouped stay fixed-width."""
     codes = [F.col(c) for c in SEGMENT_PREFIX] + [_business_band(F.col("Age"), fixed.AGE_BANDS)]
     if with_income:
         codes.append(_business_band(F.col("AnnualIncome"), fixed.INCOME_BANDS))
     entries = F.explode(F.array(*[
         F.struct(F.lit(i).alias("segment"), c.cast("int").alias("code")) for i, c in enumerate(codes)]))
-    rows = scored.select("p", "yhat", fixed.TARGET, entries.alias("s")).select("p", "yhat", fixed.TARGET, "s.segment", "s.code")
-    metrics = evaluate(rows, ["segment", "code"], slices=True)
+    return scored.select("p", "yhat", fixed.TARGET, entries.alias("s")).select("p", "yhat", fixed.TARGET, "s.segment", "s.code")
+
+
+def _named_segments(cells: DataFrame) -> DataFrame:
+    """Names attached to the few result rows."""
     value = F.when(F.col("segment") == 3, _band_name(F.col("code"), fixed.AGE_BANDS)).when(
         F.col("segment") == 4, _band_name(F.col("code"), fixed.INCOME_BANDS))
     name = F.lit(None).cast("string")
@@ -340,7 +339,20 @@ def evaluate_segments(scored: DataFrame, with_income: bool = True) -> DataFrame:
         if segment in SEGMENT_PREFIX:
             value = value.when(F.col("segment") == i, F.concat(
                 F.lit(SEGMENT_PREFIX[segment]), F.coalesce(F.col("code").cast("string"), F.lit("nan"))))
-    return metrics.select(name.alias("segment_name"), value.alias("segment_value"), "*").drop("segment", "code")
+    return cells.select(name.alias("segment_name"), value.alias("segment_value"), "*").drop("segment", "code")
+
+
+def evaluate_segments(scored: DataFrame, with_income: bool = True) -> DataFrame:
+    """Slice metrics per (segment_name, segment_value), all segments in one pass."""
+    return _named_segments(evaluate(_segment_rows(scored, with_income), ["segment", "code"], slices=True))
+
+
+def confusion_cube(scored: DataFrame, with_income: bool = False) -> DataFrame:
+    """tn, fp, fn, tp per (segment_name, segment_value) in one grouping by cell; scores are checked, not grouped."""
+    y, hat = F.col(fixed.TARGET) == 1, F.col("yhat") == 1
+    cell = lambda c: F.sum(F.when(c & required_score(F.col("p")).isNotNull(), 1).otherwise(0))
+    return _named_segments(_segment_rows(scored, with_income).groupBy("segment", "code").agg(
+        cell(~y & ~hat).alias("tn"), cell(~y & hat).alias("fp"), cell(y & ~hat).alias("fn"), cell(y & hat).alias("tp")))
 
 
 def segment_performance(scored: DataFrame, min_rows: int = fixed.MIN_SEGMENT_ROWS) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from intentspark import fixed
 from intentspark.errors import ContractError
-from intentspark.functions.quantiles import prefix_digits
+from intentspark.functions.quantiles import prefix_digits, prefix_offsets
 from intentspark.functions.scalars import hex_threshold, salted_hash
 
 
@@ -52,14 +52,12 @@ def exact_split(df: DataFrame, key: str = "row_id", target: str = fixed.TARGET,
     # the full hash orders rows inside a prefix and the key settles equal hashes
     hashed = df.withColumn("_h", F.md5(F.concat(F.col(key), F.lit(f":{seed}")))).withColumn(
         "_b", F.substring("_h", 1, digits))
-    sizes = hashed.groupBy(target, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    order = Window.partitionBy(target).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(target)
+    sizes = hashed.groupBy(target, F.col("_b").alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
+    wanted = sizes.groupBy(target).agg(F.round(F.sum("_size") * F.lit(size)).cast("bigint").alias("_want"))
     cuts = (
-        sizes.withColumn("_upto", F.sum("_n").over(order))
-        .withColumn("_want", F.round(F.sum("_n").over(whole) * F.lit(size)).cast("bigint"))
-        .where((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want")))
-        .select(target, F.col("_b").alias("_cut"), (F.col("_want") - (F.col("_upto") - F.col("_n"))).alias("_take"))
+        sizes.join(prefix_offsets(sizes, digits, (target,)), [target, "_bucket"]).join(wanted, target)
+        .where((F.col("_offset") + F.col("_size") >= F.col("_want")) & (F.col("_offset") < F.col("_want")))
+        .select(target, F.col("_bucket").alias("_cut"), (F.col("_want") - F.col("_offset")).alias("_take"))
     )
     joined = hashed.join(F.broadcast(cuts), target, "left")
     position = F.row_number().over(Window.partitionBy(target, "_b").orderBy("_h", key))

@@ -209,3 +209,27 @@ def test_stage_figures_must_be_reported_twice_and_agree(spark):
     assert set(status([("a", 5, 4, "m"), ("b", 5, 4, "m")]).values()) == {"passed"}
     assert set(status([("a", 5, 4, "m"), ("b", None, None, None)]).values()) == {"failed"}
     assert set(status([("a", 5, 4, "m"), ("b", 6, 3, "n")]).values()) == {"failed"}
+
+
+def test_offsets_of_every_level(spark, monkeypatch):
+    from intentspark.functions import quantiles
+
+    monkeypatch.setattr(quantiles, "LEVEL_DIGITS", 1)
+    monkeypatch.setattr(quantiles, "BUCKET_ROWS", 1)
+    monkeypatch.setattr(quantiles, "prefix_digits", lambda rows, bucket_rows=1: 3)
+    df = spark.range(4_000).withColumn("g", F.col("id") % 3).withColumn("h", F.md5(F.col("id").cast("string")))
+    for by in ((), ("g",)):
+        ranked = quantiles.hash_rank(df, "h", "pos", 4_000, by)
+        rows = sorted((*[r[c] for c in by], r["h"], r["pos"]) for r in ranked.collect())
+        at = {}
+        for *group, _, pos in rows:
+            at[tuple(group)] = at.get(tuple(group), 0) + 1
+            assert pos == at[tuple(group)]
+        assert sum(at.values()) == 4_000
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        assert by or plan.count("windowspecdefinition") > 2
+
+
+def test_gaps_read_the_rows_once(spark, sf):
+    gaps = fairness.fairness_gaps(scored_lines(spark, sf))
+    assert gaps._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
