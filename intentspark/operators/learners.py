@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -197,15 +199,19 @@ def fit_platt(scores: DataFrame) -> tuple[float, float]:
 
 
 def fit_calibrated(train: DataFrame, branch: str, estimator: Estimator, folds: int = fixed.CALIBRATION_FOLDS,
-                   key: str = "row_id") -> CalibratedScorer:
-    """Per fold: fit on the others, score the held-out fold, fit the curve on those scores."""
+                   key: str = "row_id", fold: Callable | None = None) -> CalibratedScorer:
+    """Per fold: fit on the others, score the held-out fold, fit the curve on those scores. Folds are fitted at the same
+    time; `fold(k, build)` may give a fold's model and curve that an earlier run has left instead of building them."""
     marked = train.withColumn("fold", fold_column(key, folds, f"{fixed.SEED}:calibration"))
-    parts = []
-    for k in range(folds):
-        model = fit(marked.where(F.col("fold") != k), branch, estimator).model
+
+    def part(k: int) -> tuple[PipelineModel, float, float]:
+        model = fit(marked.where(F.col("fold") != k), branch, estimator.copy()).model
         held = model.transform(marked.where(F.col("fold") == k)).select(raw_score(model).alias("s"), LABEL)
         slope, intercept = fit_platt(held)
         if not (math.isfinite(slope) and math.isfinite(intercept)):
             raise AnalysisError("the calibration curve did not converge")
-        parts.append((model, slope, intercept))
-    return CalibratedScorer(parts)
+        return model, slope, intercept
+
+    one = (lambda k: fold(k, lambda: part(k))) if fold else part
+    with ThreadPoolExecutor(folds) as pool:
+        return CalibratedScorer(list(pool.map(one, range(folds))))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pyspark.errors import IllegalArgumentException
@@ -18,9 +20,10 @@ from intentspark.operators import learners
 from intentspark.operators.metrics import METRICS, cv_summary, evaluate, evaluate_model
 from intentspark.operators.resampling import smote, smote_mixed
 from intentspark.operators.scorers import Scorer
-from intentspark.operators.selection import choose_variant
+from intentspark.operators.selection import champion_challenger, choose_variant, require_pair
 from intentspark.operators.splits import assign_folds
 from intentspark.roles import DEFAULT_ROLES
+from intentspark.sources.sinks import load_model, read_stage, save_model, write_table
 
 PARALLEL_FITS = 4
 COUNTS = ("row_count", "tn", "fp", "fn", "tp")
@@ -36,6 +39,42 @@ class FamilyOutcome:
     metrics: dict = field(default_factory=dict)
 
 
+class FitStore:
+    """Fitted models under a folder every executor shares, each below a key of its content: data, family and parameters.
+
+    A model is saved before its facts (metrics, calibration curve), and only a fit with facts counts, so a run that was
+    ended leaves whole fits or nothing; the next run over the same rows fits what is absent."""
+
+    def __init__(self, spark: SparkSession, folder: str, *data: DataFrame):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.data = [self.fingerprint(d) for d in data]
+
+    @staticmethod
+    def fingerprint(df: DataFrame) -> list[str]:
+        """Row count and two order-free sums over the hashes of the modelling columns, from one pass."""
+        columns = [c for c in ("row_id", *DEFAULT_ROLES.base_inputs, fixed.TARGET) if c in df.columns]
+        h = F.xxhash64(*columns)
+        row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(20,0)")).alias("a"), F.bit_xor(h).alias("b")).first()
+        return [str(row["n"]), str(row["a"]), str(row["b"])]
+
+    def key(self, *what) -> str:
+        return hashlib.sha256(json.dumps([self.data, *what], sort_keys=True).encode()).hexdigest()[:32]
+
+    def get(self, key: str) -> tuple[PipelineModel, dict] | None:
+        facts = read_stage(self.spark, self.folder, f"{key}/facts")
+        return None if facts is None else (load_model(f"{self.folder}/{key}/model"), json.loads(facts.first()["facts"]))
+
+    def put(self, key: str, model: PipelineModel, facts: dict) -> None:
+        save_model(model, f"{self.folder}/{key}/model")
+        write_table(self.spark.createDataFrame([(json.dumps(facts),)], "facts string"), f"{self.folder}/{key}/facts")
+
+
+def shared_store(spark: SparkSession, *data: DataFrame) -> FitStore | None:
+    """A store below ``spark.checkpoint.dir``; none where the session names no shared folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    return FitStore(spark, f"{base.rstrip('/')}/fits", *data) if base else None
+
+
 def measured(scorer: Scorer, frame: DataFrame, name: str, family: str) -> dict:
     """Metric row of a scorer on a frame as driver scalars; the rows are scored once."""
     scored = learners.keep(scorer.score(frame).select("p", "yhat", fixed.TARGET))
@@ -60,8 +99,8 @@ def rank_tuple(m: dict) -> tuple:
             -1.0 if gap is None else -gap)
 
 
-def tune_family(family: str, train: DataFrame, validation: DataFrame) -> FamilyOutcome:
-    """Fits every candidate of the family's grid on one kept matrix, a few at a time.
+def tune_family(family: str, train: DataFrame, validation: DataFrame, store: FitStore | None = None) -> FamilyOutcome:
+    """Fits every candidate of the family's grid on one kept matrix, a few at a time; with a store only those it lacks.
 
     A candidate whose parameters are refused is recorded and skipped; if all are, so is the family. Any other error ends
     the tuning: a lost executor must not narrow the choice. The winner already
@@ -69,18 +108,25 @@ def tune_family(family: str, train: DataFrame, validation: DataFrame) -> FamilyO
     """
     grid = list(learners.family_grid(family))
     branch, _ = learners.family_estimator(family, grid[0])
-    prepared, vectors = learners.matrix(train, branch)
+    held = [store.get(store.key(family, params)) if store else None for params in grid]
+    prepared, vectors = learners.matrix(train, branch) if None in held else (None, None)
 
-    def candidate(params: dict):
+    def candidate(params: dict, known: tuple | None):
+        if known is not None:
+            return learners.ModelScorer(known[0]), known[1], None
         try:
             scorer = learners.joined(prepared, learners.family_estimator(family, params)[1].fit(vectors))
-            return scorer, measured(scorer, validation, f"{family}_base", family), None
+            m = measured(scorer, validation, f"{family}_base", family)
+            if store:
+                store.put(store.key(family, params), scorer.model, m)
+            return scorer, m, None
         except IllegalArgumentException as error:  # parameters that the data cannot bear only cost this candidate
             return None, None, f"{type(error).__name__}: {str(error)[:200]}"
 
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        results = list(pool.map(candidate, grid))
-    vectors.unpersist()
+        results = list(pool.map(candidate, grid, held))
+    if vectors is not None:
+        vectors.unpersist()
     history, winner = [], None
     for i, (params, (scorer, m, error)) in enumerate(zip(grid, results), start=1):
         history.append({"candidate_id": f"{family}_{i}", "family": family, "params": params, "metrics": m, "error": error})
@@ -91,7 +137,7 @@ def tune_family(family: str, train: DataFrame, validation: DataFrame) -> FamilyO
     scorer, base, params = winner
     variant, chosen = "base", base
     try:
-        calibrated = learners.fit_calibrated(train, *learners.family_estimator(family, params))
+        calibrated = calibrate(family, params, train, store)
         m = measured(calibrated, validation, f"{family}_sigmoid_calibrated", family)
         pair = metric_table(train.sparkSession, [{**base, "model_name": "base"}, {**m, "model_name": "sigmoid_calibrated"}])
         variant = choose_variant(pair).first()["selected_variant"]
@@ -102,6 +148,24 @@ def tune_family(family: str, train: DataFrame, validation: DataFrame) -> FamilyO
     return FamilyOutcome(family, params, history, variant, scorer, chosen)
 
 
+def calibrate(family: str, params: dict, train: DataFrame, store: FitStore | None = None) -> learners.CalibratedScorer:
+    """The calibrated twin of a candidate; with a store every fold's model and curve is a fit of its own."""
+    branch, estimator = learners.family_estimator(family, params)
+    if store is None:
+        return learners.fit_calibrated(train, branch, estimator)
+
+    def fold(k: int, build) -> tuple[PipelineModel, float, float]:
+        key = store.key(family, params, "calibration", k)
+        known = store.get(key)
+        if known is None:
+            model, slope, intercept = build()
+            store.put(key, model, {"slope": slope, "intercept": intercept})
+            return model, slope, intercept
+        return known[0], known[1]["slope"], known[1]["intercept"]
+
+    return learners.fit_calibrated(train, branch, estimator, fold=fold)
+
+
 def history_table(spark, outcomes: list[FamilyOutcome]) -> DataFrame:
     rows = []
     for outcome in outcomes:
@@ -115,7 +179,7 @@ def history_table(spark, outcomes: list[FamilyOutcome]) -> DataFrame:
 
 
 def refit(outcome: FamilyOutcome, train: DataFrame) -> Scorer:
-    """The chosen variant on the outer training set."""
+    """The chosen variant on the outer training set (train and validation), for the outer test."""
     branch, estimator = learners.family_estimator(outcome.family, outcome.best)
     if outcome.variant == "sigmoid_calibrated":
         return learners.fit_calibrated(train, branch, estimator)
@@ -133,6 +197,19 @@ def cv_stability(train: DataFrame, branch: str, estimator, folds: int = fixed.CV
     return cv_summary(evaluate(scored, ["fold"]))
 
 
+def champion_run(families: tuple[str, ...], train: DataFrame, validation: DataFrame, test: DataFrame,
+                 store: FitStore | None = None) -> tuple[dict[str, Scorer], DataFrame]:
+    """Tune every family, choose champion and challenger on validation rows, fit both anew on train and validation, and
+    measure them on the outer test: {"champion": scorer, "challenger": scorer} and one row each with its role."""
+    outcomes = {f: tune_family(f, train, validation, store) for f in families}
+    spark = train.sparkSession
+    choice = require_pair(champion_challenger(metric_table(spark, [{**o.metrics, "model_name": f, "family": f} for f, o in outcomes.items()])))
+    outer = train.unionByName(validation)
+    scorers = {role: refit(outcomes[choice[role]], outer) for role in ("champion", "challenger")}
+    rows = [measured(scorers[role], test, choice[role], role) for role in scorers]
+    return scorers, metric_table(spark, rows).withColumnRenamed("family", "role")
+
+
 def fit_smote_logistic(train: DataFrame) -> Scorer:
     """Oversampling in the one-hot space of the training rows only, then logistic regression."""
     prepared, vectors = learners.matrix(train, "linear")

@@ -104,3 +104,44 @@ def test_failed_candidate_is_recorded(split, monkeypatch):
     outcome = tuning.tune_family("random_forest", train, test)
     assert [bool(h["error"]) for h in outcome.history[:2]] == [False, True] and outcome.best == grid[0]
     assert tuning.history_table(train.sparkSession, [outcome]).count() >= 2
+
+
+SMALL = {"random_forest": ({"trees": 3, "depth": 3, "leaf": 5, "features": "sqrt"}, {"trees": 4, "depth": 4, "leaf": 5, "features": "sqrt"}),
+         "gradient_boosting": ({"rounds": 2, "rate": 0.1, "depth": 2, "leaf": 5},)}
+
+
+def test_an_ended_run_goes_on_with_what_is_absent(spark, split, tmp_path, monkeypatch):
+    """The first run dies after one candidate; the next fits the rest, the one after that nothing."""
+    train, test = split
+    monkeypatch.setattr(learners, "family_grid", lambda family: SMALL[family])
+    store = tuning.FitStore(spark, str(tmp_path), train, test)
+    fits, put = [], tuning.FitStore.put
+
+    def dies(self, key, model, facts):
+        if fits:
+            raise RuntimeError("driver lost")
+        fits.append(key)
+        put(self, key, model, facts)
+
+    monkeypatch.setattr(tuning, "PARALLEL_FITS", 1)
+    monkeypatch.setattr(tuning.FitStore, "put", dies)
+    with pytest.raises(RuntimeError):
+        tuning.tune_family("random_forest", train, test, store)
+    monkeypatch.setattr(tuning.FitStore, "put", lambda self, key, model, facts: (fits.append(key), put(self, key, model, facts)))
+    outcome = tuning.tune_family("random_forest", train, test, tuning.FitStore(spark, str(tmp_path), train, test))
+    assert len(fits) == len(set(fits)) == 2 + 3  # both candidates and three folds, each once
+    again = tuning.tune_family("random_forest", train, test, store)
+    assert len(fits) == 5 and again.history == outcome.history and again.variant == outcome.variant
+    assert again.scorer.score(test).select("row_id", "p").exceptAll(outcome.scorer.score(test).select("row_id", "p")).isEmpty()
+    assert tuning.FitStore(spark, str(tmp_path), test, train).key("random_forest") != store.key("random_forest")
+
+
+def test_champion_is_fitted_anew_for_the_outer_test(split, monkeypatch):
+    train, test = split
+    monkeypatch.setattr(learners, "family_grid", lambda family: SMALL[family][:1])
+    inner, validation = train.where("abs(hash(row_id)) % 4 > 0"), train.where("abs(hash(row_id)) % 4 = 0")
+    scorers, table = tuning.champion_run(("random_forest", "gradient_boosting"), inner, validation, test)
+    rows = {r["role"]: r for r in table.collect()}
+    assert set(rows) == set(scorers) == {"champion", "challenger"} and {r["model_name"] for r in rows.values()} == set(SMALL)
+    assert all(r["row_count"] == test.count() for r in rows.values())
+    assert evaluate(scorers["champion"].score(test)).first()["pr_auc"] == rows["champion"]["pr_auc"]
