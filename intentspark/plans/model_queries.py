@@ -68,13 +68,6 @@ def tuning_history(family):
     return run
 
 
-def champion_outer_test(spark, sf):
-    """Champion and challenger of the boosted families, fitted anew on train and validation, on the outer test."""
-    frame = lines(spark, sf)
-    train, validation, test = (side(frame, s) for s in ("train", "validation", "test"))
-    return tuning.champion_run(("gradient_boosting", "hist_gradient_boosting"), train, validation, test, tuning.shared_store(spark, train, validation))[1]
-
-
 def strategy_suite(spark, sf):
     frame = lines(spark, sf)
     _, table = tuning.strategy_suite(side(frame, "train"), side(frame, "validation"))
@@ -112,7 +105,6 @@ QUERIES = {
     "tuning_forest": tuning_history("random_forest"),
     "tuning_gbt": tuning_history("gradient_boosting"),
     "tuning_hist_gbt": tuning_history("hist_gradient_boosting"),
-    "champion_outer_test": champion_outer_test,
     "strategy_suite": strategy_suite,
     "cv_stability": cv_stability,
     "permutation_importance": permutation,
