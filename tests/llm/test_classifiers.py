@@ -67,3 +67,35 @@ def test_gaps_ties_empty_tables_and_missing_labels(spark, module):
         assert len(got) == 6 and all(0 <= r["score"] <= 1 for r in got)
         assert len({r["score"] for r in got if r["doc_id"] == 4}) == 1 and len({r["score"] for r in got if r["doc_id"] in (2, 3)}) == 1
     assert module.classify(empty(spark), labels).count() == 0
+
+
+def test_sieve_stops_no_word_that_holds_a_feature():
+    """Hidden words in every disguise the channel knows: features found with the sieve are those found without."""
+    import random
+
+    import pyarrow as pa
+
+    from intentspark.llm import toxicity
+
+    rng, counts = random.Random(4), np.zeros(toxicity.SYMBOLS**3, np.int64)
+    plain = ["moron", "idiot", "stupid", "loser", "pathetic", "hello", "gentle", "lilies", "class", "assist", "coco", "müll"]
+    batch = pa.RecordBatch.from_arrays([pa.array([" ".join(rng.choice(plain) for _ in range(400))])], ["text"])
+    toxicity.count_trigrams(batch, counts)
+    wanted = {f: i for i, f in enumerate(sorted({f for w in plain[:5] + ["müll", "lilies"] for f in toxicity.features(w)}))}
+    signs = {}
+    for sign, letters in toxicity.STANDS_FOR.items():
+        for x in letters:
+            signs.setdefault(x, []).append(sign)
+
+    def hide(word):
+        out = rng.choice(["", "", "(", "!", "|", ".", "\"", "(!"])
+        for c in word:
+            c = rng.choice(signs[c]) if c in signs and rng.random() < 0.35 else c
+            out += (c * rng.randint(2, 4) if rng.random() < 0.15 else c) + (rng.choice(".-_*!|(+7 ") if rng.random() < 0.12 else "")
+        return rng.choice([str, str.upper, str.title])(out) + rng.choice(["", "", "!", "!!!", ".", "s", "1"])
+
+    texts = pa.array([" ".join(hide(rng.choice(plain)) for _ in range(rng.randint(0, 4))) for _ in range(2_000)] + ["", None, "123 !!! ...", "i d i o t x"])
+    every = toxicity.found_features(texts, toxicity.Channel(counts), wanted)
+    assert toxicity.found_features(texts, toxicity.Channel(counts), wanted, toxicity.Sieve(wanted)) == every
+    assert sum(map(bool, every)) > 500
+    assert toxicity.Sieve({}).passes(["idiot"]) == [] and "gentle" not in [plain[i] for i in toxicity.Sieve(wanted).passes(plain)]
