@@ -27,8 +27,8 @@ from intentspark.llm.totals import corpus_sum
 BUCKETS, SHAPES, DIM, SPAN = 2**14, 1024, 32, 2
 HIDDEN, EPOCHS, TRAIN_ROWS = 24, 60, 20_000
 FOLDS, HELD, THRESHOLD = 5, 0, 0.3
-#: Bytes of text scored at once where whole rows are carried along.
-CARRIED = 1_000_000
+#: Bytes of text, and words of one text, worked on at once: numpy's working arrays are some hundred times as large.
+SLICE, BLOCK = 250_000, 2**16
 
 KIND = np.full(256, 3, np.uint8)
 KIND[A.SPACE] = 0
@@ -88,21 +88,26 @@ def _run_start(starts: np.ndarray, n: int) -> np.ndarray:
 
 
 def count_neighbours(index: np.ndarray):
-    def add(batch: pa.RecordBatch, vector: np.ndarray) -> None:
-        words, first = tokens(A.column(batch, "text"))
-        if not len(words):
-            return
-        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        own = index[words]
+    def add_block(words: np.ndarray, text: np.ndarray, a: int, b: int, vector: np.ndarray) -> None:
+        """The neighbours of words a to b; those of the words beside them are read, not counted."""
+        low, high = max(0, a - SPAN), min(len(words), b + SPAN)
+        own, inside = index[words[low:high]], text[low:high]
         around = np.zeros_like(own)
         for d in range(1, SPAN + 1):
-            near = (text[d:] == text[:-d])[:, None]
+            near = (inside[d:] == inside[:-d])[:, None]
             around[:-d] += own[d:] * near
             around[d:] += own[:-d] * near
-        order = np.argsort(words, kind="stable")
-        ids, begin = np.unique(words[order], return_index=True)
+        mine = words[a:b]
+        order = np.argsort(mine, kind="stable")
+        ids, begin = np.unique(mine[order], return_index=True)
         sums = vector[: BUCKETS * DIM].reshape(BUCKETS, DIM)
-        sums[ids] += np.add.reduceat(around[order], begin, axis=0, dtype=np.int64)
+        sums[ids] += np.add.reduceat(around[a - low : b - low][order], begin, axis=0, dtype=np.int64)
+
+    def add(batch: pa.RecordBatch, vector: np.ndarray) -> None:
+        words, first = tokens(A.column(batch, "text"))
+        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        for a in range(0, len(words), BLOCK):
+            add_block(words, text, a, min(a + BLOCK, len(words)), vector)
         vector[BUCKETS * DIM : BUCKETS * (DIM + 1)] += np.bincount(words, minlength=BUCKETS)
 
     return add
@@ -110,7 +115,7 @@ def count_neighbours(index: np.ndarray):
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """(BUCKETS, DIM): normalised context vectors, longer for rarer words."""
-    sums = corpus_sum(docs.select("text"), BUCKETS * (DIM + 1), count_neighbours(index_vectors()))
+    sums = corpus_sum(docs.select("text"), BUCKETS * (DIM + 1), count_neighbours(index_vectors()), SLICE)
     context, seen = sums[: BUCKETS * DIM].reshape(BUCKETS, DIM).astype(np.float64), sums[BUCKETS * DIM :]
     norm = np.sqrt((context**2).sum(axis=1))
     rarity = np.log1p(seen.sum() / np.maximum(seen, 1)) / 10
@@ -183,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in A.pieces(batches):
+        for batch in A.pieces(batches, size=SLICE):
             x = pool(A.column(batch, "text"), shared.value)
             yield pa.RecordBatch.from_arrays([A.column(batch, "doc_id"), A.column(batch, "y"), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
@@ -200,7 +205,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network], carry: bool = Fals
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = A.column(batch, "row").field("text") if carry else A.column(batch, "text")
-            for start, rows in A.sliced(texts, CARRIED if carry else 2_000_000):
+            for start, rows in A.sliced(texts, SLICE):
                 s = pa.array(network.score(pool(texts.slice(start, rows), vectors.value)))
                 yield pa.RecordBatch.from_arrays([A.column(batch, name).slice(start, rows), s], [name, "score"])
 

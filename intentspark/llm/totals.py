@@ -14,14 +14,15 @@ from intentspark.llm.common import partitions
 BLOCK = 2048
 
 
-def corpus_sum(docs: DataFrame, length: int, add: Callable[[pa.RecordBatch, np.ndarray], None]) -> np.ndarray:
+def corpus_sum(docs: DataFrame, length: int, add: Callable[[pa.RecordBatch, np.ndarray], None], size: int = 2_000_000) -> np.ndarray:
     """The sum over all documents of what `add(batch, vector)` adds to an int64 vector of `length`, exact in any order.
+    A batch holds about `size` bytes of text.
 
     `length` is a parameter of the caller, not of the data: it bounds what a task sends and what comes to the driver."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vector = np.zeros(-(-length // BLOCK) * BLOCK, np.int64)
-        for batch in A.pieces(batches):
+        for batch in A.pieces(batches, size=size):
             add(batch, vector)
         blocks = vector.reshape(-1, BLOCK)
         for i in np.flatnonzero(blocks.any(axis=1)).tolist():

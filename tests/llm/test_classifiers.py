@@ -1,6 +1,7 @@
 """Toxicity and quality against held-out labels, and the channel's readings."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from intentspark.llm import quality, queries, toxicity
@@ -99,3 +100,24 @@ def test_sieve_stops_no_word_that_holds_a_feature():
     assert toxicity.found_features(texts, toxicity.Channel(counts), wanted, toxicity.Sieve(wanted)) == every
     assert sum(map(bool, every)) > 500
     assert toxicity.Sieve({}).passes(["idiot"]) == [] and "gentle" not in [plain[i] for i in toxicity.Sieve(wanted).passes(plain)]
+
+
+def test_neighbours_are_the_same_in_blocks_of_any_size(monkeypatch):
+    """The working arrays cover a block of words; sums are those of the whole batch."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["Alpha", "beta,", "42", "ga-mma"], n)) if n else "" for n in (40, 0, 1, 300, 2, 7)]
+    batch = pa.RecordBatch.from_arrays([pa.array([*texts, None])], ["text"])
+    index = quality.index_vectors()
+    want = np.zeros(quality.BUCKETS * (quality.DIM + 1), np.int64)
+    words, first = quality.tokens(batch.column(0))
+    for a, b in zip(first[:-1], first[1:]):
+        for i in range(a, b):
+            want[quality.BUCKETS * quality.DIM + words[i]] += 1
+            for j in range(max(a, i - quality.SPAN), min(b, i + quality.SPAN + 1)):
+                if i != j:
+                    want[words[i] * quality.DIM : (words[i] + 1) * quality.DIM] += index[words[j]]
+    for block in (1, 2, 7, 2**16):
+        monkeypatch.setattr(quality, "BLOCK", block)
+        got = np.zeros_like(want)
+        quality.count_neighbours(index)(batch, got)
+        assert (got == want).all()
