@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,26 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15))
 
+#: Gives what the C allocator holds unused back to the system; absent where the C library has no such call.
+TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`work`, after whose last batch memory that it freed goes back to the system. Workers outlive their tasks, and the
+    allocators would hold it, next to the memory of whatever runs after."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        hand_back()
+
+    return run
+
+
+def hand_back() -> None:
+    pa.default_memory_pool().release_unused()
+    if TRIM is not None:
+        TRIM(0)
+
 
 def scramble(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective mix of 64-bit values; another seed gives an independent one."""

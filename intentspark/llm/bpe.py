@@ -31,7 +31,7 @@ from intentspark.llm.common import keep
 RANKS, PATTERN = "byte_bpe_multi_50k.tiktoken", public_tokenizers.PATTERN
 CHUNK, OVERLAP = 50_000, 2_000
 #: Different matches whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 60_000
 
 
 class Coder:
@@ -124,8 +124,8 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = PATTERN, chu
             yield pa.RecordBatch.from_arrays([*(A.column(batch, x) for x in ("row", "doc_id", "part")), pa.array(out, pa.list_(pa.int32()))], ["row", "doc_id", "part", "ids"])
 
     base = "row long, doc_id long, part int, parts int, text string"
-    cuts = rows.where(~short).withColumn("row", F.monotonically_increasing_id()).mapInArrow(chunked, base).repartition("row", "part")
-    found = keep(lambda: cuts.mapInArrow(matched, base + ", lengths array<bigint>, head array<bigint>, tail array<bigint>"), "bpe")
+    cuts = rows.where(~short).withColumn("row", F.monotonically_increasing_id()).mapInArrow(A.tidy(chunked), base).repartition("row", "part")
+    found = keep(lambda: cuts.mapInArrow(A.tidy(matched), base + ", lengths array<bigint>, head array<bigint>, tail array<bigint>"), "bpe")
     ahead = found.select("row", (F.col("part") - 1).alias("part"), F.col("head").alias("next_head"))
     seams = found.select("row", "part", "parts", "tail").join(ahead, ["row", "part"], "left").withColumn("end", F.array_min(F.array_intersect("tail", "next_head")))
     broken = seams.where("part + 1 < parts and end is null").select("row").distinct()
@@ -133,13 +133,13 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = PATTERN, chu
     starts = seams.where("part + 1 < parts").select("row", (F.col("part") + 1).alias("part"), F.col("end").alias("first"))
     stitched = (found.select("row", "doc_id", "part", "text", "lengths").join(broken, "row", "left_anti").join(ends, ["row", "part"])
                 .join(starts, ["row", "part"], "left").withColumn("first", F.coalesce("first", F.lit(0).cast("long"))))
-    encoded = stitched.mapInArrow(between, "row long, doc_id long, part int, ids array<int>").groupBy("row").agg(
+    encoded = stitched.mapInArrow(A.tidy(between), "row long, doc_id long, part int, ids array<int>").groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.struct("part", "ids"))).alias("all"))
     stitched_ids = encoded.select("doc_id", F.flatten(F.transform("all", lambda x: x["ids"])).alias("ids"))
     again = found.join(broken, "row", "left_semi").groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.struct("part", F.substring("text", 1, chunk).alias("text")))).alias("all"))
-    again = again.select("doc_id", F.array_join(F.transform("all", lambda x: x["text"]), "").alias("text")).mapInArrow(whole, "doc_id long, ids array<int>")
-    return rows.where(short).mapInArrow(whole, "doc_id long, ids array<int>").unionByName(stitched_ids).unionByName(again)
+    again = again.select("doc_id", F.array_join(F.transform("all", lambda x: x["text"]), "").alias("text")).mapInArrow(A.tidy(whole), "doc_id long, ids array<int>")
+    return rows.where(short).mapInArrow(A.tidy(whole), "doc_id long, ids array<int>").unionByName(stitched_ids).unionByName(again)
 
 
 def decode(encoded: DataFrame, path: str | None = None, pattern: str = PATTERN) -> DataFrame:
@@ -155,7 +155,7 @@ def decode(encoded: DataFrame, path: str | None = None, pattern: str = PATTERN)
                 yield pa.RecordBatch.from_arrays([*part.columns, out], [*part.schema.names, "decoded"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(decoded, f"{fields}, decoded binary")
+    return encoded.mapInArrow(A.tidy(decoded), f"{fields}, decoded binary")
 
 
 def digest(decoded: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -85,7 +85,7 @@ def embed(docs: DataFrame) -> DataFrame:
             marks = signatures(hashes, first)
             yield pa.RecordBatch.from_arrays([A.column(batch, "doc_id"), pa.array(set_ids(hashes, first), pa.binary()), pa.array([m.tobytes() for m in marks], pa.binary())], ["doc_id", "rec", "signature"])
 
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(each, "doc_id long, rec binary, signature binary")
+    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(A.tidy(each), "doc_id long, rec binary, signature binary")
 
 
 def child_paths(paths: np.ndarray, marks: np.ndarray) -> np.ndarray:
@@ -110,7 +110,7 @@ def split(rows: DataFrame) -> DataFrame:
                 for c in range(CHOSEN):
                     yield pa.RecordBatch.from_arrays([pa.array(below[:, c].view(np.int64)), A.column(part, "rec"), A.column(part, "signature")], ["path", "rec", "signature"])
 
-    return rows.mapInArrow(each, "path long, rec binary, signature binary")
+    return rows.mapInArrow(A.tidy(each), "path long, rec binary, signature binary")
 
 
 def alike(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -256,7 +256,7 @@ def candidate_links(recs: DataFrame) -> DataFrame:
     for depth in range(DEPTH):
         rows = keep(lambda rows=rows: split(rows), "paths")
         sizes = keep(lambda rows=rows: rows.groupBy("path").count().where(F.col("count") > SMALL), "sizes")
-        small = rows.join(sizes.select("path"), "path", "left_anti").repartition(n, "path").sortWithinPartitions("path", "rec").mapInArrow(compare_small, LINKS)
+        small = rows.join(sizes.select("path"), "path", "left_anti").repartition(n, "path").sortWithinPartitions("path", "rec").mapInArrow(A.tidy(compare_small), LINKS)
         links = small if links is None else links.unionByName(small)
         rows = rows.join(sizes, "path")
         if sizes.isEmpty():
@@ -264,7 +264,7 @@ def candidate_links(recs: DataFrame) -> DataFrame:
         if depth + 1 < DEPTH:
             rows = rows.drop("count")
     dealt = in_block_pairs(rows, "path", "count", BLOCK).select("path", "i", "j", "side", "rec", "signature")
-    return links.unionByName(dealt.repartition(n, "path", "i", "j").sortWithinPartitions("path", "i", "j", "rec").mapInArrow(compare_blocks, LINKS))
+    return links.unionByName(dealt.repartition(n, "path", "i", "j").sortWithinPartitions("path", "i", "j", "rec").mapInArrow(A.tidy(compare_blocks), LINKS))
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -317,10 +317,10 @@ def link_documents(docs: DataFrame) -> DataFrame:
     near = components(candidate_links(recs.select("rec", "signature")))
     sized = near.join(near.groupBy("root").agg(F.count("*").alias("size")), "root").join(recs.select(F.col("rec").alias("node"), F.col("first").alias("doc_id")), "node")
     texts = docs.where("doc_id is not null").select("doc_id", "text").join(sized.hint("shuffle_hash"), "doc_id")
-    named = texts.withColumnRenamed("node", "rec").mapInArrow(_own_set, "root binary, rec binary, size long, text string")
+    named = texts.withColumnRenamed("node", "rec").mapInArrow(A.tidy(_own_set), "root binary, rec binary, size long, text string")
     one = named.dropDuplicates(["root", "rec"]) if _repeats_ids(placed) else named
     dealt = in_block_pairs(one, "root", "size", BLOCK).select("root", "i", "j", "side", "rec", "text")
-    checked = keep(lambda: dealt.repartition(n, "root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(verify, "rec binary, n_links long, top binary"), "links")
+    checked = keep(lambda: dealt.repartition(n, "root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(A.tidy(verify), "rec binary, n_links long, top binary"), "links")
     counts = checked.groupBy("rec").agg(F.sum("n_links").alias("n_links"))
     classes = components(checked.select(F.col("rec").alias("a"), F.col("top").alias("b")))
     known = recs.select("rec", "first", "n_copies").join(counts, "rec", "left").join(classes.withColumnRenamed("node", "rec"), "rec", "left").withColumn("root", F.coalesce("root", "rec"))

@@ -192,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
             x = pool(A.column(batch, "text"), shared.value)
             yield pa.RecordBatch.from_arrays([A.column(batch, "doc_id"), A.column(batch, "y"), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
-    sample = training_rows(docs, labels, label, folds, held, rows).mapInArrow(features, "doc_id long, y int, x array<double>").toArrow().sort_by("doc_id")
+    sample = training_rows(docs, labels, label, folds, held, rows).mapInArrow(A.tidy(features), "doc_id long, y int, x array<double>").toArrow().sort_by("doc_id")
     x = np.array(sample["x"].to_pylist(), np.float64).reshape(len(sample), 2 * DIM + 1)
     return vectors, Network(x, sample["y"].to_numpy().astype(np.float64))
 
@@ -211,8 +211,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, Network], carry: bool = Fals
 
     name = "row" if carry else "doc_id"
     if not carry:
-        return docs.select("doc_id", "text").mapInArrow(scored, "doc_id long, score double")
-    return docs.select(F.struct("*").alias("row")).mapInArrow(scored, f"row {docs.schema.simpleString()}, score double")
+        return docs.select("doc_id", "text").mapInArrow(A.tidy(scored), "doc_id long, score double")
+    return docs.select(F.struct("*").alias("row")).mapInArrow(A.tidy(scored), f"row {docs.schema.simpleString()}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

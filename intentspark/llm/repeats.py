@@ -438,12 +438,12 @@ def mark_repeats(docs: DataFrame, kind: Kind) -> DataFrame:
     firsts = texts.groupBy("key", "key2", "n").agg(F.min("doc_id").alias("first"))
     copies = texts.join(firsts, ["key", "key2", "n"]).where(F.col("doc_id") > F.col("first")).select("doc_id", "key").distinct()
     to_owner = lambda packed: packed.repartitionById(tasks, "bucket")
-    marks = lambda packed: to_owner(packed).mapInArrow(marked_documents, MARKED)
-    near = keep(lambda: marks(to_owner(rows.mapInArrow(send_anchors(kind, tasks), PACKED)).mapInArrow(repeated_anchors(tasks), PACKED)), "anchors")
+    marks = lambda packed: to_owner(packed).mapInArrow(A.tidy(marked_documents), MARKED)
+    near = keep(lambda: marks(to_owner(rows.mapInArrow(A.tidy(send_anchors(kind, tasks)), PACKED)).mapInArrow(A.tidy(repeated_anchors(tasks)), PACKED)), "anchors")
     of_firsts = near.join(firsts.select(F.col("first").alias("doc_id"), "key"), ["doc_id", "key"])
     around = lambda: rows.join(of_firsts.hint("shuffle_hash"), ["doc_id", "key"])
     send = send_stretches if kind.gram else send_runs
-    later = lambda: marks(to_owner(around().mapInArrow(send(kind, tasks), PACKED)).mapInArrow(later_runs(kind, tasks), PACKED))
+    later = lambda: marks(to_owner(around().mapInArrow(A.tidy(send(kind, tasks)), PACKED)).mapInArrow(A.tidy(later_runs(kind, tasks)), PACKED))
     return keep(lambda: later().select("doc_id", "key", F.lit(False).alias("whole"), "places").unionByName(
         copies.select("doc_id", "key", F.lit(True).alias("whole"), F.lit(None).cast("binary").alias("places"))), "marks")
 

@@ -53,7 +53,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """n_bytes, n_removed, n_spans and kept, the remaining bytes (not always valid UTF-8), beside `row`, all columns of `docs`."""
-    return repeats.with_marks(docs, KIND).mapInArrow(_cut, f"row {docs.schema.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return repeats.with_marks(docs, KIND).mapInArrow(A.tidy(_cut), f"row {docs.schema.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def as_text(cut: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def as_text(cut: DataFrame) -> DataFrame:
             yield batch.set_column(batch.schema.get_field_index("kept"), "kept", kept)
 
     fields = ", ".join(f"{f.name} {'string' if f.name == 'kept' else f.dataType.simpleString()}" for f in cut.schema)
-    return cut.mapInArrow(text, fields)
+    return cut.mapInArrow(A.tidy(text), fields)
 
 
 def digest(docs: DataFrame) -> DataFrame:

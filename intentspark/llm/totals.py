@@ -39,6 +39,6 @@ def corpus_sum(docs: DataFrame, length: int, add: Callable[[pa.RecordBatch, np.n
 
     schema = "block int, part binary"
     out = np.zeros(-(-length // BLOCK) * BLOCK, np.int64)
-    for row in docs.mapInArrow(each, schema).repartitionById(partitions(docs.sparkSession), "block").mapInArrow(total, schema).collect():
+    for row in docs.mapInArrow(A.tidy(each), schema).repartitionById(partitions(docs.sparkSession), "block").mapInArrow(A.tidy(total), schema).collect():
         out[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["part"], np.int64)
     return out[:length]
