@@ -52,28 +52,27 @@ def sensitivity_variants(valid: DataFrame, rules: list[Rule], scorer: Scorer,
     """Every row's variants, scored and decided, against the row's own baseline.
 
     The baseline travels with the row, so nothing is joined back and nothing is shuffled. No-op changes
-    are left out, and so is a change that repeats an earlier one of the same field.
+    are left out, and so is a change that repeats an earlier one of the same field. A row's real changes are gathered in
+    an array first, so only these are exploded, and scoring them is a generated method of its own, short enough to be compiled.
     """
     features = [r.column for r in rules]
+    types = dict(valid.dtypes)
     baseline = recommend(scorer.score(valid.select(key, *features)), bands).select(
         key, *features, F.col("p").alias("base_p"), F.col("score_band").alias("base_band"),
         F.col("recommended_action").alias("base_decision"), F.col("requires_manual_review").alias("base_review"))
     changes = perturbations(rules)
-    pick = lambda values: _by_number([F.lit(v) if isinstance(v, str) else v for v in values])
-    fresh = []
+    moved = []
     for i, (_, field, value) in enumerate(changes):
-        new = value != F.col(field).cast("double")
+        fresh = value != F.col(field).cast("double")
         for _, earlier_field, earlier in changes[:i]:
             if earlier_field == field:
-                new = new & (value != earlier)
-        fresh.append(new)
+                fresh = fresh & (value != earlier)
+        inputs = [(value.cast(types[c]) if c == field else F.col(c)).alias(c) for c in features]
+        moved.append(F.when(fresh, F.struct(F.lit(i).alias("_v"), *inputs)))
     # rows carry only the number of their variant; names are attached after scoring
-    numbered = baseline.withColumn("_v", F.explode(F.array(*[F.lit(i) for i in range(len(changes))]))).where(pick(fresh))
-    types = dict(valid.dtypes)
-    moved = {c: [(i, value) for i, (_, field, value) in enumerate(changes) if field == c] for c in features}
-    changed = numbered.select(
-        key, "base_p", "base_band", "base_decision", "base_review", "_v",
-        *[_replaced(c, moved[c]).cast(types[c]).alias(c) if moved[c] else F.col(c) for c in features])
+    pick = lambda values: _by_number([F.lit(v) for v in values])
+    changed = baseline.select(key, "base_p", "base_band", "base_decision", "base_review",
+                              F.inline(F.array_compact(F.array(*moved))))
     decided = recommend(scorer.score(changed), bands)
     delta = F.abs(F.col("p") - F.col("base_p"))
     return decided.select(
@@ -92,13 +91,6 @@ def _by_number(values: list[Column]) -> Column:
     return out
 
 
-def _replaced(column: str, changes: list[tuple[int, Column]]) -> Column:
-    out = F.col(column).cast("double")
-    for i, value in changes:
-        out = F.when(F.col("_v") == i, value).otherwise(out)
-    return out
-
-
 def sensitivity_summary(variants: DataFrame, key: str = "row_id") -> DataFrame:
     """Largest change and change counts per base row. A row's variants sit in one task, so the
     map-side combine already reduces them to a single record before the exchange."""

@@ -1,14 +1,16 @@
 from dataclasses import replace
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from intentspark.errors import ContractError
+from intentspark.errors import ContractError, SinkError
 from intentspark.operators import cases, contract, explain, whatif
 from intentspark.operators.scorers import ExpressionScorer, Scorecard
 from intentspark.plans.decision_queries import INPUTS
 from intentspark.plans.frames import lines, scored_lines, side
 from intentspark.roles import DEFAULT_ROLES
+from intentspark.sources.sinks import scratch_path
 from intentspark.streaming.scoring import profile_stream, score_stream
 
 SCHEMA = ("Age int, Gender int, AnnualIncome double, NumberOfPurchases int, ProductCategory int, "
@@ -81,6 +83,8 @@ def test_variants_are_bounded_unique_and_real(spark, rules):
     assert got["r2"] == {"time_spent_down", "purchase_count_down", "income_down", "loyalty_toggle"}
     summary = {r["row_id"]: r for r in whatif.sensitivity_summary(variants).collect()}
     assert summary["r1"]["max_probability_delta"] == 0.35
+    assert {k: r["variant_count"] for k, r in summary.items()} == {k: len(v) for k, v in got.items()}
+    assert "Exchange" not in variants._jdf.queryExecution().executedPlan().toString()
 
 
 def test_reruns_are_deterministic(spark, sf):
@@ -150,3 +154,12 @@ def test_stream_gives_the_batch_result(spark, sf, tmp_path):
     assert streamed.count() == batch.count() == frame.count()
     assert streamed.exceptAll(batch).isEmpty()
     assert rejects.count() == spark.read.schema(rejects.schema).parquet(str(tmp_path / "out" / "rejects")).count() == 0
+
+
+def test_scratch_folder_of_a_cluster_must_be_shared():
+    session = lambda master, folder: SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: folder), sparkContext=SimpleNamespace(master=master))
+    assert scratch_path(session("spark://host:7077", "/shared/"), "t").startswith("/shared/t-")
+    assert scratch_path(session("local[2]", None), "t").startswith("file://")
+    with pytest.raises(SinkError):
+        scratch_path(session("spark://host:7077", None), "t")
