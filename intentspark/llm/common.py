@@ -24,8 +24,12 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor shares: `spark.checkpoint.dir`; one of our own only where that is unset (tests)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder()).rstrip("/")
+    """The folder every executor shares: `spark.checkpoint.dir`. Where that is unset, a local session (tests) gets one of
+    our own; on a cluster no executor could read such a folder, so it is an error there."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("intermediate tables need a folder that all executors share: set spark.checkpoint.dir")
+    return (base or _own_folder()).rstrip("/")
 
 
 #: Spark drops the shuffle files of a query when it ends.

@@ -3,11 +3,12 @@
 import hashlib
 import random
 import re
+from types import SimpleNamespace
 
 import pytest
 import tiktoken
 
-from intentspark.llm import bpe, chat, mixing, queries, simhash
+from intentspark.llm import bpe, chat, common, mixing, queries, simhash
 from tests.llm.rows import documents, empty
 
 C = "conv_id long, turn long, role string, text string"
@@ -146,3 +147,12 @@ def test_mixing_expands_to_the_words_taken(spark):
     words = mixing.expand(mixed).collect()
     assert sum(len((r["text"] or "").split()) for r in words) == sum(r["taken"] for r in mixed.collect()) > 0
     assert mixing.mix_documents(empty(spark)).count() == 0
+
+
+def test_intermediate_tables_need_a_shared_folder_on_a_cluster():
+    session = lambda master, folder: SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: folder), sparkContext=SimpleNamespace(master=master))
+    assert common.shared_folder(session("spark://host:7077", "/shared/")) == "/shared"
+    assert common.shared_folder(session("local[2]", None)).startswith("file://")
+    with pytest.raises(ValueError):
+        common.shared_folder(session("spark://host:7077", None))
