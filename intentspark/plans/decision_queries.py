@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from intentspark import fixed
+from intentspark.functions.scalars import usable_score
 from intentspark.operators import cases, contract, explain, fairness, gates, metrics, policy, whatif
 from intentspark.operators.scorers import RuleScorer, Scorecard
 from intentspark.plans.frames import clean_customers, customers, lines, rule_scored_lines, scored_lines, side
@@ -212,25 +213,21 @@ def stages(spark, sf):
 
 
 def readiness(spark, sf):
-    edge = edge_matrix(spark, sf).agg(F.count_if(F.col("status") != "passed").alias("n"))
-    rerun = whatif.rerun_consistency(lines(spark, sf), Scorecard()).select("deterministic")
-    moved = variants(spark, sf).agg(F.count(F.lit(1)).alias("n"))
-    alerts = fairness.fairness_alerts(fairness.fairness_gaps(scored_lines(spark, sf))).agg(F.count(F.lit(1)).alias("n"))
-    check = lambda name, present, passed: F.struct(
-        F.lit(name).alias("check_id"), present.alias("present"), passed.alias("passed"))
-    base = scored_lines(spark, sf).agg(F.count(F.lit(1)).alias("scored_rows"))
-    yes = F.lit(True)
-    rows = base.select(
-        "scored_rows", edge.scalar().alias("edge_failures"), moved.scalar().alias("variant_rows"),
-        rerun.scalar().alias("deterministic"), alerts.scalar().alias("alerts"),
-    ).select(F.explode(F.array(
-        check("scored_table", F.col("scored_rows") > 0, yes),
-        check("edge_case_controls", yes, F.col("edge_failures") == 0),
-        check("sensitivity_analysis", F.col("variant_rows") > 0, yes),
-        check("reproducibility", yes, F.col("deterministic")),
-        check("fairness_followup", F.col("alerts").isNotNull(), yes),
-    )).alias("c")).select("c.*")
-    return gates.readiness(rows)
+    """The checklist over figures that each validation step finds on the whole tables, one row each."""
+    every, unusable = F.count(F.lit(1)), F.count_if(~usable_score(F.col("p")))
+    edge = edge_matrix(spark, sf).agg(F.struct(every.alias("rows"), F.count_if(F.col("status") != "passed").alias("failures")))
+    rerun = whatif.rerun_consistency(lines(spark, sf), Scorecard()).select(F.struct("compared_rows", "deterministic"))
+    moved = variants(spark, sf).agg(F.struct(every.alias("rows"), unusable.alias("unusable")))
+    gaps = fairness.fairness_gaps(scored_lines(spark, sf))
+    segments = gaps.agg(every.alias("n"))
+    alerts = fairness.fairness_alerts(gaps).agg(every.alias("n"))
+    return gates.readiness(gates.validation_checks(scored_lines(spark, sf).agg(
+        every.alias("scored_rows"), unusable.alias("unusable_scores")).select(
+        "*", edge.scalar().alias("edge"), moved.scalar().alias("moved"), rerun.scalar().alias("rerun"),
+        segments.scalar().alias("segments"), alerts.scalar().alias("alerts")).select(
+        "scored_rows", "unusable_scores", F.col("edge.rows").alias("edge_rows"), F.col("edge.failures").alias("edge_failures"),
+        F.col("moved.rows").alias("variant_rows"), F.col("moved.unusable").alias("unusable_variants"),
+        "rerun.compared_rows", "rerun.deterministic", "segments", "alerts")))
 
 
 QUERIES = {

@@ -169,6 +169,24 @@ def test_stage_checks(spark):
     assert rows["b"]["status"] == "missing" and rows["a"]["overall_status"] == "revision_needed"
 
 
+def test_every_readiness_check_can_fail(spark):
+    schema = ("scored_rows bigint, unusable_scores bigint, edge_rows bigint, edge_failures bigint, variant_rows bigint, "
+              "unusable_variants bigint, compared_rows bigint, deterministic boolean, segments bigint, alerts bigint")
+    good = {"scored_rows": 9, "unusable_scores": 0, "edge_rows": 4, "edge_failures": 0, "variant_rows": 8, "unusable_variants": 0,
+            "compared_rows": 18, "deterministic": True, "segments": 3, "alerts": 2}
+    planted = [({}, None, "ready"), ({"scored_rows": 0}, "scored_table", "missing"),
+               ({"unusable_scores": 1}, "scored_table", "revision_needed"), ({"edge_rows": 0}, "edge_case_controls", "missing"),
+               ({"edge_failures": 2}, "edge_case_controls", "revision_needed"), ({"variant_rows": 0}, "sensitivity_analysis", "missing"),
+               ({"unusable_variants": 1}, "sensitivity_analysis", "revision_needed"), ({"compared_rows": 0}, "reproducibility", "missing"),
+               ({"deterministic": None}, "reproducibility", "revision_needed"), ({"segments": 0}, "fairness_followup", "missing"),
+               ({"alerts": None}, "fairness_followup", "revision_needed")]
+    for change, wrong, overall in planted:
+        figures = spark.createDataFrame([tuple({**good, **change}.values())], schema)
+        rows = gates.readiness(gates.validation_checks(figures)).collect()
+        assert len(rows) == 5 and {r["overall_status"] for r in rows} == {overall}
+        assert {r["check_id"] for r in rows if r["status"] != "ready"} == ({wrong} if wrong else set())
+
+
 def test_hot_paths_stay_in_the_jvm(spark, sf):
     """No Python in scoring, policy or metric plans, and no nested-loop or cartesian join."""
     for df in (policy.decide(scored_lines(spark, sf)), metrics.segment_performance(scored_lines(spark, sf)),
