@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from intentspark.errors import ContractError, SinkError
-from intentspark.operators import cases, contract, explain, whatif
-from intentspark.operators.scorers import ExpressionScorer, Scorecard
+from intentspark.operators import cases, contract, explain, learners, whatif
+from intentspark.operators.scorers import ExpressionScorer, RuleScorer, Scorecard
 from intentspark.plans.decision_queries import INPUTS
 from intentspark.plans.frames import lines, scored_lines, side
 from intentspark.roles import DEFAULT_ROLES
@@ -134,6 +134,29 @@ def test_coalitions_stay_in_their_task(spark, sf):
     assert "Exchange" not in above and "Broadcast" not in executed
 
 
+class Plain:
+    """A scorer without its array form."""
+
+    def __init__(self, scorer):
+        self.score = scorer.score
+
+
+def test_sums_in_arrays_equal_the_scored_coalitions(spark):
+    rows = [(f"r{i % 190}", 18 + i % 53, None if i % 29 == 0 else 900.0 * (i % 97), None if i % 31 == 0 else i % 21, None if i % 23 == 0 else float(i % 50),
+             None if i % 37 == 0 else i % 2, None if i % 41 == 0 else i % 5, None if i % 43 == 0 else i % 3 % 2, int(i % 7 < 3)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "row_id string, Age int, AnnualIncome double, NumberOfPurchases int, TimeSpentOnWebsite double, "
+                                        "Gender int, ProductCategory int, LoyaltyProgram int, PurchaseStatus int")
+    frame = frame.unionByName(frame.limit(9))
+    explained, background = explain.explained_rows(frame), explain.background_sample(frame.na.drop(), 6)
+    for scorer in (Scorecard(), RuleScorer(10.0, 25.0), learners.fit_logistic(frame)):
+        fast = explain.attributions(explained, background, scorer)
+        assert "MapInArrow" in fast._jdf.queryExecution().executedPlan().toString()
+        plain = explain.attributions(explained, background, Plain(scorer))
+        assert fast.schema == plain.schema and fast.count() == plain.count()
+        assert fast.exceptAll(plain).isEmpty() and plain.exceptAll(fast).isEmpty()
+    assert explain.attributions(explained, background.limit(0), Scorecard()).isEmpty()
+
+
 def test_permutation_needs_the_signal(spark, sf):
     test = side(lines(spark, sf), "test")
     rows = {r["feature_name"]: r for r in explain.permutation_importance(test, Scorecard(), repeats=2).collect()}
