@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from intentspark.errors import ContractError, SinkError
+from intentspark.functions.scalars import rounded_score
 from intentspark.operators import cases, contract, explain, learners, whatif
 from intentspark.operators.scorers import ExpressionScorer, RuleScorer, Scorecard
 from intentspark.plans.decision_queries import INPUTS
@@ -155,6 +156,17 @@ def test_sums_in_arrays_equal_the_scored_coalitions(spark):
         assert fast.schema == plain.schema and fast.count() == plain.count()
         assert fast.exceptAll(plain).isEmpty() and plain.exceptAll(fast).isEmpty()
     assert explain.attributions(explained, background.limit(0), Scorecard()).isEmpty()
+    whole = frame.na.drop().dropDuplicates(["row_id"])
+    for scorer in (Scorecard(), RuleScorer(10.0, 25.0), learners.fit_logistic(frame)):
+        fast = explain.permutation_importance(whole, scorer, repeats=2)
+        assert "MapInArrow" in fast._jdf.queryExecution().executedPlan().toString()
+        assert fast.collect() == explain.permutation_importance(whole, Plain(scorer), repeats=2).collect()
+
+
+def test_rounded_scores_equal_round(spark):
+    values = [0.0, -0.0, 1.0, 0.0000005, 0.1234565, 0.9999995, 0.49999949999999997, 2.5e-7, 0.3, 0.015, None, *[i / 7919 for i in range(7919)], *[i / 2e6 for i in range(999)]]
+    both = spark.createDataFrame([(v,) for v in values], "p double").select(rounded_score(F.col("p")).alias("a"), F.round("p", 6).alias("b"))
+    assert both.where(~F.col("a").eqNullSafe(F.col("b"))).isEmpty()
 
 
 def test_permutation_needs_the_signal(spark, sf):
