@@ -46,6 +46,17 @@ def test_matrices(spark, split):
     assert odd.select(sum(hot[1:], hot[0]).alias("s")).first()["s"] == 0
 
 
+def test_training_rows_reach_all_tasks_in_one_order(split):
+    """A table that scans as one split is still fitted and measured by all tasks, and in the same order on every run."""
+    train = split[0].coalesce(1)
+    order = []
+    for rows in (train, train.orderBy("Age")):
+        _, vectors = learners.matrix(rows, "tree")
+        assert vectors.rdd.getNumPartitions() == int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        order.append([r["row_id"] for r in vectors.select("row_id").collect()])
+    assert order[0] == order[1] and len(order[0]) == train.count()
+
+
 def test_logistic_beats_chance_and_persists(spark, split, tmp_path):
     train, test = split
     scorer = learners.fit_logistic(train)
