@@ -10,7 +10,8 @@ same shift. Then three steps:
 2. extension: documents with candidates (of equal texts only the first document) send the full runs around them: words as
    a hash of each run; bytes as stretches of text, each of consecutive runs with one owner, which hold a hundred runs in
    little more than the bytes of one. Equal runs meet at one task, and all but the earliest are marked;
-3. marks go back to their documents.
+3. marks go back to their documents in two steps, to one of the tasks that serve a group of owners and from there to the
+   owner: a row from every task to every other would make the square of their number, the root of tasks groups make less.
 
 An anchor or run of any frequency costs a task one record, since it is aggregated before the shuffle. Nothing is paired.
 Records are packed: hashes, documents with counts, position differences. Runs are compared by 64 bits beyond those that
@@ -21,9 +22,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,17 +121,34 @@ def sorted_marks(docs: np.ndarray, keys: np.ndarray, place: np.ndarray) -> tuple
     return docs[new], keys[new], row[fresh], place[fresh]
 
 
-def marks_by_owner(found: list[tuple[np.ndarray, ...]], tasks: int) -> Iterator[pa.RecordBatch]:
-    """Marks (documents, keys, places) packed for the tasks that own the documents, one row for each."""
+def halfway(owners: np.ndarray, task: int, tasks: int) -> np.ndarray:
+    """The task that takes marks of `task` for these owners: owners come in about root of `tasks` groups, and all tasks
+    are shared out among the groups, so no task sends to more than the groups or, from there, to more than a group."""
+    size = isqrt(tasks)
+    lanes = max(1, tasks // -(-tasks // size))
+    return owners // size * lanes + task % lanes
+
+
+def marks_by_owner(found: list[tuple[np.ndarray, ...]], tasks: int, task: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Marks (documents, keys, places) packed for the tasks that own the documents, one row for each; those that `task`
+    has found go halfway first."""
     if not sum(len(places) for _, _, places in found):
         return
     docs, keys, row, place = sorted_marks(*(np.concatenate(c) for c in zip(*found, strict=True)))
     to = owner(A.scramble(docs.view(np.uint64), 12), tasks)[row]
+    to = to if task is None else halfway(to, task, tasks)
     by = np.argsort(to, kind="stable")
     edges = np.searchsorted(to[by], np.arange(tasks + 1))
     yield packed_batch([packed_row(t, 0, docs, keys, row[m], place[m]) for t in np.flatnonzero(np.diff(edges)).tolist() for m in [by[edges[t] : edges[t + 1]]]])
 
 
+def passed_on(tasks: int):
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from marks_by_owner(collect_packed(batches, False)[0], tasks)
+
+    return passed
+
+
 def marked_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per document with all its places."""
     marks, _ = collect_packed(batches, False)
@@ -246,7 +266,7 @@ def repeated_anchors(tasks: int):
             same = h[1:] == h[:-1]
             hit = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
             marks.append((docs[row[hit]], keys[row[hit]], place[hit].astype(np.int64)))
-        yield from marks_by_owner(marks, tasks)
+        yield from marks_by_owner(marks, tasks, TaskContext.get().partitionId())
 
     return repeated
 
@@ -423,7 +443,7 @@ def later_runs(kind: Kind, tasks: int):
             del when, first
             hit = order[hit]
             marks.append((docs[row[hit]], keys[row[hit]], place[hit].astype(np.int64)))
-        yield from marks_by_owner(marks, tasks)
+        yield from marks_by_owner(marks, tasks, TaskContext.get().partitionId())
 
     return later
 
@@ -438,7 +458,7 @@ def mark_repeats(docs: DataFrame, kind: Kind) -> DataFrame:
     firsts = texts.groupBy("key", "key2", "n").agg(F.min("doc_id").alias("first"))
     copies = texts.join(firsts, ["key", "key2", "n"]).where(F.col("doc_id") > F.col("first")).select("doc_id", "key").distinct()
     to_owner = lambda packed: packed.repartitionById(tasks, "bucket")
-    marks = lambda packed: to_owner(packed).mapInArrow(A.tidy(marked_documents), MARKED)
+    marks = lambda packed: to_owner(to_owner(packed).mapInArrow(A.tidy(passed_on(tasks)), PACKED)).mapInArrow(A.tidy(marked_documents), MARKED)
     near = keep(lambda: marks(to_owner(rows.mapInArrow(A.tidy(send_anchors(kind, tasks)), PACKED)).mapInArrow(A.tidy(repeated_anchors(tasks)), PACKED)), "anchors")
     of_firsts = near.join(firsts.select(F.col("first").alias("doc_id"), "key"), ["doc_id", "key"])
     around = lambda: rows.join(of_firsts.hint("shuffle_hash"), ["doc_id", "key"])

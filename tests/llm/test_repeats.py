@@ -88,5 +88,28 @@ def test_queries_on_the_table(spark, sf):
     check_bytes(queries.op10_suffix(spark, sf).collect(), rows)
 
 
+@pytest.mark.parametrize("tasks", [1, 2, 3, 7, 24, 422, 1000])
+def test_marks_reach_their_owner_in_few_rows(tasks):
+    """Documents found by all tasks: a task sends to the root of their number, not to all, and nothing is lost on the way."""
+    docs = np.arange(5_000)
+    found = [(docs, docs * 3, docs % 40)]
+    first = list(repeats.marks_by_owner(found, tasks, tasks - 1))
+    assert sum(b.num_rows for b in first) <= 1.1 * tasks**0.5 + 2
+    owners = np.unique(repeats.owner(repeats.A.scramble(docs.view(np.uint64), 12), tasks))
+    halves = [set(repeats.halfway(owners, t, tasks).tolist()) for t in range(tasks)]
+    assert set().union(*halves) <= set(range(tasks)) and max(map(len, halves)) <= 1.1 * tasks**0.5 + 2
+    to, got = {}, []
+    for b in first:
+        for i in range(b.num_rows):
+            part = list(repeats.passed_on(tasks)(iter([b.slice(i, 1)])))
+            assert sum(p.num_rows for p in part) <= tasks**0.5
+            for p in part:
+                assert not set(p.column("bucket").to_pylist()) & set(to), "an owner gets marks of a task from one place"
+                to |= dict.fromkeys(p.column("bucket").to_pylist())
+                got += repeats.collect_packed(iter([p]), False)[0]
+    d, k, p = (np.concatenate(c) for c in zip(*got, strict=True))
+    assert sorted(zip(d.tolist(), k.tolist(), p.tolist())) == [(i, i * 3, i % 40) for i in range(5_000)]
+
+
 def test_nothing(spark):
     assert substring.digest(empty(spark)).count() == 0 and suffixes.digest(empty(spark)).count() == 0
