@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,6 +110,26 @@ def recommend(scored: DataFrame, bands: dict[str, float] | None = None, history:
                   (~rejected & downgraded, DOWNGRADED), (~rejected & near, BOUNDARY)).alias("guardrail_flags"))
 
 
+#: What the numbers of `recommend_arrays` stand for; no usable score is the last band, no action is -1.
+BANDS = tuple(band for band, _ in fixed.BAND_ACTIONS) + (UNSCORED,)
+ACTIONS = tuple(action for _, action in fixed.BAND_ACTIONS) + ("manual_review_discount_cap",)
+
+
+def recommend_arrays(p: np.ndarray, past: np.ndarray, bands: dict[str, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``recommend`` over arrays: numbers of band and recommended action, review mark. NULL scores arrive as NaN."""
+    low, binary, high = bands["low"], bands["binary"], bands["high"]
+    usable = (p >= 0.0) & (p <= 1.0)
+    base = (p >= low).astype(np.int32) + (p >= binary) + (p >= high)
+    saturated = (p >= low) & (p < high) & (past >= fixed.DISCOUNT_CAP_HISTORY)
+    downgraded = (p >= low) & (p < binary) & (past >= fixed.DISCOUNT_DOWNGRADE_HISTORY) & (past < fixed.DISCOUNT_CAP_HISTORY)
+    rejected = ~usable | (past < 0)
+    near = np.zeros(p.shape, bool)
+    for name, margin in fixed.REVIEW_MARGIN.items():
+        near |= np.abs(p - bands[name]) <= margin + 1e-9
+    action = np.select([rejected, saturated, downgraded], [-1, len(ACTIONS) - 1, 2], base)
+    return np.where(usable, base, len(BANDS) - 1), action, rejected | saturated | near
+
+
 def decide(scored: DataFrame, bands: dict[str, float] | None = None, history: str = "DiscountsAvailed") -> DataFrame:
     """``recommend`` plus discount, channel and proxy value from the five-row catalog, broadcast."""
     catalog = action_catalog(scored).select(

@@ -1,6 +1,7 @@
 from dataclasses import replace
 from types import SimpleNamespace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,6 +89,42 @@ def test_variants_are_bounded_unique_and_real(spark, rules):
     assert "Exchange" not in variants._jdf.queryExecution().executedPlan().toString()
 
 
+class General:
+    """A scorer without its form over arrays."""
+
+    def __init__(self, scorer):
+        self.score = scorer.score
+
+
+def test_changes_in_arrays_equal_the_exploded_variants(spark):
+    """Also on rows with NULL, NaN and infinite values, histories that are refused, repeated rows and repeated or NULL keys."""
+    rules = contract.learn_rules(spark.createDataFrame(ROWS, SCHEMA))
+    rows = [(None if i % 59 == 0 else f"r{i % 390}", None if i % 61 == 0 else 18 + i % 53, i % 2, None if i % 67 == 0 else 20000.0 + 331.37 * (i % 397),
+             None if i % 71 == 0 else i % 21, i % 5, None if i % 73 == 0 else float("nan") if i % 79 == 0 else float("inf") if i % 83 == 0 else 1.0 + i % 60,
+             None if i % 89 == 0 else i % 2, None if i % 97 == 0 else -1 if i % 101 == 0 else i % 6) for i in range(1_200)]
+    frame = spark.createDataFrame(rows, f"row_id string, {SCHEMA}")
+    frame = frame.unionByName(frame.limit(50))
+    for scorer in (Scorecard(), RuleScorer(10.0, 25.0)):
+        variants = whatif.sensitivity_variants(frame, rules, scorer)
+        for fast, plain in ((whatif.row_sensitivity(frame, rules, scorer), whatif.sensitivity_summary(variants)),
+                            (whatif.variant_totals(frame, rules, scorer), whatif.variant_totals(frame, rules, General(scorer)))):
+            assert "MapInArrow" in fast._jdf.queryExecution().executedPlan().toString()
+            assert "Generate" not in fast._jdf.queryExecution().executedPlan().toString()
+            assert fast.dtypes == plain.dtypes
+            text = lambda df: sorted(map(repr, df.collect()))
+            assert text(fast) == text(plain)
+    plain = whatif.row_sensitivity(frame, rules, STUB)
+    assert "MapInArrow" not in plain._jdf.queryExecution().executedPlan().toString()
+    assert whatif.row_sensitivity(frame.limit(0), rules, Scorecard()).isEmpty() and whatif.variant_totals(frame.limit(0), rules, Scorecard()).isEmpty()
+
+
+def test_array_rounding_equals_round(spark):
+    values = [0.0, -0.0, 0.0000005, -0.0000005, 0.1234565, 1.0000005, -2.5e-7, 149999.1234565, 123456789.1234565, 1e15, 1e300, float("inf"), float("nan"),
+              *[i / 7919 for i in range(-3000, 7919)], *[i / 2e6 for i in range(999)], *[i * 0.37 + 2.45 for i in range(999)]]
+    want = [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").coalesce(1).select(F.round("x", 6)).collect()]
+    assert list(map(repr, whatif.rounded(np.array(values)).tolist())) == list(map(repr, want))
+
+
 def test_reruns_are_deterministic(spark, sf):
     row = whatif.rerun_consistency(lines(spark, sf), Scorecard()).first()
     assert row["deterministic"] and row["compared_rows"] == 2 * lines(spark, sf).count()
