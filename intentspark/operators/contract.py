@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from intentspark import fixed
 from intentspark.errors import ContractError
-from intentspark.functions.scalars import ceil_step, floor_step, labels, lenient_double, round_step
+from intentspark.functions.scalars import ceil_step, floor_step, labels, lenient_double, round_step, total
 from intentspark.operators.policy import decide
 from intentspark.operators.scorers import Scorer
 from intentspark.roles import DEFAULT_ROLES, RoleSpec
@@ -211,10 +211,22 @@ def mutate(df: DataFrame, rules: list[Rule], passthrough: tuple[str, ...] = ())
 def mutation_matrix(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Per mutation and column: how many of the table's valid rows are accepted and refused after it.
 
-    Rows that break a rule before any change are left to `contract_summary`."""
+    Rows that break a rule before any change are left to `contract_summary`. A changed row is accepted if its new value is
+    and its other fields, as text, are. The value is the same for all rows, so it is checked once, and every row's own
+    fields are: no row is repeated for each mutation."""
     valid, _ = split_valid(df.select(*[r.column for r in rules]), rules)
-    checked = check_rows(mutate(valid, rules), rules, ("mutation", "column_name", "expected_valid"))
-    accepted = F.size("violations") == 0
-    return checked.groupBy("mutation", "column_name", "expected_valid").agg(
-        F.count_if(accepted).alias("accepted_rows"), F.count_if(~accepted).alias("refused_rows"),
-        F.when(F.count_if(accepted != F.col("expected_valid")) == 0, "passed").otherwise("failed").alias("status"))
+    text = valid.select(*[F.col(r.column).cast("string").alias(r.column) for r in rules])
+    wrong = text.select(*[_violation(text, r).isNotNull().cast("int").alias(r.column) for r in rules])
+    faults = wrong.withColumn("_n", total([F.col(r.column) for r in rules]))
+    rows = faults.agg(F.count(F.lit(1)).alias("_rows"), *[
+        F.count_if(F.col("_n") == F.col(r.column)).alias(f"_{r.column}") for r in rules])
+    each = F.explode(F.array(*[
+        F.struct(F.lit(m).alias("mutation"), F.lit(c).alias("column_name"), F.lit(ok).alias("expected_valid"),
+                 F.lit(v).cast("string").alias("_value"), F.col(f"_{c}").alias("_others"))
+        for m, c, ok, v in mutations(rules)]))
+    changed = rows.where("_rows > 0").select("_rows", each.alias("_m")).select("_rows", "_m.*").withColumns({r.column: F.col("_value") for r in rules})
+    fits = F.coalesce(*[F.when(F.col("column_name") == r.column, _violation(changed, r).isNull()) for r in rules])
+    accepted = F.when(fits, F.col("_others")).otherwise(F.lit(0).cast("long"))
+    return changed.select("mutation", "column_name", "expected_valid", "_rows", accepted.alias("accepted_rows")).select(
+        "mutation", "column_name", "expected_valid", "accepted_rows", (F.col("_rows") - F.col("accepted_rows")).alias("refused_rows"),
+        F.when(F.col("accepted_rows") == F.when(F.col("expected_valid"), F.col("_rows")).otherwise(0), "passed").otherwise("failed").alias("status"))

@@ -58,8 +58,12 @@ def fairness_gaps(scored: DataFrame, min_rows: int = fixed.MIN_SEGMENT_ROWS) ->
         "segment_name", "segment_value", "row_count", rows.alias("r")).select("segment_name", "segment_value", "row_count", "r.*")
 
 
+def wide_gap(threshold: float = fixed.FAIRNESS_GAP) -> Column:
+    return F.col("gap_value") >= threshold
+
+
 def fairness_alerts(gaps: DataFrame, threshold: float = fixed.FAIRNESS_GAP) -> DataFrame:
-    return gaps.where(F.col("gap_value") >= threshold).select(
+    return gaps.where(wide_gap(threshold)).select(
         "segment_name", "segment_value", "metric_name", "gap_value")
 
 

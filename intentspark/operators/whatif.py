@@ -308,15 +308,15 @@ def rerun_consistency(frame: DataFrame, scorer: Scorer, bands: dict[str, float]
                       key: str = "row_id", reruns: int = 2) -> DataFrame:
     """Scores the table again under another partitioning and compares every decision by key.
 
-    A key that one side lacks counts as missing and breaks determinism.
+    The rows are exchanged once and scored anew for every rerun after that. A key that one side lacks counts as missing and breaks determinism.
     """
     def surface(df: DataFrame, prefix: str) -> DataFrame:
         return recommend(scorer.score(df), bands).select(
             key, F.col("p").alias(f"{prefix}_p"), F.col("recommended_action").alias(f"{prefix}_action"),
             F.col("score_band").alias(f"{prefix}_band"), F.col("requires_manual_review").alias(f"{prefix}_review"))
 
-    again = frame.withColumn("run_index", F.explode(F.sequence(F.lit(1), F.lit(reruns))))
-    rerun = recommend(scorer.score(again.repartition(key)), bands).select(
+    again = frame.repartition(key).withColumn("run_index", F.explode(F.sequence(F.lit(1), F.lit(reruns))))
+    rerun = recommend(scorer.score(again), bands).select(
         key, "run_index", F.col("p").alias("again_p"), F.col("recommended_action").alias("again_action"),
         F.col("score_band").alias("again_band"), F.col("requires_manual_review").alias("again_review"))
     joined = surface(frame, "first").join(rerun, key, "full")

@@ -71,6 +71,31 @@ def test_a_rule_that_is_too_wide_fails_the_matrix(spark, rules):
     assert checked.where("mutation = 'above_range' and column_name = 'Age' and size(violations) = 0").count() == len(ROWS)
 
 
+def test_the_matrix_counts_every_changed_row_without_repeating_rows(spark):
+    """Also where a row that keeps the contract breaks it as text: incomes are rounded to 6 decimals, below the lower bound."""
+    rules = [contract.Rule("Age", "integer_range", 18.0, 70.0), contract.Rule("AnnualIncome", "float_range", 1.0000003, 5.0),
+             contract.Rule("Gender", "categorical_integer", allowed=(0, 1))]
+    df = spark.createDataFrame([(20 + i, 1.0000004 if i % 3 == 0 else 1.0 + i, i % 2) for i in range(4)] + [(None, 2.0, 1), (99, 2.0, 0), (30, 2.0, 1)],
+                               "Age int, AnnualIncome double, Gender int")
+    valid, _ = contract.split_valid(df, rules)
+    accepted = F.size("violations") == 0
+    want = contract.check_rows(contract.mutate(valid, rules), rules, ("mutation", "column_name", "expected_valid")).groupBy(
+        "mutation", "column_name", "expected_valid").agg(
+        F.count_if(accepted).alias("accepted_rows"), F.count_if(~accepted).alias("refused_rows"),
+        F.when(F.count_if(accepted != F.col("expected_valid")) == 0, "passed").otherwise("failed").alias("status"))
+    got = contract.mutation_matrix(df, rules)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and {r["status"] for r in got.collect()} == {"passed", "failed"}
+    plan = contract.mutation_matrix(df, rules)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("HashAggregate"), "mutations are listed over the counts, not over the rows"
+    assert contract.mutation_matrix(df.limit(0), rules).isEmpty()
+
+
+def test_reruns_exchange_the_rows_once(spark, sf):
+    plan = whatif.rerun_consistency(lines(spark, sf), Scorecard())._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("REPARTITION_BY_COL")
+
+
 def test_variants_are_bounded_unique_and_real(spark, rules):
     valid = spark.createDataFrame([(f"r{i}", *r) for i, r in enumerate(ROWS)], f"row_id string, {SCHEMA}")
     variants = whatif.sensitivity_variants(valid, rules, STUB)
