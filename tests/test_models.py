@@ -156,3 +156,28 @@ def test_champion_is_fitted_anew_for_the_outer_test(split, monkeypatch):
     assert set(rows) == set(scorers) == {"champion", "challenger"} and {r["model_name"] for r in rows.values()} == set(SMALL)
     assert all(r["row_count"] == test.count() for r in rows.values())
     assert evaluate(scorers["champion"].score(test)).first()["pr_auc"] == rows["champion"]["pr_auc"]
+
+
+def test_neighbours_of_far_apart_groups_meet_few_points(spark, monkeypatch):
+    """Seeds measure exactly little more than their neighbours, and the result is that of brute force also far from the origin."""
+    measured, exact = spark.sparkContext.accumulator(0), resampling._exact
+
+    def counted(x, y):
+        measured.add(len(x))
+        return exact(x, y)
+
+    rng = np.random.default_rng(5)
+    x = np.vstack([c + rng.normal(size=(150, 4)) for c in ([0, 0, 0, 0], [1e4, 0, 0, 0], [0, 1e4, 0, 1e4])])
+    ids = [f"r{i:04d}" for i in range(len(x))]
+    points = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in zip(ids, x)], "id string, v array<double>")
+    got = {}
+    for r in resampling.nearest_neighbours(points, points, 4, block_rows=40, seed_rows=60).collect():
+        got.setdefault(r["seed_id"], {})[r["position"]] = r["neighbour_id"]
+    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+    for i, name in enumerate(ids):
+        assert [got[name][p] for p in range(1, 5)] == [n for _, n in sorted((d[i, j], ids[j]) for j in range(len(x)) if j != i)[:4]]
+    rows, cols, _ = resampling._near(x, x, np.full(len(x), np.inf), 4)
+    assert len(rows) == 5 * len(x)
+    monkeypatch.setattr(resampling, "_exact", counted)
+    resampling._near(x, x, np.full(len(x), np.inf), 4)
+    assert measured.value < 6 * len(x)
