@@ -181,3 +181,17 @@ def test_neighbours_of_far_apart_groups_meet_few_points(spark, monkeypatch):
     monkeypatch.setattr(resampling, "_exact", counted)
     resampling._near(x, x, np.full(len(x), np.inf), 4)
     assert measured.value < 6 * len(x)
+
+
+def test_logistic_fit_keeps_no_matrix_of_its_own(split, monkeypatch):
+    """Only the narrow training columns are kept next to the learner's blocks, and the model is that of the kept matrix."""
+    train, test = split
+    kept, keep = [], learners.keep
+    monkeypatch.setattr(learners, "keep", lambda df: (kept.append(df.columns), keep(df))[1])
+    rows = float(train.count())
+    scorer = learners.fit(train, "linear", learners.logistic(rows))
+    assert kept and not any("features" in columns for columns in kept)
+    prepared, vectors = learners.matrix(train, "linear")
+    other = learners.logistic(rows).fit(vectors)
+    vectors.unpersist()
+    assert np.allclose(scorer.model.stages[2].coefficients.toArray(), other.coefficients.toArray(), rtol=0, atol=1e-9)
